@@ -1,0 +1,25 @@
+"""Text to typed values. Text that does not fit gives null and never an error."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+#: Amounts beyond this would not fit the whole units of ``functions.money``.
+LARGEST_AMOUNT = 1e14
+
+
+def readable_number(text: Column) -> Column:
+    """Double, or null when the text is no finite number below ``LARGEST_AMOUNT``."""
+    number = text.try_cast("double")
+    # NaN sorts above every number in Spark, so the bound removes it as well
+    return F.when(F.abs(number) < LARGEST_AMOUNT, number)
+
+
+def readable_time(text: Column) -> Column:
+    return text.try_cast("timestamp")
+
+
+def is_true(condition: Column) -> Column:
+    """Condition with null read as false."""
+    return F.coalesce(condition, F.lit(False))
