@@ -19,25 +19,30 @@ class ExpectationFailed(RuntimeError):
 
 @dataclass(frozen=True)
 class Rule:
-    """``condition`` holds for good rows; null counts as not holding."""
+    """``condition``, a column or SQL text, holds for good rows; null counts as not holding."""
 
     name: str
-    condition: Column
+    condition: Column | str
     action: str = "warn"
 
     def __post_init__(self) -> None:
         if self.action not in ACTIONS:
             raise ValueError(f"action {self.action!r} is none of {ACTIONS}")
 
+    @property
+    def holds(self) -> Column:
+        text = isinstance(self.condition, str)
+        return is_true(F.expr(self.condition) if text else self.condition)
+
     @property
     def failed_rows(self) -> Column:
-        return F.count_if(~is_true(self.condition))
+        return F.count_if(~self.holds)
 
 
 def _hold(rules: Sequence[Rule]) -> Column:
     held = F.lit(True)
     for rule in rules:
-        held = held & is_true(rule.condition)
+        held = held & rule.holds
     return held
 
 
@@ -73,7 +78,7 @@ def stop_on_failing(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     for rule in rules:
         if rule.action == "fail":
             stop = F.raise_error(F.lit(f"expectation {rule.name} failed")).cast("boolean")
-            df = df.filter(F.when(is_true(rule.condition), F.lit(True)).otherwise(stop))
+            df = df.filter(F.when(rule.holds, F.lit(True)).otherwise(stop))
     return df
 
 

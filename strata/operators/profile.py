@@ -39,17 +39,15 @@ def weekday_profile(events: DataFrame, day: str = "event_date") -> DataFrame:
     )
 
 
-def mix(df: DataFrame, keys: Sequence[str], measure: str, share: str = "share") -> DataFrame:
-    """Sum of ``measure`` per key and its share of the whole.
+def with_share(parts: DataFrame, measure: str, whole: DataFrame) -> DataFrame:
+    """Share of each row of ``parts`` in the sum of ``measure`` over ``whole``.
 
-    The whole is a scalar subquery over the partly aggregated rows: no window
-    over all rows and no join.
+    The sum is a scalar subquery: no window over all rows and no join. When
+    ``whole`` is an aggregate that ``parts`` is made of, Spark runs it once.
     """
-    parts = df.groupBy(*keys).agg(F.sum(measure).alias(measure))
-    whole = parts.agg(F.sum(F.col(measure).cast("decimal(38,0)")).alias("whole")).scalar()
-    return parts.withColumn(
-        share, F.col(measure).cast("double") / F.nullif(whole.cast("double"), F.lit(0.0))
-    )
+    total = whole.agg(F.sum(F.col(measure).cast("decimal(20,0)")).cast("double")).scalar()
+    share = F.col(measure).cast("double") / F.nullif(total, F.lit(0.0))
+    return parts.withColumn("share", share)
 
 
 def product_mix(events: DataFrame, products: DataFrame) -> DataFrame:
@@ -58,7 +56,8 @@ def product_mix(events: DataFrame, products: DataFrame) -> DataFrame:
     Events are summed per product before the join, so a product with very many
     events enters the join as one row.
     """
-    return mix(events, ["product_id"], "amount_cents").join(
+    per_product = events.groupBy("product_id").agg(F.sum("amount_cents").alias("amount_cents"))
+    return with_share(per_product, "amount_cents", per_product).join(
         products.select("product_id", "product_name", "brand"), "product_id", "left"
     )
 
@@ -66,5 +65,9 @@ def product_mix(events: DataFrame, products: DataFrame) -> DataFrame:
 def territory_mix(events: DataFrame, suppliers: DataFrame) -> DataFrame:
     """Amount and share per nation of the supplier; same order of steps."""
     per_supplier = events.groupBy("supplier_id").agg(F.sum("amount_cents").alias("amount_cents"))
-    located = per_supplier.join(suppliers, "supplier_id", "left")
-    return mix(located, ["region", "nation"], "amount_cents")
+    per_nation = (
+        per_supplier.join(suppliers, "supplier_id", "left")
+        .groupBy("region", "nation")
+        .agg(F.sum("amount_cents").alias("amount_cents"))
+    )
+    return with_share(per_nation, "amount_cents", per_supplier)

@@ -62,7 +62,10 @@ def reconcile_layers(
 
 
 def file_hashes(spark: SparkSession, folder: str) -> DataFrame:
-    """SHA-256 of every file below a folder, hashed where the file is read."""
+    """SHA-256 of every file below a folder, hashed where the file is read.
+
+    Spark lists no empty files, so one that the manifest names counts as missing.
+    """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     )

@@ -296,6 +296,19 @@ SELECT c_custkey AS account_id, c_name AS name,
 FROM customer WHERE c_acctbal >= 0 OR c_mktsegment = 'AUTOMOBILE'
 UNION ALL
 SELECT -1 - s_suppkey, s_name, s_acctbal + 5 FROM supplier""",
+    "merge_stream_metrics": """WITH hits AS (
+  SELECT 1 AS delivery, 'updated' AS action FROM customer WHERE c_mktsegment = 'BUILDING'
+  UNION ALL SELECT 2, 'deleted' FROM customer WHERE c_acctbal < 0
+  UNION ALL SELECT 3, 'inserted' FROM customer WHERE c_acctbal < 0 AND c_mktsegment = 'AUTOMOBILE'
+  UNION ALL SELECT 3, 'inserted' FROM supplier
+  UNION ALL SELECT 4, 'updated' FROM customer WHERE c_acctbal < 0 AND c_mktsegment = 'AUTOMOBILE'
+  UNION ALL SELECT 4, 'updated' FROM supplier
+)
+SELECT d.delivery, a.action, count(hits.action) AS n_rows
+FROM (VALUES (1), (2), (3), (4)) d(delivery)
+CROSS JOIN (VALUES ('updated'), ('deleted'), ('inserted')) a(action)
+LEFT JOIN hits ON hits.delivery = d.delivery AND hits.action = a.action
+GROUP BY d.delivery, a.action""",
     "stream_ledger": f"WITH {LEDGER} SELECT * FROM net",
     "stream_ingest": """
 SELECT event_id, ts, user_id, event_type, value, props, 'shop' AS source_system,

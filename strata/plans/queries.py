@@ -29,7 +29,7 @@ from strata.plans.medallion import Layers, run_medallion
 from strata.session import scratch_path
 from strata.sources import feeds, files, loads, tables
 from strata.sources.feeds import table
-from strata.sources.versions import BucketedTable
+from strata.sources.versions import BucketedTable, SteppedTable
 from strata.streaming import changes, dedup, ingest
 from strata.streaming import expectations as stream_rules
 from strata.streaming import ledger as stream_ledgers
@@ -135,11 +135,11 @@ def invalid_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_rules() -> list[Rule]:
     return [
-        Rule("has_order_id", F.col("order_id").isNotNull(), "fail"),
-        Rule("readable_amount", F.col("amount_value").isNotNull(), "drop"),
-        Rule("readable_time", F.col("order_time").isNotNull(), "drop"),
+        Rule("has_order_id", "order_id IS NOT NULL", "fail"),
+        Rule("readable_amount", "amount_value IS NOT NULL", "drop"),
+        Rule("readable_time", "order_time IS NOT NULL", "drop"),
         Rule("known_status", F.col("status_clean").isin(*refine.ORDER_STATUSES), "warn"),
-        Rule("large_order", F.col("amount_value") < 400_000, "warn"),
+        Rule("large_order", "amount_value < 400000", "warn"),
     ]
 
 
@@ -184,8 +184,12 @@ def status_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def layer_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = feeds.order_feed(spark, sf_dir, with_country=False)
-    silver = refine.refine_orders(bronze)
+    """The checks read layers that were written, as in a real run."""
+    root = scratch_path(spark, "checks")
+    feeds.order_feed(spark, sf_dir, with_country=False).write.parquet(f"{root}/bronze")
+    bronze = spark.read.parquet(f"{root}/bronze")
+    refine.refine_orders(bronze).write.parquet(f"{root}/silver")
+    silver = spark.read.parquet(f"{root}/silver")
     return reconcile.layer_checks(bronze, silver, marts.daily_revenue(silver))
 
 
@@ -336,13 +340,13 @@ def merge_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 ACCOUNT_SCHEMA = "account_id BIGINT, name STRING, balance DOUBLE"
 
 
-@query
-def merge_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _merged_accounts(spark: SparkSession, sf_dir: str) -> tuple[BucketedTable, SteppedTable]:
     """Four deliveries; the stream runs after the first, after the second, and after both others."""
     root = scratch_path(spark, "accounts")
     target = BucketedTable(
         spark, f"{root}/accounts", ACCOUNT_SCHEMA, ["account_id"], spark.sparkContext.defaultParallelism
     )
+    metrics = changes.metrics_table(spark, f"{root}/metrics")
     changes.start_table(target, feeds.account_target(spark, sf_dir))
     deliveries = feeds.account_deliveries(spark, sf_dir)
     for numbers in ((1,), (2,), (3, 4)):
@@ -353,8 +357,20 @@ def merge_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
             partition_by=[ingest.BATCH],
         )
         stream = ingest.arriving_csv(spark, f"{root}/feed", f"{ACCOUNT_SCHEMA}, change_type STRING")
-        changes.stream_changes(stream, target, f"{root}/checkpoint", ["account_id"])
-    return target.latest()
+        changes.stream_changes(
+            stream, target, f"{root}/checkpoint", ["account_id"], metrics=metrics
+        )
+    return target, metrics
+
+
+@query
+def merge_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merged_accounts(spark, sf_dir)[0].latest()
+
+
+@query
+def merge_stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merged_accounts(spark, sf_dir)[1].rows()
 
 
 @query
@@ -435,13 +451,13 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def click_rules() -> list[Rule]:
     return [
-        Rule("has_id", F.col("event_id").isNotNull(), "fail"),
-        Rule("no_error", F.col("event_type") != "error", "drop"),
-        Rule("worth_something", F.col("value") >= 1.0, "warn"),
+        Rule("has_id", "event_id IS NOT NULL", "fail"),
+        Rule("no_error", "event_type <> 'error'", "drop"),
+        Rule("worth_something", "value >= 1.0", "warn"),
     ]
 
 
-def _checked_stream(spark: SparkSession, sf_dir: str):
+def _checked_stream(spark: SparkSession, sf_dir: str) -> SteppedTable:
     root = scratch_path(spark, "checked")
     target = stream_rules.checked_target(
         spark,

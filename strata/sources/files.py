@@ -25,7 +25,8 @@ def land_csv(
 ) -> None:
     """Write headed CSV. Files are split by row count, never gathered into one task.
 
-    Empty texts and outer spaces come back from ``read_feed`` as they were.
+    Outer spaces come back from ``read_feed`` as they were; an empty text comes
+    back as null, as it does with any CSV file Spark reads.
     """
     writer = df.write.mode(mode).options(
         **CSV_OPTIONS, ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"

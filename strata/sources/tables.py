@@ -29,15 +29,15 @@ def publish(
 
     The rows are written under a second name first; the old table goes only
     when they are complete. So a job that fails publishes nothing, and ``df``
-    may read the table it replaces. With ``path`` the files lie in a new folder
-    below it, and those of the replaced table stay for whoever still reads them.
+    may read the table it replaces. The files lie in a new folder below ``path``
+    (by default below the table's name in the warehouse); those of the replaced
+    table stay for whoever still reads them.
     """
     spark = df.sparkSession
     fresh = f"{table}__next"
     spark.sql(f"DROP TABLE IF EXISTS {_name(fresh)}")
-    writer = df.write.format(file_format)
-    if path:
-        writer = writer.option("path", f"{path.rstrip('/')}/{uuid.uuid4().hex}")
+    base = path or f"{spark.conf.get('spark.sql.warehouse.dir')}/{table}"
+    writer = df.write.format(file_format).option("path", f"{base.rstrip('/')}/{uuid.uuid4().hex}")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(fresh)

@@ -68,9 +68,17 @@ class SteppedTable:
     def commit(self, facts: DataFrame, step: int) -> None:
         facts.write.mode("overwrite").parquet(f"{self.root}/commits/{STEP}={step}")
 
+    def note(self, text: str) -> DataFrame:
+        """A commit that says only this, for tables with no other facts."""
+        return self.spark.createDataFrame([(text,)], "note STRING")
+
     def rows(self) -> DataFrame:
-        """Rows of all committed steps."""
-        steps = self.commits().select(STEP).distinct()
+        """Rows of all committed steps.
+
+        The list of steps is broadcast: it has one number per folder, fewer
+        than the folders the driver lists to read the rows at all.
+        """
+        steps = F.broadcast(self.commits().select(STEP).distinct())
         return self._read("rows", self.schema).join(steps, STEP, "left_semi").drop(STEP)
 
 
@@ -101,15 +109,16 @@ class BucketedTable(SteppedTable):
     def current(self, before: int, buckets: DataFrame | None = None) -> DataFrame:
         """Current rows as committed before a step, of all or of some buckets.
 
-        The join with the short bucket list prunes the folders that are read.
+        The join with the bucket list prunes the folders that are read. The list
+        is broadcast; it has at most ``buckets`` rows.
         """
         latest = (
             self.commits().filter(F.col(STEP) < before).groupBy(BUCKET).agg(F.max(STEP).alias(STEP))
         )
         if buckets is not None:
             latest = latest.join(buckets, BUCKET, "left_semi")
-        rows = self._read("rows", self.schema).join(latest, [STEP, BUCKET], "left_semi")
-        return rows.drop(STEP, BUCKET)
+        rows = self._read("rows", self.schema)
+        return rows.join(F.broadcast(latest), [STEP, BUCKET], "left_semi").drop(STEP, BUCKET)
 
     def latest(self) -> DataFrame:
         return self.current(self.next_step())

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.merge import merge_changes
-from strata.sources.versions import BucketedTable
+from strata.operators.merge import KEPT, merge_metrics, tag_changes, without_deleted
+from strata.sources.versions import BucketedTable, SteppedTable
 from strata.streaming.ingest import BATCH, run_batches
 
 
@@ -18,6 +19,11 @@ def start_table(target: BucketedTable, rows: DataFrame) -> None:
         target.replace(rows, target.touched(rows), 0)
 
 
+def metrics_table(spark: SparkSession, root: str) -> SteppedTable:
+    """Rows updated, deleted and inserted by each delivery."""
+    return SteppedTable(spark, root, "delivery INT, action STRING, n_rows BIGINT")
+
+
 def stream_changes(
     changes: DataFrame,
     target: BucketedTable,
@@ -25,12 +31,15 @@ def stream_changes(
     keys: Sequence[str],
     op_col: str = "change_type",
     order_col: str = BATCH,
+    metrics: SteppedTable | None = None,
 ) -> None:
     """Merge new change sets into ``target``; only buckets with changed keys are rewritten.
 
     Change sets that came together are applied in the order of ``order_col``.
     Batch ``n`` of the stream is step ``n + 1`` of the table, and a step that
-    is committed is not applied again.
+    is committed is not applied again. ``metrics`` are counted in a job of
+    their own, over the key columns only: counts taken on the side of the write
+    could be taken twice when a lost executor's work is repeated.
     """
 
     def apply(batch: DataFrame, number: int) -> None:
@@ -43,9 +52,17 @@ def stream_changes(
             deliveries = [r[0] for r in batch.select(order_col).distinct().orderBy(order_col).collect()]
             touched = target.touched(batch)
             rows = target.current(step, touched)
+            counts = []
             for delivery in deliveries:
                 part = batch.filter(F.col(order_col) == delivery).drop(order_col)
-                rows = merge_changes(rows, part, keys, op_col)
+                tagged = tag_changes(rows, part, keys, op_col)
+                # kept rows are those of the read buckets only, which says nothing
+                counted = merge_metrics(tagged).filter(F.col("action") != KEPT)
+                counts.append(counted.select(F.lit(delivery).alias("delivery"), "action", "n_rows"))
+                rows = without_deleted(tagged)
+            if metrics is not None and counts:
+                metrics.stage(reduce(DataFrame.unionByName, counts), step)
+                metrics.commit(metrics.note("merged"), step)
             target.replace(rows, touched, step)
         finally:
             batch.unpersist()

@@ -26,6 +26,8 @@ def stream_checked(
     Counts are taken while the rows are written. A ``fail`` rule that breaks
     leaves the rows uncommitted and stops the stream with an error.
     """
+    if not rules:
+        raise ValueError("without rules there are no counts to commit; use append_stream")
 
     def apply(batch: DataFrame, number: int) -> None:
         if target.next_step() > number:

@@ -1,0 +1,165 @@
+import os
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from strata.session import scratch_path
+from strata.sources import jdbc, loads, tables
+from strata.sources.files import land_csv
+from strata.sources.versions import BUCKET, STEP, BucketedTable, SteppedTable
+
+
+def _values(df, column="n"):
+    return sorted(r[column] for r in df.collect())
+
+
+def test_publish_replaces_rows_schema_and_comment(spark):
+    tables.publish(spark.range(3).toDF("n"), "pub", "It's first", scratch_path(spark, "pub"))
+    assert spark.catalog.getTable("pub").description == "It's first"
+    tables.publish(spark.createDataFrame([("a", 1)], "t STRING, n INT"), "pub", "second")
+    assert tables.scan(spark, "pub").columns == ["t", "n"]
+    assert spark.catalog.getTable("pub").description == "second"
+
+
+def test_publish_can_read_the_table_it_replaces(spark):
+    path = scratch_path(spark, "self")
+    tables.publish(spark.range(3).toDF("n"), "self_read", path=path)
+    tables.publish(tables.scan(spark, "self_read").filter("n > 0"), "self_read", path=path)
+    assert _values(tables.scan(spark, "self_read")) == [1, 2]
+
+
+def test_failed_publish_leaves_the_old_table(spark):
+    tables.publish(spark.range(2).toDF("n"), "kept", path=scratch_path(spark, "kept"))
+    bad = spark.range(2).select(F.raise_error(F.lit("boom")).cast("int").alias("n"))
+    with pytest.raises(PySparkException, match="boom"):
+        tables.publish(bad, "kept", path=scratch_path(spark, "kept"))
+    assert _values(tables.scan(spark, "kept")) == [0, 1]
+
+
+def test_partitioned_publish_reads_one_partition(spark):
+    df = spark.range(10).select((F.col("id") % 2).cast("int").alias("b"), F.col("id").alias("n"))
+    tables.publish(df, "parted", partition_by=["b"])
+    assert _values(tables.scan(spark, "parted").filter("b = 1")) == [1, 3, 5, 7, 9]
+
+
+def test_create_insert_views_and_sql(spark):
+    tables.create_table(spark, "people", "id INT, name STRING, score DOUBLE", scratch_path(spark, "people"))
+    spark.sql("INSERT INTO people VALUES (1, 'Eva', 5.0), (2, 'Max', NULL)")
+    spark.sql("CREATE OR REPLACE TEMP VIEW more(id, name, score) AS VALUES (3, 'Ida', 0.0D)")
+    tables.register_views(folk=spark.table("people").unionByName(spark.table("more")))
+    assert spark.sql("SELECT count(*) AS n, count(score) AS s FROM folk").first().asDict() == {"n": 3, "s": 2}
+    view = tables.consumer_view(spark, "v_people", "people", ["name", "score"], "score > 0")
+    assert [tuple(r) for r in view.collect()] == [("Eva", 5.0)]
+    spark.sql("INSERT INTO people VALUES (4, 'Leo', 1.5)")
+    assert _values(spark.table("v_people"), "name") == ["Eva", "Leo"]
+
+
+def test_session_context_is_one_row(spark):
+    row = tables.session_context(spark).first()
+    assert row["catalog"] == "spark_catalog" and row["user"]
+
+
+def test_file_stats(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    spark.range(100).repartition(4).write.parquet(folder)
+    row = tables.table_file_stats({"t": spark.read.parquet(folder)}).first()
+    size = sum(os.path.getsize(f"{folder}/{f}") for f in os.listdir(folder) if f.endswith(".parquet"))
+    assert tuple(row) == ("t", 4, 100, size)
+    assert tables.table_file_stats({"t": spark.read.parquet(folder).filter("id < 0")}).first()["n_rows"] == 0
+
+
+FEED = "n INT, t STRING"
+
+
+def test_files_are_loaded_once(spark):
+    root = scratch_path(spark, "once")
+    target = loads.load_target(spark, f"{root}/rows", FEED)
+    land_csv(spark.createDataFrame([(i, "a") for i in range(20)], FEED).repartition(5), f"{root}/in/1")
+    # two names per step: several steps, no file left over
+    assert loads.load_new_files(target, f"{root}/in", FEED, "s", files_per_step=2) == 3
+    assert loads.load_new_files(target, f"{root}/in", FEED, "s") == 0
+    land_csv(spark.createDataFrame([(99, "b")], FEED), f"{root}/in/2")
+    assert loads.load_new_files(target, f"{root}/in", FEED, "s") == 1
+    assert _values(target.rows()) == [*range(20), 99]
+
+
+def test_a_step_that_was_not_committed_is_not_read(spark):
+    table = SteppedTable(spark, scratch_path(spark, "steps"), "n INT")
+    assert table.rows().count() == 0 and table.next_step() == 0
+    one = spark.createDataFrame([(1,)], "n INT")
+    table.stage(one, 0)
+    assert table.rows().count() == 0
+    table.stage(one, 0)
+    table.commit(table.note("x"), 0)
+    table.stage(spark.createDataFrame([(2,)], "n INT"), 1)
+    assert _values(table.rows()) == [1] and table.next_step() == 1
+
+
+def test_only_touched_buckets_change(spark):
+    table = BucketedTable(spark, scratch_path(spark, "buckets"), "n INT, v STRING", ["n"], buckets=8)
+    rows = spark.createDataFrame([(i, "old") for i in range(50)], "n INT, v STRING")
+    table.replace(rows, table.touched(rows), 0)
+    changed = spark.createDataFrame([(7, "new")], "n INT, v STRING")
+    touched = table.touched(changed)
+    now = table.current(1, touched)
+    assert 0 < now.count() < 50
+    table.replace(now.filter("n <> 7").unionByName(changed), touched, 1)
+    assert table.commits().filter(f"{STEP} = 1").count() == 1
+    latest = {r["n"]: r["v"] for r in table.latest().collect()}
+    assert len(latest) == 50 and latest[7] == "new" and latest[8] == "old"
+    # replaying the step reads the state before it
+    assert {r["v"] for r in table.current(1).collect()} == {"old"}
+    # a bucket that loses all its rows is empty, not as before
+    table.replace(now.filter("false"), touched, 2)
+    assert 7 not in {r["n"] for r in table.latest().collect()}
+
+
+def test_bucket_list_prunes_folders(spark):
+    table = BucketedTable(spark, scratch_path(spark, "prune"), "n INT", ["n"], buckets=8)
+    rows = spark.range(50).select(F.col("id").cast("int").alias("n"))
+    table.replace(rows, table.touched(rows), 0)
+    plan = table.current(1)._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and BUCKET in plan
+
+
+def test_jdbc_reader_asks_for_ranges():
+    """Without a database: the options that reach Spark's JDBC source."""
+
+    class Reader:
+        def __init__(self, log):
+            self.log, self.set = log, {}
+
+        def format(self, name):
+            self.set = {"format": name}
+            return self
+
+        def options(self, **kw):
+            self.set.update(kw)
+            return self
+
+        def option(self, key, value):
+            self.set[key] = value
+            return self
+
+        def load(self):
+            self.log.append(dict(self.set))
+            return self
+
+        def first(self):
+            return 1, 900
+
+    class Session:
+        def __init__(self):
+            self.log = []
+
+        @property
+        def read(self):
+            return Reader(self.log)
+
+    session = Session()
+    jdbc.read_table(session, {"url": "jdbc:x"}, "dim", key="id", readers=4)
+    ends, rows = session.log
+    assert ends["query"] == "SELECT min(id) AS low, max(id) AS high FROM dim"
+    assert rows["dbtable"] == "dim" and "query" not in rows
+    assert (rows["partitionColumn"], rows["lowerBound"], rows["upperBound"], rows["numPartitions"]) == ("id", 1, 900, 4)
