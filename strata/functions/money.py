@@ -1,8 +1,9 @@
 """Exact money: whole units in a ``bigint`` inside, doubles only at the edge.
 
 Sums of doubles depend on the order in which partitions arrive. Sums of whole
-units do not, they stay inside generated code, and an overflow raises an error
-(ANSI mode) instead of giving a wrong number.
+units do not, and a plain ``sum`` that overflows raises an error (ANSI mode)
+instead of giving a wrong number. Where one group may hold a large part of a
+very large table, ``exact_sum`` has no such limit.
 """
 
 from __future__ import annotations
@@ -21,6 +22,19 @@ def to_units(amount: Column, digits: int = CENT_DIGITS) -> Column:
     return F.floor(amount * F.lit(10.0**digits) + F.lit(0.5))
 
 
+def exact_sum(units: Column) -> Column:
+    """Sum of a ``bigint`` column as a decimal that cannot overflow.
+
+    The upper and the lower bits are summed on their own, as plain ``bigint``:
+    about as fast as one such sum and several times faster than summing
+    decimals row by row.
+    """
+    bits = 20
+    upper = F.sum(F.shiftright(units, bits)).cast("decimal(20,0)")
+    lower = F.sum(units.bitwiseAND(F.lit(2**bits - 1))).cast("decimal(20,0)")
+    return upper * F.lit(2**bits).cast("decimal(7,0)") + lower
+
+
 def _divide_half_up(numerator: Column, denominator: Column) -> Column:
     """``numerator / denominator`` to the nearest integer, halves away from zero."""
     size = F.call_function("div", F.abs(numerator) * 2 + denominator, denominator * 2)

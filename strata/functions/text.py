@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from strata.fixed import IDENTIFIER_DIGIT_PREFIX, IDENTIFIER_FALLBACK, IDENTIFIER_LENGTH
+
 
 def tidy_lower(text: Column) -> Column:
     return F.lower(F.trim(text))
@@ -15,7 +17,10 @@ def tidy_upper(text: Column) -> Column:
 
 
 def safe_identifier(
-    text: Column, max_length: int = 40, fallback: str = "student", digit_prefix: str = "u_"
+    text: Column,
+    max_length: int = IDENTIFIER_LENGTH,
+    fallback: str = IDENTIFIER_FALLBACK,
+    digit_prefix: str = IDENTIFIER_DIGIT_PREFIX,
 ) -> Column:
     """Text as a name: ``[a-z0-9_]`` only, no doubled or outer ``_``, not led by a digit."""
     # a run of foreign characters and underscores becomes one underscore

@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions import from_units
-
-#: Event types after normalisation.
-SALE, ADJUSTMENT, CANCEL = "SALE", "ADJUSTMENT", "CANCEL"
+from strata.fixed import ADJUSTMENT, CANCEL, SALE
+from strata.functions import exact_sum, from_units
 
 
 def _is(kind: str) -> Column:
@@ -135,12 +133,11 @@ def kpi_summary(events: DataFrame, products: DataFrame) -> DataFrame:
     """Headline figures as ``(metric, value, label)`` rows.
 
     The figures come from one pass over the net ledger; the best product adds
-    one row. Totals over all sales are decimals: cents of a very large company
-    would overflow a ``bigint``.
+    one row.
     """
 
     def total(column: str) -> Column:
-        return F.sum(F.col(column).cast("decimal(20,0)")).cast("double") / F.lit(100.0)
+        return exact_sum(F.col(column)).cast("double") / F.lit(100.0)
 
     def rate(condition: Column) -> Column:
         return F.count_if(condition) / F.nullif(F.count("*"), F.lit(0))

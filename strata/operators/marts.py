@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions import from_units, mean_from_units, to_units
+from strata.fixed import PAID
+from strata.functions import exact_sum, from_units, mean_from_units, to_units
 from strata.functions.money import ORDER_DIGITS
 
-PAID = "paid"
-
 
 def daily_revenue(orders: DataFrame, paid: str = PAID) -> DataFrame:
     """Paid valid orders by day and channel: orders, revenue, mean ticket.
@@ -24,7 +23,7 @@ def daily_revenue(orders: DataFrame, paid: str = PAID) -> DataFrame:
             "order_date", "channel_clean", to_units(F.col("amount_value"), ORDER_DIGITS).alias("units")
         )
         .groupBy("order_date", "channel_clean")
-        .agg(F.count("*").alias("paid_orders"), F.sum(units).alias("units"))
+        .agg(F.count("*").alias("paid_orders"), exact_sum(units).alias("units"))
         .select(
             "order_date",
             F.col("channel_clean").alias("channel"),
@@ -46,7 +45,7 @@ def status_by_country(orders: DataFrame) -> DataFrame:
     units = F.coalesce(to_units(F.col("amount_value"), ORDER_DIGITS), F.lit(0))
     return (
         orders.groupBy("country", "status_clean")
-        .agg(F.count("*").alias("n_rows"), F.sum(units).alias("units"))
+        .agg(F.count("*").alias("n_rows"), exact_sum(units).alias("units"))
         .select(
             "country",
             F.col("status_clean").alias("status"),
@@ -64,7 +63,7 @@ def quality_summary(orders: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("n_rows"),
             F.count_distinct("order_id").alias("distinct_orders"),
-            F.sum(units).alias("units"),
+            exact_sum(units).alias("units"),
         )
         .select(
             "is_valid",

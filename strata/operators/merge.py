@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.fixed import DELETE, INSERT, UPDATE
+
 ACTION = "_action"
 KEPT, UPDATED, DELETED, INSERTED = "kept", "updated", "deleted", "inserted"
 MERGE_ACTIONS = (KEPT, UPDATED, DELETED, INSERTED)
@@ -39,7 +41,7 @@ def tag_changes(
     op = F.col(op_col)
 
     acting = (
-        changes.filter(op.isin("update", "delete"))
+        changes.filter(op.isin(UPDATE, DELETE))
         .groupBy(*keys)
         .agg(
             F.count("*").alias("_n"),
@@ -50,7 +52,7 @@ def tag_changes(
     action = (
         F.when(F.col("_n").isNull(), KEPT)
         .when(F.col("_n") > 1, too_many.cast("string"))
-        .when(F.col("_change._op") == "update", UPDATED)
+        .when(F.col("_change._op") == UPDATE, UPDATED)
         .otherwise(DELETED)
     )
     present = target.join(acting, keys, "left").withColumn(ACTION, action)
@@ -64,7 +66,7 @@ def tag_changes(
         ACTION,
     )
 
-    inserts = changes.filter(op == "insert")
+    inserts = changes.filter(op == INSERT)
     taken = target.join(inserts.select(*keys), keys, "left_semi").select(*keys).distinct()
     fresh = inserts.join(taken, keys, "left_anti").select(
         *[F.col(c) for c in target.columns], F.lit(INSERTED).alias(ACTION)

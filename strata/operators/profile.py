@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions import exact_sum
+
 
 def profile_feed(df: DataFrame, key: str, nullable: Sequence[str]) -> DataFrame:
     """Rows, rows with a key, distinct keys and missing values per column, in one row."""
@@ -45,7 +47,7 @@ def with_share(parts: DataFrame, measure: str, whole: DataFrame) -> DataFrame:
     The sum is a scalar subquery: no window over all rows and no join. When
     ``whole`` is an aggregate that ``parts`` is made of, Spark runs it once.
     """
-    total = whole.agg(F.sum(F.col(measure).cast("decimal(20,0)")).cast("double")).scalar()
+    total = whole.agg(exact_sum(F.col(measure)).cast("double")).scalar()
     share = F.col(measure).cast("double") / F.nullif(total, F.lit(0.0))
     return parts.withColumn("share", share)
 

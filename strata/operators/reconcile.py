@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions import path_prefix
+from strata.functions import exact_sum, path_prefix, to_units
 
 
 def layer_checks(bronze: DataFrame, silver: DataFrame, gold: DataFrame) -> DataFrame:
@@ -26,7 +26,7 @@ def layer_checks(bronze: DataFrame, silver: DataFrame, gold: DataFrame) -> DataF
             F.lit("silver_orders").alias("check"), "value"
         ),
         gold.agg(
-            (F.sum(F.floor(F.col("revenue") * 100 + 0.5)) / F.lit(100.0)).alias("value")
+            (exact_sum(to_units(F.col("revenue"))).cast("double") / F.lit(100.0)).alias("value")
         ).select(F.lit("gold_revenue").alias("check"), "value"),
     ]
     checks = reduce(DataFrame.unionByName, parts)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.fixed import ORDER_STATUSES
 from strata.functions import (
     is_true,
     readable_number,
@@ -16,9 +17,6 @@ from strata.functions import (
     to_units,
 )
 
-#: Statuses an order may have.
-ORDER_STATUSES = ("created", "paid", "cancelled")
-
 
 def standardise_orders(feed: DataFrame) -> DataFrame:
     """Typed amount and time, tidy texts; the raw columns stay beside them."""

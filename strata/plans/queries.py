@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata import fixed
 from strata.functions import safe_identifier
 from strata.operators import (
     dimensions,
@@ -138,7 +139,7 @@ def order_rules() -> list[Rule]:
         Rule("has_order_id", "order_id IS NOT NULL", "fail"),
         Rule("readable_amount", "amount_value IS NOT NULL", "drop"),
         Rule("readable_time", "order_time IS NOT NULL", "drop"),
-        Rule("known_status", F.col("status_clean").isin(*refine.ORDER_STATUSES), "warn"),
+        Rule("known_status", F.col("status_clean").isin(*fixed.ORDER_STATUSES), "warn"),
         Rule("large_order", "amount_value < 400000", "warn"),
     ]
 
@@ -207,7 +208,7 @@ def medallion_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return refine.refine_events(feeds.sales_event_feed(spark, sf_dir))
+    return refine.refine_events(feeds.sales_event_feed(table(spark, sf_dir, "lineitem")))
 
 
 def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,7 +252,7 @@ def daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def batch_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of what arrived, so before deduplication."""
-    feed = refine.normalise_events(feeds.sales_event_feed(spark, sf_dir))
+    feed = refine.normalise_events(feeds.sales_event_feed(table(spark, sf_dir, "lineitem")))
     return ledger.batch_event_counts(feed)
 
 
@@ -272,9 +273,9 @@ def weekday_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _past_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sale rows as the source system holds them."""
-    feed = refine.normalise_events(feeds.sales_event_feed(spark, sf_dir))
-    return feed.filter(F.col("event_type") == ledger.SALE)
+    """Sale rows as the source system holds them; the filter reaches the scan."""
+    lines = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "N")
+    return refine.normalise_events(feeds.sales_event_feed(lines))
 
 
 @query
@@ -302,7 +303,7 @@ def kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def layer_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events per batch as made, as landed, as cleaned and as counted in the daily metrics."""
     root = scratch_path(spark, "layers")
-    made = feeds.sales_event_feed(spark, sf_dir)
+    made = feeds.sales_event_feed(table(spark, sf_dir, "lineitem"))
     files.land_csv(_as_text(made, ingest.BATCH), f"{root}/feed", partition_by=[ingest.BATCH])
     bronze = files.read_feed(
         spark, f"{root}/feed", f"{stream_ledgers.EVENT_FEED_SCHEMA}, {ingest.BATCH} INT"
@@ -340,13 +341,13 @@ def merge_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 ACCOUNT_SCHEMA = "account_id BIGINT, name STRING, balance DOUBLE"
 
 
-def _merged_accounts(spark: SparkSession, sf_dir: str) -> tuple[BucketedTable, SteppedTable]:
+def _merge_deliveries(
+    spark: SparkSession, sf_dir: str, root: str, metrics: SteppedTable | None = None
+) -> BucketedTable:
     """Four deliveries; the stream runs after the first, after the second, and after both others."""
-    root = scratch_path(spark, "accounts")
     target = BucketedTable(
         spark, f"{root}/accounts", ACCOUNT_SCHEMA, ["account_id"], spark.sparkContext.defaultParallelism
     )
-    metrics = changes.metrics_table(spark, f"{root}/metrics")
     changes.start_table(target, feeds.account_target(spark, sf_dir))
     deliveries = feeds.account_deliveries(spark, sf_dir)
     for numbers in ((1,), (2,), (3, 4)):
@@ -357,20 +358,21 @@ def _merged_accounts(spark: SparkSession, sf_dir: str) -> tuple[BucketedTable, S
             partition_by=[ingest.BATCH],
         )
         stream = ingest.arriving_csv(spark, f"{root}/feed", f"{ACCOUNT_SCHEMA}, change_type STRING")
-        changes.stream_changes(
-            stream, target, f"{root}/checkpoint", ["account_id"], metrics=metrics
-        )
-    return target, metrics
+        changes.stream_changes(stream, target, f"{root}/checkpoint", ["account_id"], metrics=metrics)
+    return target
 
 
 @query
 def merge_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _merged_accounts(spark, sf_dir)[0].latest()
+    return _merge_deliveries(spark, sf_dir, scratch_path(spark, "accounts")).latest()
 
 
 @query
 def merge_stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _merged_accounts(spark, sf_dir)[1].rows()
+    root = scratch_path(spark, "accounts")
+    metrics = changes.metrics_table(spark, f"{root}/metrics")
+    _merge_deliveries(spark, sf_dir, root, metrics)
+    return metrics.rows()
 
 
 @query
@@ -378,7 +380,7 @@ def stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Yearly event files in two deliveries; the later one corrects sales of the first."""
     root = scratch_path(spark, "ledger")
     events, net = stream_ledgers.ledger_tables(spark, root, spark.sparkContext.defaultParallelism)
-    feed = feeds.sales_event_feed(spark, sf_dir)
+    feed = feeds.sales_event_feed(table(spark, sf_dir, "lineitem"))
     later = F.col(ingest.BATCH) >= 1998
     for part in (~later, later):
         files.land_csv(

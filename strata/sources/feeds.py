@@ -80,14 +80,14 @@ def order_feed(spark: SparkSession, sf_dir: str, with_country: bool = True) -> D
     )
 
 
-def sales_event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The order lines as a ledger of sale, adjustment and cancel events.
+def sales_event_feed(lines: DataFrame) -> DataFrame:
+    """Order lines as a ledger of sale, adjustment and cancel events.
 
     An event is one line of one sale; the tables hold many lines several times
     with other contents, which is what event deduplication has to settle.
     """
     kinds = F.create_map(*[F.lit(x) for x in ("N", "sale", "A", "adjustment", "R", "cancel")])
-    return table(spark, sf_dir, "lineitem").select(
+    return lines.select(
         F.col("l_orderkey").alias("sale_id"),
         F.col("l_linenumber").alias("line_no"),
         F.element_at(kinds, F.col("l_returnflag")).alias("event_type"),

@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 
 STEP = "_step"
 BUCKET = "_bucket"
+ORIGIN = "_origin"
 
 
 class SteppedTable:
@@ -45,7 +46,8 @@ class SteppedTable:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+            return self.spark.range(0).select(*nothing)
 
     def commits(self) -> DataFrame:
         return self._read("commits", self.facts)
@@ -70,7 +72,7 @@ class SteppedTable:
 
     def note(self, text: str) -> DataFrame:
         """A commit that says only this, for tables with no other facts."""
-        return self.spark.createDataFrame([(text,)], "note STRING")
+        return self.spark.range(1, numPartitions=1).select(F.lit(text).alias("note"))
 
     def rows(self) -> DataFrame:
         """Rows of all committed steps.
@@ -86,15 +88,19 @@ class BucketedTable(SteppedTable):
     """A changing table of which a step rewrites only the touched buckets.
 
     Rows lie in ``buckets`` buckets by a hash of ``keys``. The commit of a step
-    lists the buckets it rewrote; the current rows of a bucket are those of its
-    last step. The bucket list has at most ``buckets`` rows.
+    lists the buckets it rewrote and what made it; the current rows of a bucket
+    are those of its last step.
     """
 
     def __init__(
         self, spark: SparkSession, root: str, schema: str, keys: Sequence[str], buckets: int = 64
     ) -> None:
         super().__init__(
-            spark, root, f"{schema}, {BUCKET} INT", f"{BUCKET} INT", partition_by=[BUCKET]
+            spark,
+            root,
+            f"{schema}, {BUCKET} INT",
+            f"{BUCKET} INT, {ORIGIN} STRING",
+            partition_by=[BUCKET],
         )
         self.keys = list(keys)
         self.buckets = buckets
@@ -123,12 +129,9 @@ class BucketedTable(SteppedTable):
     def latest(self) -> DataFrame:
         return self.current(self.next_step())
 
-    def replace(self, rows: DataFrame, buckets: DataFrame, step: int) -> None:
-        """Stage new rows of the buckets and commit them."""
-        self.stage_buckets(rows, step)
-        self.commit(buckets, step)
-
-    def stage_buckets(self, rows: DataFrame, step: int) -> None:
+    def replace(self, rows: DataFrame, buckets: DataFrame, step: int, origin: str = "") -> None:
+        """Write new rows of the buckets as a step and commit it."""
         # rebalance gathers a bucket into few files and still splits a large one
         placed = rows.withColumn(BUCKET, self.bucket_of())
         self.stage(placed.hint("rebalance", BUCKET), step)
+        self.commit(buckets.withColumn(ORIGIN, F.lit(origin)), step)

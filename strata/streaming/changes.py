@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.merge import KEPT, merge_metrics, tag_changes, without_deleted
-from strata.sources.versions import BucketedTable, SteppedTable
+from strata.sources.versions import ORIGIN, BucketedTable, SteppedTable
 from strata.streaming.ingest import BATCH, run_batches
 
 
@@ -35,35 +34,35 @@ def stream_changes(
 ) -> None:
     """Merge new change sets into ``target``; only buckets with changed keys are rewritten.
 
-    Change sets that came together are applied in the order of ``order_col``.
-    Batch ``n`` of the stream is step ``n + 1`` of the table, and a step that
-    is committed is not applied again. ``metrics`` are counted in a job of
-    their own, over the key columns only: counts taken on the side of the write
-    could be taken twice when a lost executor's work is repeated.
+    Change sets that came together are applied one after the other, in the
+    order of ``order_col``, each as a step of the table. The commit of a step
+    names its stream batch and change set, and what is named is not applied
+    again. ``metrics`` are counted in a job of their own: counts taken on the
+    side of the write could be taken twice when the work of a lost executor is
+    repeated.
     """
 
     def apply(batch: DataFrame, number: int) -> None:
-        step = number + 1
-        if target.next_step() > step:
-            return
         batch = batch.persist()
         try:
             # one number per delivery, not per row
-            deliveries = [r[0] for r in batch.select(order_col).distinct().orderBy(order_col).collect()]
-            touched = target.touched(batch)
-            rows = target.current(step, touched)
-            counts = []
-            for delivery in deliveries:
-                part = batch.filter(F.col(order_col) == delivery).drop(order_col)
-                tagged = tag_changes(rows, part, keys, op_col)
-                # kept rows are those of the read buckets only, which says nothing
-                counted = merge_metrics(tagged).filter(F.col("action") != KEPT)
-                counts.append(counted.select(F.lit(delivery).alias("delivery"), "action", "n_rows"))
-                rows = without_deleted(tagged)
-            if metrics is not None and counts:
-                metrics.stage(reduce(DataFrame.unionByName, counts), step)
-                metrics.commit(metrics.note("merged"), step)
-            target.replace(rows, touched, step)
+            waiting = batch.select(order_col).distinct().withColumn(
+                ORIGIN, F.concat_ws(":", F.lit(str(number)), F.col(order_col).cast("string"))
+            )
+            waiting = waiting.join(target.commits().select(ORIGIN), ORIGIN, "left_anti")
+            step = target.next_step()
+            for delivery, origin in waiting.select(order_col, ORIGIN).orderBy(order_col).collect():
+                part = batch.filter(F.col(order_col).eqNullSafe(F.lit(delivery))).drop(order_col)
+                touched = target.touched(part)
+                tagged = tag_changes(target.current(step, touched), part, keys, op_col)
+                if metrics is not None:
+                    # kept rows are those of the read buckets only, which says nothing
+                    counts = merge_metrics(tagged).filter(F.col("action") != KEPT)
+                    counts = counts.select(F.lit(delivery).alias("delivery"), "action", "n_rows")
+                    metrics.stage(counts, step)
+                    metrics.commit(metrics.note(origin), step)
+                target.replace(without_deleted(tagged), touched, step, origin)
+                step += 1
         finally:
             batch.unpersist()
 

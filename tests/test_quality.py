@@ -3,7 +3,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from strata.functions import from_units, mean_from_units, safe_identifier, to_units
+from strata.functions import exact_sum, from_units, mean_from_units, safe_identifier, to_units
 from strata.operators import reconcile
 from strata.operators.expectations import (
     ExpectationFailed,
@@ -129,7 +129,14 @@ def test_sub_cent_amounts_are_rounded_once(spark):
     assert total.first()["t"] == 0.01
 
 
-def test_unit_sum_overflow_is_an_error(spark):
+@pytest.mark.parametrize("values", [[2**62, 2**62, 2**62], [-(2**62), -5, 3], [-1], [0], [2**63 - 1, -(2**63)], [None]])
+def test_exact_sum_has_no_overflow(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "u BIGINT")
+    total = sum(values) if values != [None] else None
+    assert df.agg(exact_sum(F.col("u")).alias("t")).first()["t"] == total
+
+
+def test_plain_sum_overflow_is_an_error(spark):
     df = spark.createDataFrame([(2**62,), (2**62,)], "u BIGINT")
     with pytest.raises(PySparkException, match="ARITHMETIC_OVERFLOW|overflow"):
         df.agg(F.sum("u")).collect()
