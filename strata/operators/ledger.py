@@ -96,7 +96,7 @@ def correction_delays(events: DataFrame) -> DataFrame:
 
 
 def correction_latency(events: DataFrame) -> DataFrame:
-    """Sales by delay of their first correction."""
+    """Sales, and days waited in all, by delay of their first correction."""
     delay = F.col("delay_days")
     group = F.when(delay.isNull(), NEVER)
     for days, name in DELAY_GROUPS:
@@ -106,8 +106,7 @@ def correction_latency(events: DataFrame) -> DataFrame:
         .groupBy(group.otherwise(LATER).alias("delay_group"))
         .agg(
             F.count("*").alias("n_sales"),
-            F.min(delay).alias("least_days"),
-            F.max(delay).alias("most_days"),
+            F.coalesce(F.sum(delay), F.lit(0)).alias("total_days"),
         )
     )
 

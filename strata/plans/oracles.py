@@ -248,7 +248,7 @@ delays AS (
 )
 SELECT CASE WHEN days IS NULL THEN 'not corrected' WHEN days = 0 THEN 'same day' WHEN days <= 7 THEN '1-7 days'
     WHEN days <= 30 THEN '8-30 days' WHEN days <= 90 THEN '31-90 days' ELSE 'over 90 days' END AS delay_group,
-  count(*) AS n_sales, min(days) AS least_days, max(days) AS most_days
+  count(*) AS n_sales, CAST(coalesce(sum(days), 0) AS BIGINT) AS total_days
 FROM delays GROUP BY 1""",
     "weekday_profile": """WITH days AS (
   SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events WHERE event_type = 'purchase' GROUP BY 1

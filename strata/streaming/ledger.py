@@ -54,9 +54,8 @@ def stream_ledger(
     """
 
     def apply(batch: DataFrame, number: int) -> None:
-        batch = batch.persist()
+        fresh = normalise_events(drop_rescued(typed_parse(batch, EVENT_TYPES))).persist()
         try:
-            fresh = normalise_events(drop_rescued(typed_parse(batch, EVENT_TYPES)))
             touched = events.touched(fresh)
             if events.next_step() <= number:
                 seen = events.current(number, touched)
@@ -65,6 +64,6 @@ def stream_ledger(
             if ledger.next_step() <= number:
                 ledger.replace(net_ledger(events.staged(number)), touched, number)
         finally:
-            batch.unpersist()
+            fresh.unpersist()
 
     run_batches(feed, apply, checkpoint)
