@@ -67,7 +67,15 @@ def tag_changes(
     )
 
     inserts = changes.filter(op == INSERT)
-    taken = target.join(inserts.select(*keys), keys, "left_semi").select(*keys).distinct()
+    # Grouping by the keys as one struct asks for a shuffle of its own, behind
+    # partial aggregation. Grouping by the bare keys would need none after the
+    # join, and then a hot target key in the join could not be split.
+    taken = (
+        target.join(inserts.select(*keys), keys, "left_semi")
+        .groupBy(F.struct(*keys).alias("_key"))
+        .agg(F.count("*").alias("_rows"))
+        .select("_key.*")
+    )
     fresh = inserts.join(taken, keys, "left_anti").select(
         *[F.col(c) for c in target.columns], F.lit(INSERTED).alias(ACTION)
     )

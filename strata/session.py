@@ -24,6 +24,8 @@ def build_session(
         builder = builder.master(master)
     settings = {
         "spark.sql.session.timeZone": "UTC",
+        # overflow and bad casts are errors, not silent nulls
+        "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # split a hot join key even when the split costs one more shuffle

@@ -28,7 +28,8 @@ def publish(
     """Replace a table, its schema included, and describe it.
 
     The rows are written under a second name first; the old table goes only
-    when they are complete. So a job that fails publishes nothing, and ``df``
+    when they are complete, and then the names are swapped (for a moment no
+    table has the name). So a job that fails publishes nothing, and ``df``
     may read the table it replaces. The files lie in a new folder below ``path``
     (by default below the table's name in the warehouse); those of the replaced
     table stay for whoever still reads them.

@@ -105,3 +105,46 @@ def test_merge_never_joins_full_outer(spark):
     plan = _plan(merged)
     assert "FullOuter" not in plan
     assert merged.filter("v = 'y'").count() == 10
+
+
+def test_hot_target_key_is_split_in_a_large_merge(spark):
+    settings = {
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        # as in a session that was not built by this library
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "false",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        n = F.col("id")
+        target = spark.range(0, 60_000, 1, 8).select(
+            F.when(n % HOT == 0, 0).otherwise(n).alias("k"), F.xxhash64(n).alias("v")
+        )
+        changes = spark.range(0, 70_000, 7, 8).select(
+            n.alias("k"),
+            F.lit(1).cast("bigint").alias("v"),
+            F.when(n % 2 == 0, "insert").otherwise("update").alias("change_type"),
+        )
+        tagged = merge.tag_changes(target, changes, ["k"])
+        counts = {r["action"]: r["n_rows"] for r in merge.merge_metrics(tagged).collect()}
+        rows = tagged.collect()
+        plan = _plan(tagged)
+        assert "skew=true" in plan, "the join with the updates splits the hot key"
+        # Equal keys alone compress to next to nothing, so this small table does not
+        # look skewed to the join with the inserts. It could be split all the same,
+        # because the aggregate behind it has a shuffle of its own.
+        semi = plan.index("LeftSemi")
+        assert "Exchange hashpartitioning(_groupingexpression" in plan[:semi]
+        updated = sum(1 for k in range(0, 60_000) if k % HOT and k % 7 == 0 and k % 2)
+        # even keys of the changes are inserts: new beyond the target, and where the hot rows took the key
+        taken = {0} | {k for k in range(60_000) if k % HOT}
+        inserted = sum(1 for k in range(0, 70_000, 7) if k % 2 == 0 and k not in taken)
+        assert counts == {"kept": 60_000 - updated, "updated": updated, "deleted": 0, "inserted": inserted}
+        assert len(rows) == 60_000 + inserted
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -157,3 +157,43 @@ def test_late_corrections_change_the_ledger(spark):
     typed = everything.select(*[F.col(c).try_cast(t).alias(c) if t else F.col(c) for c, t in ((c, ledger.EVENT_TYPES.get(c)) for c in everything.columns)])
     batch = net_ledger(refine_events(typed.filter("amount IS NOT NULL")))
     assert sorted(map(str, batch.collect())) == sorted(map(str, net.latest().select(batch.columns).collect()))
+
+
+def test_crash_between_events_and_ledger_is_made_good(spark, monkeypatch):
+    root = scratch_path(spark, "crash")
+    events, net = ledger.ledger_tables(spark, root, buckets=4)
+    _land(spark, f"{root}/feed", 1, [(1, 1, "sale", "2025-01-01", 7, 8, "1.0", "10.0")], EVENT)
+
+    def run():
+        stream = ingest.arriving_csv(spark, f"{root}/feed", ledger.EVENT_FEED_SCHEMA)
+        ledger.stream_ledger(stream, events, net, f"{root}/ck")
+
+    def crash(*args, **kwargs):
+        raise RuntimeError("lost the driver")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(net, "replace", crash)
+        with pytest.raises(StreamingQueryException, match="lost the driver"):
+            run()
+    assert events.latest().count() == 1 and net.latest().count() == 0
+    run()
+    assert [(r["sale_id"], r["net_cents"]) for r in net.latest().collect()] == [(1, 1000)]
+    assert events.commits().count() == 1
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Conf:
+        def __init__(self, value):
+            self.value = value
+
+        def get(self, key, default):
+            return self.value
+
+    class Session:
+        def __init__(self, master, value):
+            self.conf = Conf(value)
+            self.sparkContext = type("Context", (), {"master": master})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(Session("yarn", None), "x")
+    assert scratch_path(Session("yarn", "s3a://shared/work/"), "x").startswith("s3a://shared/work/x-")
