@@ -40,13 +40,20 @@ def tag_changes(
     columns = [c for c in target.columns if c not in keys] if columns is None else list(columns)
     op = F.col(op_col)
 
+    # Both groupings below are by the keys as one struct. Grouping by the bare
+    # keys would share its shuffle with the join beside it, and Spark splits a
+    # hot target key only in a join whose sides have shuffles of their own. The
+    # price is one more shuffle of the changes, and only if they are large.
+    whole_key = F.struct(*keys).alias("_key")
+
     acting = (
         changes.filter(op.isin(UPDATE, DELETE))
-        .groupBy(*keys)
+        .groupBy(whole_key)
         .agg(
             F.count("*").alias("_n"),
             F.first(F.struct(op.alias("_op"), *columns)).alias("_change"),
         )
+        .select("_key.*", "_n", "_change")
     )
     too_many = F.raise_error(F.lit("more than one update or delete meets the same target row"))
     action = (
@@ -67,12 +74,9 @@ def tag_changes(
     )
 
     inserts = changes.filter(op == INSERT)
-    # Grouping by the keys as one struct asks for a shuffle of its own, behind
-    # partial aggregation. Grouping by the bare keys would need none after the
-    # join, and then a hot target key in the join could not be split.
     taken = (
         target.join(inserts.select(*keys), keys, "left_semi")
-        .groupBy(F.struct(*keys).alias("_key"))
+        .groupBy(whole_key)
         .agg(F.count("*").alias("_rows"))
         .select("_key.*")
     )
