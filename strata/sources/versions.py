@@ -40,14 +40,20 @@ class SteppedTable:
         self.facts = StructType.fromDDL(f"{facts}, {STEP} BIGINT")
         self.partition_by = list(partition_by)
 
-    def _read(self, part: str, schema: StructType) -> DataFrame:
+    def _read(
+        self, part: str, schema: StructType, steps: Sequence[int] | None = None
+    ) -> DataFrame:
+        """All folders of ``part``, or only those of some steps."""
+        base = f"{self.root}/{part}"
+        paths = [base] if steps is None else [f"{base}/{STEP}={s}" for s in steps]
         try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/{part}")
+            if paths:
+                return self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
-            return self.spark.range(0).select(*nothing)
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+        return self.spark.range(0).select(*nothing)
 
     def commits(self) -> DataFrame:
         return self._read("commits", self.facts)
@@ -65,7 +71,7 @@ class SteppedTable:
 
     def staged(self, step: int) -> DataFrame:
         """Rows of one step, committed or not. Only its folder is read."""
-        return self._read("rows", self.schema).filter(F.col(STEP) == step)
+        return self._read("rows", self.schema, [step])
 
     def commit(self, facts: DataFrame, step: int) -> None:
         facts.write.mode("overwrite").parquet(f"{self.root}/commits/{STEP}={step}")
@@ -115,15 +121,17 @@ class BucketedTable(SteppedTable):
     def current(self, before: int, buckets: DataFrame | None = None) -> DataFrame:
         """Current rows as committed before a step, of all or of some buckets.
 
-        The join with the bucket list prunes the folders that are read. The list
-        is broadcast; it has at most ``buckets`` rows.
+        Only folders of steps that still hold current rows are listed, however
+        many steps there were; the join with the bucket list prunes them further.
+        The list has at most ``buckets`` rows and is broadcast.
         """
         latest = (
             self.commits().filter(F.col(STEP) < before).groupBy(BUCKET).agg(F.max(STEP).alias(STEP))
         )
         if buckets is not None:
             latest = latest.join(buckets, BUCKET, "left_semi")
-        rows = self._read("rows", self.schema)
+        steps = sorted(r[STEP] for r in latest.select(STEP).distinct().collect())
+        rows = self._read("rows", self.schema, steps)
         return rows.join(F.broadcast(latest), [STEP, BUCKET], "left_semi").drop(STEP, BUCKET)
 
     def latest(self) -> DataFrame:

@@ -121,6 +121,10 @@ def test_bucket_list_prunes_folders(spark):
     table.replace(rows, table.touched(rows), 0)
     plan = table.current(1)._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan and BUCKET in plan
+    # steps that were rewritten altogether are not even listed
+    table.replace(rows, table.touched(rows), 1)
+    files = [f for f in table.latest().inputFiles() if "/rows/" in f]
+    assert files and all(f"{STEP}=1" in f for f in files)
 
 
 def test_jdbc_reader_asks_for_ranges():
