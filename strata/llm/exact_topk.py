@@ -27,8 +27,8 @@ FAN = 8
 _PARTIAL = "query_id long, node long, vec_id long, score long"
 
 
-def _matrix(rows: pa.Table) -> np.ndarray:
-    values = rows["vec"].combine_chunks()
+def _matrix(rows: pa.Table, name: str) -> np.ndarray:
+    values = rows[name].combine_chunks()
     flat = (values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values).flatten()
     return flat.to_numpy(zero_copy_only=False).reshape(len(rows), -1)
 
@@ -47,8 +47,8 @@ def _tile(k: int):
         if len(cands) and len(queries):
             node = cands["shard"][0].as_py()
             cands = cands.sort_by("vec_id")
-            ids, qids = cands["vec_id"].to_numpy(), queries["vec_id"].to_numpy()
-            c, q = _matrix(cands), _matrix(queries)
+            ids, qids = cands["vec_id"].to_numpy(), queries["q_id"].to_numpy()
+            c, q = _matrix(cands, "vec"), _matrix(queries, "q_vec")
             for at in range(0, len(qids), 256):
                 scores = _products(q[at : at + 256], c)
                 for row, qid in zip(scores, qids[at : at + 256]):
@@ -98,12 +98,15 @@ def exact_topk(
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
     )
     queries = rows.where("asks").select(
-        "vec_id", "vec", "dim",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"),
-        F.pmod(F.xxhash64("vec_id", F.lit(7)), F.lit(blocks)).cast("int").alias("block"),
+        F.col("vec_id").alias("q_id"), F.col("vec").alias("q_vec"), F.col("dim").alias("q_dim"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("q_shard"),
+        F.pmod(F.xxhash64("vec_id", F.lit(7)), F.lit(blocks)).cast("int").alias("q_block"),
+    )
+    lists = (
+        cands.groupBy("dim", "shard", "block")
+        .cogroup(queries.groupBy("q_dim", "q_shard", "q_block"))
+        .applyInArrow(_tile(k), _PARTIAL)
     )
-    tile = ["dim", "shard", "block"]
-    lists = cands.groupBy(*tile).cogroup(queries.groupBy(*tile)).applyInArrow(_tile(k), _PARTIAL)
     while True:
         # every level merges the lists of FAN neighbouring nodes
         shards = math.ceil(shards / FAN)

@@ -47,10 +47,10 @@ QUERIES = {
 
 OP7_SQL = """
 WITH vecs AS (
-    SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    SELECT vec_id, list_transform(embedding, lambda x : CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
     FROM embeddings
     WHERE embedding IS NOT NULL AND len(embedding) > 0
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x : x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
     SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
     FROM vecs q JOIN vecs c ON q.vec_id <> c.vec_id
