@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
+from strata.llm.bpe import encoding_digests
 from strata.llm.exact_topk import exact_topk
 from strata.llm.shard_ring import ring_shards
 from strata.llm.support import table
 from strata.llm.token_counts import count_tokens
+from strata.llm.toxicity import fit_toxicity, held_out, score_toxicity
 from strata.llm.url_filter import UrlRules, judge_urls
 
+TOXIC_FROM = 0.7
 URL_RULES = UrlRules(
     rules=(
         ("allow", "org/"),
@@ -27,6 +30,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
 
 
+def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = ring_shards(table(spark, sf_dir, "documents"), 16)
     return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
@@ -40,9 +47,22 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules=URL_RULES).drop("strict_hits", "soft_hits")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels").where(~held_out()))
+    scored = score_toxicity(docs, model)
+    return scored.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        F.col("tox_score").alias("score"),
+        (F.col("tox_score") >= TOXIC_FROM).cast("int").alias("predicted"),
+        F.expr("transform(tox_evidence, e -> e.example)").alias("evidence"),
+    )
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op2_token_counts, op6_ring_sharding, op7_exact_topk, op9_url_filter)
+    for f in (op2_token_counts, op4_bpe_codec, op6_ring_sharding, op7_exact_topk, op9_url_filter, op10_toxicity)
 }
 
 OP7_SQL = """
