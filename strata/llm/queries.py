@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from strata.llm.bpe import encoding_digests
+from strata.llm.decontaminate import find_contamination
 from strata.llm.exact_topk import exact_topk
 from strata.llm.shard_ring import ring_shards
 from strata.llm.support import table
@@ -34,6 +35,10 @@ def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = ring_shards(table(spark, sf_dir, "documents"), 16)
     return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
@@ -62,7 +67,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_token_counts, op4_bpe_codec, op6_ring_sharding, op7_exact_topk, op9_url_filter, op10_toxicity)
+    for f in (op2_token_counts, op4_bpe_codec, op5_decontaminate, op6_ring_sharding, op7_exact_topk, op9_url_filter, op10_toxicity)
 }
 
 OP7_SQL = """
