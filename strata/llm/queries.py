@@ -9,6 +9,7 @@ import public_tokenizers
 from strata.llm.bpe import encoding_digests
 from strata.llm.decontaminate import find_contamination
 from strata.llm.exact_topk import exact_topk
+from strata.llm.order_minhash import near_duplicates
 from strata.llm.shard_ring import ring_shards
 from strata.llm.support import table
 from strata.llm.token_counts import count_tokens
@@ -48,6 +49,10 @@ def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules=URL_RULES).drop("strict_hits", "soft_hits")
 
@@ -67,7 +72,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_token_counts, op4_bpe_codec, op5_decontaminate, op6_ring_sharding, op7_exact_topk, op9_url_filter, op10_toxicity)
+    for f in (op2_token_counts, op4_bpe_codec, op5_decontaminate, op6_ring_sharding, op7_exact_topk, op8_order_minhash, op9_url_filter, op10_toxicity)
 }
 
 OP7_SQL = """
