@@ -11,6 +11,7 @@ from strata.llm.decontaminate import find_contamination
 from strata.llm.exact_topk import exact_topk
 from strata.llm.order_minhash import near_duplicates
 from strata.llm.shard_ring import ring_shards
+from strata.llm.suffix_dedup import remove_repeats
 from strata.llm.support import table
 from strata.llm.token_counts import count_tokens
 from strata.llm.toxicity import fit_toxicity, held_out, score_toxicity
@@ -28,6 +29,11 @@ URL_RULES = UrlRules(
 )
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), 50)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
 
@@ -72,7 +78,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_token_counts, op4_bpe_codec, op5_decontaminate, op6_ring_sharding, op7_exact_topk, op8_order_minhash, op9_url_filter, op10_toxicity)
+    for f in (op1_suffix_dedup, op2_token_counts, op4_bpe_codec, op5_decontaminate, op6_ring_sharding, op7_exact_topk, op8_order_minhash, op9_url_filter, op10_toxicity)
 }
 
 OP7_SQL = """

@@ -38,16 +38,15 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(p)
 
 
-class _Tables:
-    size = 0
+_KNOWN_POWERS: list[np.ndarray] = []
 
-    @classmethod
-    def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > cls.size:
-            cls.size = max(n, 1 << 20)
-            cls.up = _powers(_BASE, cls.size)
-            cls.down = _powers(U64(pow(int(_BASE), -1, 1 << 64)), cls.size)
-        return cls.up, cls.down
+
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hash base and of its inverse, ``n`` at least: sums of byte x power make rolling hashes."""
+    if not _KNOWN_POWERS or len(_KNOWN_POWERS[0]) < n:
+        size = max(n, 1 << 21)
+        _KNOWN_POWERS[:] = _powers(_BASE, size), _powers(U64(pow(int(_BASE), -1, 1 << 64)), size)
+    return _KNOWN_POWERS[0], _KNOWN_POWERS[1]
 
 
 def words_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -62,7 +61,7 @@ def words_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     inside = _WORD[data]
     edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
     start, end = edge[::2], edge[1::2]
-    up, down = _Tables.of(len(data) + 1)
+    up, down = power_tables(len(data) + 1)
     total = np.empty(len(data) + 1, U64)
     total[0] = 0
     np.cumsum((data.astype(U64) + U64(1)) * up[: len(data)], out=total[1:])
