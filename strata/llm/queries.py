@@ -12,10 +12,12 @@ from strata.llm.exact_topk import exact_topk
 from strata.llm.order_minhash import near_duplicates
 from strata.llm.shard_ring import ring_shards
 from strata.llm.suffix_dedup import remove_repeats
-from strata.llm.support import table
+from strata.llm.support import table, written
 from strata.llm.token_counts import count_tokens
 from strata.llm.toxicity import fit_toxicity, held_out, score_toxicity
 from strata.llm.url_filter import UrlRules, judge_urls
+from strata.llm.warc import capture_index, read_archives, write_archives
+from strata.session import scratch_path
 
 TOXIC_FROM = 0.7
 URL_RULES = UrlRules(
@@ -38,6 +40,14 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
 
 
+def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "archives")
+    write_archives(table(spark, sf_dir, "pages"), path, 0)
+    # read once: the index samples its keys and then cuts them into ranges
+    index = capture_index(written(read_archives(spark, path).drop("payload"), "captures"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "range", "place")
+
+
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -78,7 +88,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_suffix_dedup, op2_token_counts, op4_bpe_codec, op5_decontaminate, op6_ring_sharding, op7_exact_topk, op8_order_minhash, op9_url_filter, op10_toxicity)
+    for f in (op1_suffix_dedup, op2_token_counts, op3_warc_index, op4_bpe_codec, op5_decontaminate, op6_ring_sharding, op7_exact_topk, op8_order_minhash, op9_url_filter, op10_toxicity)
 }
 
 OP7_SQL = """
