@@ -25,7 +25,6 @@ judged each; empty tables give an empty result, or one in which nothing matches.
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,6 +32,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -128,6 +128,34 @@ def _matches(index: ItemIndex, words: np.ndarray, radius: int, threshold: float)
     return best
 
 
+class _Finder:
+    """Finds the documents that share a shingle with an item, and matches those."""
+
+    def __init__(self, index: ItemIndex, radius: int, threshold: float):
+        self.index, self.radius, self.threshold = index, radius, threshold
+        self.lengths = [SHINGLE, *(s for s in index.by_size if s < SHINGLE)]
+        self.marks = np.zeros(1 << 22, bool)
+        self.marks[self._slot(index.hashes)] = True
+
+    def _slot(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes & np.uint64(len(self.marks) - 1)).astype(np.int64)
+
+    def find(self, texts: list[str | None]) -> Iterator[tuple[int, int, float, int]]:
+        """(row, item number, similarity, first word)"""
+        for a, b in in_slices(texts):
+            words, first = words_of(texts[a:b])
+            shares = np.zeros(b - a, bool)
+            for length in self.lengths:
+                shingles, begin = shingles_of(words, first, length)
+                hit = np.flatnonzero(self.marks[self._slot(shingles)])
+                hit = hit[np.isin(shingles[hit], self.index.hashes)]
+                shares[np.searchsorted(begin, hit, "right") - 1] = True
+            for i in np.flatnonzero(shares):
+                best = _matches(self.index, words[first[i] : first[i + 1]], self.radius, self.threshold)
+                for item, (value, at) in best.items():
+                    yield a + int(i), item, value, at
+
+
 def _item_blocks(benchmark: DataFrame, id_col: str, text_col: str, most: int) -> Iterator[list[tuple]]:
     """Items of at most ``most`` bytes together, or one."""
     block, size = [], 0
@@ -139,7 +167,8 @@ def _item_blocks(benchmark: DataFrame, id_col: str, text_col: str, most: int) ->
         if len(words_of([text])[0]):
             block.append((item, text))
             size += len(text)
-    yield block
+    if block:
+        yield block
 
 
 def find_contamination(
@@ -157,41 +186,48 @@ def find_contamination(
     kind, item_kind = dict(docs.dtypes)[id_col], dict(benchmark.dtypes)[item_id_col]
     schema = f"id {kind}, item {item_kind}, similarity double, first_word int"
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    context = docs.sparkSession.sparkContext
 
     def search(index: ItemIndex) -> DataFrame:
-        shared = context.broadcast(index)
+        shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            index = shared.value
-            short = [s for s in index.by_size if s < SHINGLE]
-            marks = np.zeros(1 << 22, bool)
-            marks[(index.hashes & np.uint64(len(marks) - 1)).astype(np.int64)] = True
+            finder = _Finder(shared.value, radius, threshold)
             for frame in frames:
-                ids, texts, out = frame["id"].tolist(), frame["text"].tolist(), []
-                for a, b in in_slices(texts):
-                    words, first = words_of(texts[a:b])
-                    found = np.zeros(b - a, bool)
-                    for long in [SHINGLE, *short]:
-                        shingles, begin = shingles_of(words, first, long)
-                        hit = np.flatnonzero(marks[(shingles & np.uint64(len(marks) - 1)).astype(np.int64)])
-                        hit = hit[np.isin(shingles[hit], index.hashes)]
-                        found[np.searchsorted(begin, hit, "right") - 1] = True
-                    for i in np.flatnonzero(found):
-                        best = _matches(index, words[first[i] : first[i + 1]], radius, threshold)
-                        out += [(ids[a + i], index.ids[j], value, at) for j, (value, at) in best.items()]
+                ids = frame["id"].tolist()
+                out = [(ids[i], finder.index.ids[j], value, at) for i, j, value, at in finder.find(frame["text"].tolist())]
                 yield pd.DataFrame(out, columns=["id", "item", "similarity", "first_word"])
 
         return rows.mapInPandas(run, schema)
 
-    blocks = _item_blocks(benchmark, item_id_col, item_text_col, item_block_bytes)
-    found = [search(ItemIndex.of(block)) for block in blocks if block]
+    found = [search(ItemIndex.of(block)) for block in _item_blocks(benchmark, item_id_col, item_text_col, item_block_bytes)]
     if not found:
         found = [docs.sparkSession.createDataFrame([], schema)]
     return reduce(DataFrame.unionByName, found).withColumnsRenamed({"id": id_col, "item": item_id_col})
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
-    """The rows of ``docs`` whose id has no match; a null id is judged by nothing and stays."""
-    found = find_contamination(docs, benchmark, id_col=id_col, **how).select(F.col(id_col).alias("_hit")).distinct()
-    return docs.join(found, F.col(id_col) == F.col("_hit"), "left_anti")
+def drop_contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    threshold: float = THRESHOLD,
+    radius: int = RADIUS,
+    text_col: str = "text",
+    item_id_col: str = "item_id",
+    item_text_col: str = "text",
+    item_block_bytes: int = 8 << 20,
+) -> DataFrame:
+    """The rows of ``docs`` that hold no window of any item, with all their columns."""
+
+    def without(docs: DataFrame, index: ItemIndex) -> DataFrame:
+        shared = docs.sparkSession.sparkContext.broadcast(index)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            finder = _Finder(shared.value, radius, threshold)
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                keep[[i for i, *_ in finder.find(batch[text_col].to_pylist())]] = False
+                yield batch.filter(pa.array(keep))
+
+        return docs.mapInArrow(run, docs.schema)
+
+    blocks = _item_blocks(benchmark, item_id_col, item_text_col, item_block_bytes)
+    return reduce(without, map(ItemIndex.of, blocks), docs)

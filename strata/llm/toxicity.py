@@ -31,8 +31,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from strata.llm.support import in_slices, words_of
 
@@ -225,16 +228,20 @@ def document_frequencies(texts: DataFrame, terms: np.ndarray) -> np.ndarray:
     return out
 
 
-def score_toxicity(df: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text", evidence: bool = True) -> DataFrame:
+def score_toxicity(df: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of ``df`` with tox_score and, as tox_evidence, the nearest examples' ids, cosines and labels."""
     kept = df.drop("tox_score", "tox_evidence")
     shared = df.sparkSession.sparkContext.broadcast(model)  # bounded by the sample's bounds
+    kind = df.schema[id_col].dataType
+    why_type = f"array<struct<example: {kind.simpleString()}, cosine: double, toxic: int>>"
+    schema = StructType([*kept.schema.fields, *StructType.fromDDL(f"tox_score double, tox_evidence {why_type}").fields])
+    arrow_why = to_arrow_schema(schema).field("tox_evidence").type
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         empty, plain = model.score(0.0), None
-        for frame in frames:
-            texts = [t if isinstance(t, str) else None for t in frame["text"]]
+        for batch in batches:
+            texts = batch[text_col].to_pylist()
             rows, terms, weights = model.vectors(texts)
             at = _by_row(rows, len(texts))
             scores, why = np.full(len(texts), empty), [[] for _ in texts]
@@ -247,14 +254,11 @@ def score_toxicity(df: DataFrame, model: ToxicityModel, id_col: str = "doc_id",
                 else:
                     found, near = model.nearest(terms[a:b], weights[a:b])
                 scores[i] = model.score(model.vote(found, near))
-                if evidence:
-                    why[i] = [(model.ids[f], float(s), int(model.labels[f])) for f, s in zip(found[:3], near)]
-            yield pd.DataFrame({"key": frame["key"], "tox_score": scores, "tox_evidence": why})
-
-    kind = dict(df.dtypes)[id_col]
-    keyed = kept.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"))
-    schema = f"key {kind}, tox_score double, tox_evidence array<struct<example: {kind}, cosine: double, toxic: int>>"
-    return keyed.mapInPandas(run, schema).withColumnRenamed("key", id_col)
+                why[i] = [{"example": model.ids[f], "cosine": float(s), "toxic": int(model.labels[f])} for f, s in zip(found[:3], near)]
+            columns = [*batch.columns, pa.array(scores, pa.float64()), pa.array(why, arrow_why)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "tox_score", "tox_evidence"])
+
+    return kept.mapInArrow(run, schema)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
