@@ -150,11 +150,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
                     keep.append(i)
             yield frame[["a", "b"]].iloc[keep]
 
-    kind = dict(pairs.dtypes)["a"]
-    full = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b").join(
-        texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a"
+    full = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(
+        texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a"
     )
-    return full.select("a", "b", "text_a", "text_b").mapInPandas(check, f"a {kind}, b {kind}")
+    return full.select("a", "b", "text_a", "text_b").mapInPandas(check, "a long, b long")
 
 
 def near_duplicates(
@@ -177,40 +176,44 @@ def near_duplicates(
 
     sketched = written(hashed.mapInPandas(sketch, f"id {kind}, same binary, bands array<long>"), "omh-sketches")
     first = F.struct(F.col("id").isNull().alias("none"), "id", "bands")
-    nodes = written(
-        sketched.groupBy("same").agg(F.min(first).alias("n"), F.count("*").alias("n_copies")).select("same", "n_copies", "n.id", "n.bands"),
-        "omh-nodes",
-    )
-    members = nodes.where("id is not null").select("id", F.posexplode("bands").alias("band", "key"))
+    nodes = sketched.groupBy("same").agg(F.min(first).alias("n"), F.count("*").alias("n_copies"))
+    # numbers of the different texts: written, they stay what they are
+    nodes = written(nodes.select("same", "n_copies", "n.id", "n.bands", F.monotonically_increasing_id().alias("node")), "omh-nodes")
+    members = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     sizes = members.groupBy("band", "key").agg(F.count("*").alias("size")).where("size > 1")
     members = written(members.join(sizes, ["band", "key"]), "omh-members")
-    weight = members.groupBy("id").agg(F.sum("size").alias("weight"))
-    members = written(members.join(weight, "id"), "omh-buckets")
-    texts = written(rows.join(members.select("id").distinct(), "id").groupBy("id").agg(F.min("text").alias("text")), "omh-texts")
+    weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
+    members = written(members.join(weight, "node"), "omh-buckets")
+    wanted = nodes.join(members.select("node").distinct(), "node").select("node", F.col("same").alias("n_same"), F.col("id").alias("n_id"))
+    texts = hashed.join(wanted, (F.col("same") == F.col("n_same")) & F.col("id").eqNullSafe(F.col("n_id")))
+    texts = written(texts.groupBy("same", "id").agg(F.min("node").alias("node"), F.min("text").alias("text")).select("node", "text"), "omh-texts")
 
     # rows that repeat an id with another text are one document
     repeated = sketched.where("id is not null").groupBy("id").agg(F.min("same").alias("low"), F.max("same").alias("high"))
-    repeated = sketched.join(repeated.where("low <> high").select("id"), "id").select(F.col("id").alias("a"), "same")
-    edges = written(repeated.join(nodes.select("same", F.col("id").alias("b")), "same").select("a", "b"), "omh-edges")
-    done, hubs, open_ = 0, HUBS, members.withColumn("root", F.col("id"))
+    repeated = sketched.join(repeated.where("low <> high").select("id", "low"), "id").select("same", "low").distinct()
+    repeated = repeated.join(nodes.select("same", F.col("node").alias("a")), "same").join(
+        nodes.select(F.col("same").alias("low"), F.col("node").alias("b")), "low"
+    )
+    edges = written(repeated.select("a", "b"), "omh-edges")
+    done, hubs, open_ = 0, HUBS, members.withColumn("root", F.col("node"))
     while True:
-        order = Window.partitionBy("band", "key").orderBy(F.desc("weight"), "id")
+        order = Window.partitionBy("band", "key").orderBy(F.desc("weight"), "node")
         # the limit on the row number cuts every bucket to its hubs before the shuffle
         best = open_.withColumn("n", F.row_number().over(order)).where(F.col("n") <= done + hubs).where(F.col("n") > done)
-        best = best.select("band", "key", F.col("id").alias("hub"), F.col("root").alias("hub_root"))
+        best = best.select("band", "key", F.col("node").alias("hub"), F.col("root").alias("hub_root"))
         met = open_.join(best, ["band", "key"]).where("root <> hub_root")
-        pairs = written(met.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct(), "omh-pairs")
+        pairs = written(met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct(), "omh-pairs")
         edges = written(edges.union(_verified(pairs, texts, threshold)), "omh-edges")
-        roots = components(edges)
+        roots = components(edges).withColumnRenamed("id", "node")
         done, hubs = done + hubs, 2 * hubs
-        open_ = members.where(F.col("size") > done).join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+        open_ = members.where(F.col("size") > done).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         mixed = open_.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
         open_ = written(open_.join(mixed.select("band", "key"), ["band", "key"]), "omh-open")
         if open_.isEmpty():
             break
-    named = nodes.select("same", "n_copies", "id").join(roots, "id", "left").select(
-        "same", "n_copies", F.coalesce("root", "id").alias("class_id")
-    )
+    rooted = nodes.select("same", "n_copies", "id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    classes = rooted.groupBy("root").agg(F.min("id").alias("class_id"))
+    named = rooted.join(classes, "root").select("same", "n_copies", "class_id")
     return sketched.select("id", "same").join(named, "same").select(F.col("id").alias(id_col), "class_id", "n_copies")
 
 
