@@ -12,7 +12,7 @@ joined token by token in the same way: see ``bpe_merge.join_encodings``.
 
 Short texts consist of few different stretches "spaces, then no spaces", and the
 encoding of a text is that of its stretches in a row, so each Python worker
-keeps up to ``KEPT`` encoded stretches.
+keeps some ``KEPT`` encoded stretches that were in use lately.
 
 Defined cases: a null text counts as empty and has no ids; special tokens in a
 text become their own id, as the tokenizer's default has it; repeated rows are
@@ -35,8 +35,9 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from strata.llm.bpe_merge import byte_symbols, join_encodings
+from strata.llm.support import in_slices
 
-KEPT = 300_000
+KEPT = 100_000
 LEAF_CHARS = 1 << 16
 # characters that are, or may be, white space beyond ASCII's; texts with them are not cut into stretches
 _ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
@@ -73,20 +74,27 @@ class ByteBpe:
         for t, i in self.special.items():
             self.bytes[i] = t.encode()
         self.specials = re.compile("|".join(map(re.escape, self.special))) if self.special else None
+        # stretches seen lately, and those of the time before
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         """The ids of a text, as little-endian unsigned 32-bit integers."""
         if _ODD_SPACE.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        parts, known = _STRETCH.findall(text), self.known
-        if new := [p for p in dict.fromkeys(parts) if p not in known]:
-            if len(known) + len(new) > KEPT:
-                known.clear()
-                new = list(dict.fromkeys(parts))
-            for part, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                known[part] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, parts))
+        parts, known, older = _STRETCH.findall(text), self.known, self.older
+        new = []
+        for part in set(parts).difference(known):
+            if (ids := older.get(part)) is not None:
+                known[part] = ids
+            else:
+                new.append(part)
+        for part, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            known[part] = np.array(e.ids, "<u4").tobytes()
+        out = b"".join(map(known.__getitem__, parts))
+        if len(known) > KEPT:
+            self.known, self.older = {}, known
+        return out
 
     def decode(self, ids: bytes) -> str:
         """The text of ids; bytes that are no UTF-8 become replacement characters."""
@@ -166,9 +174,27 @@ def segments(bpe: ByteBpe, text: str) -> list[tuple[bool, str]]:
 
 
 def encode_documents(
-    df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", leaf_chars: int = LEAF_CHARS
+    df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", leaf_chars: int = LEAF_CHARS, digests: bool = False
 ) -> DataFrame:
-    """The rows of ``df``'s id and text with ``ids``: binary, little-endian unsigned 32-bit integers."""
+    """id and ids (binary, little-endian unsigned 32-bit integers) for each row of ``df``.
+
+    With ``digests`` instead of ids: n_tokens, ids_sha256 and, of the text that
+    the ids decode to, decoded_sha256.
+    """
+    result = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "ids binary"
+
+    def finish(bpe: ByteBpe, keys: list, ids: list[bytes]) -> pd.DataFrame:
+        if not digests:
+            return pd.DataFrame({"id": keys, "ids": ids})
+        return pd.DataFrame(
+            {
+                "id": keys,
+                "n_tokens": [len(i) // 4 for i in ids],
+                "ids_sha256": [sha256(i).hexdigest() for i in ids],
+                "decoded_sha256": [sha256(bpe.decode(i).encode()).hexdigest() for i in ids],
+            }
+        )
+
     kind = dict(df.select(F.col(id_col).alias("id")).dtypes)["id"]
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     long = F.length("text") > leaf_chars
@@ -176,7 +202,9 @@ def encode_documents(
     def direct(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = byte_bpe(tokenizer_path)
         for frame in frames:
-            yield frame.assign(ids=[bpe.encode(t) for t in frame["text"]])
+            keys, texts = frame["id"].tolist(), frame["text"].tolist()
+            for a, b in in_slices(texts):
+                yield finish(bpe, keys[a:b], [bpe.encode(t) for t in texts[a:b]])
 
     def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = byte_bpe(tokenizer_path)
@@ -204,7 +232,7 @@ def encode_documents(
             )
 
     def assemble(frame: pd.DataFrame) -> pd.DataFrame:
-        bpe, texts, ids = byte_bpe(tokenizer_path), [], []
+        bpe, ids = byte_bpe(tokenizer_path), []
         copies = int(((frame["segment"] == 0) & (frame["leaf"] == 0)).sum())
         one = frame.drop_duplicates(["segment", "leaf"]).sort_values(["segment", "leaf"])
         for _, part in one.groupby("segment", sort=True):
@@ -214,38 +242,14 @@ def encode_documents(
                 ends = np.cumsum(np.frombuffer(row.sizes, "<i4")).tolist()
                 units = [flat[a:b] for a, b in zip([0, *ends], ends)]
                 found.append(Encoded(row.part, np.frombuffer(row.starts, "<i4").tolist(), units))
-            joined = join_tree(bpe, found)
-            texts.append(joined.text)
-            ids.append(np.array(joined.ids(), "<u4").tobytes())
-        out = frame[["id"]].iloc[:1].assign(text="".join(texts), ids=b"".join(ids))
-        return pd.concat([out] * copies)
+            ids.append(np.array(join_tree(bpe, found).ids(), "<u4").tobytes())
+        return finish(bpe, frame["id"].iloc[:1].tolist() * copies, [b"".join(ids)] * copies)
 
-    short = rows.where(~long).mapInPandas(direct, f"id {kind}, text string, ids binary")
+    short = rows.where(~long).mapInPandas(direct, f"id {kind}, {result}")
     leaf = f"id {kind}, key string, segment int, leaf int, special boolean, part string"
     done = f"id {kind}, key string, segment int, leaf int, part string, starts binary, sizes binary, ids binary"
     # equal rows have one key; their leaves are counted in assemble
     parts = rows.where(long).withColumn("key", F.sha2("text", 256)).mapInPandas(split, leaf)
     parts = parts.repartition("key", "segment", "leaf").mapInPandas(encode, done)
-    whole = parts.groupBy("id", "key").applyInPandas(assemble, f"id {kind}, text string, ids binary")
-    return short.unionByName(whole).withColumnsRenamed({"id": id_col, "text": text_col})
-
-
-def encoding_digests(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_tokens, ids_sha256, decoded_sha256: each text encoded, and its ids decoded again."""
-
-    def digest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = byte_bpe(tokenizer_path)
-        for frame in frames:
-            yield pd.DataFrame(
-                {
-                    "id": frame[id_col],
-                    "n_tokens": [len(i) // 4 for i in frame["ids"]],
-                    "ids_sha256": [sha256(i).hexdigest() for i in frame["ids"]],
-                    "decoded_sha256": [sha256(bpe.decode(i).encode()).hexdigest() for i in frame["ids"]],
-                }
-            )
-
-    encoded = encode_documents(df, tokenizer_path, id_col, text_col).select(id_col, "ids")
-    kind = dict(encoded.dtypes)[id_col]
-    schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return encoded.mapInPandas(digest, schema).withColumnRenamed("id", id_col)
+    whole = parts.groupBy("id", "key").applyInPandas(assemble, f"id {kind}, {result}")
+    return short.unionByName(whole).withColumnRenamed("id", id_col)

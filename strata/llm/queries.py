@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from strata.llm.bpe import encoding_digests
+from strata.llm.bpe import encode_documents
 from strata.llm.decontaminate import find_contamination
 from strata.llm.exact_topk import exact_topk
 from strata.llm.order_minhash import near_duplicates
@@ -49,7 +49,7 @@ def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), digests=True)
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

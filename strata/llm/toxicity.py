@@ -103,7 +103,8 @@ class ToxicityModel:
     def vectors(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, term, weight) in order of row: normalised TF-IDF over the vocabulary."""
         rows, terms, weights = [], [], []
-        for a, b in in_slices(texts):
+        # a model without examples has no terms at all
+        for a, b in in_slices(texts) if len(self.idf) else ():
             hashes, first = words_of(texts[a:b])
             key, n = np.unique(_hits(hashes, first, self.terms, True), return_counts=True)
             r, t = np.divmod(key, len(self.terms) + 1)
