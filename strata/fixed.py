@@ -20,3 +20,9 @@ INSERT = "insert"
 IDENTIFIER_LENGTH = 40
 IDENTIFIER_FALLBACK = "student"
 IDENTIFIER_DIGIT_PREFIX = "u_"
+
+#: Columns of the order feed; all of them arrive as text.
+ORDER_FEED_SCHEMA = (
+    "order_id STRING, customer_id STRING, order_ts STRING, channel STRING,"
+    " amount STRING, status STRING, country STRING"
+)

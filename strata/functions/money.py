@@ -17,13 +17,22 @@ ORDER_DIGITS = 4
 CENT_DIGITS = 2
 
 
+#: Amounts from here on have no whole number of their smallest units in a double.
+LARGEST_UNITS = 2.0**53
+
+
 def to_units(amount: Column, digits: int = CENT_DIGITS) -> Column:
-    """Nearest whole number of ``10^-digits``; halves go up."""
-    return F.floor(amount * F.lit(10.0**digits) + F.lit(0.5))
+    """Nearest whole number of ``10^-digits``; halves go up.
+
+    Null for an amount that is not finite or too large to be exact: it is no
+    money amount, though it may be a fine number.
+    """
+    units = amount * F.lit(10.0**digits) + F.lit(0.5)
+    return F.when(F.abs(units) < LARGEST_UNITS, F.floor(units))
 
 
 def exact_sum(units: Column) -> Column:
-    """Sum of a ``bigint`` column as a decimal that cannot overflow.
+    """Sum of a ``bigint`` column as a decimal; only 2^43 rows or more could overflow its parts.
 
     The upper and the lower bits are summed on their own, as plain ``bigint``:
     about as fast as one such sum and several times faster than summing

@@ -5,19 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Amounts beyond this would not fit the whole units of ``functions.money``.
-LARGEST_AMOUNT = 1e14
-
 
 def readable_number(text: Column) -> Column:
-    """Double, or null when the text is no finite number below ``LARGEST_AMOUNT``."""
-    number = text.try_cast("double")
-    # NaN sorts above every number in Spark, so the bound removes it as well
-    return F.when(F.abs(number) < LARGEST_AMOUNT, number)
+    """Double, or null when the text is no number. Very large numbers and NaN are numbers."""
+    return text.try_cast("double")
 
 
 def readable_time(text: Column) -> Column:
-    return text.try_cast("timestamp")
+    """Timestamp, or null when the text is none. A time of day alone names no day and is none."""
+    return F.when(text.rlike(r"^\s*[+-]?\d{4,}-"), text.try_cast("timestamp"))
 
 
 def is_true(condition: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,35 +45,17 @@ def daily_channel_rank(revenue: DataFrame) -> DataFrame:
     return revenue.withColumn("rank_in_day", F.dense_rank().over(by_day))
 
 
-def status_by_country(orders: DataFrame) -> DataFrame:
-    """Rows and observed amount by country and status; unreadable amounts count as 0."""
-    units = F.coalesce(to_units(F.col("amount_value"), ORDER_DIGITS), F.lit(0))
-    return (
-        orders.groupBy("country", "status_clean")
-        .agg(F.count("*").alias("n_rows"), exact_sum(units).alias("units"))
-        .select(
-            "country",
-            F.col("status_clean").alias("status"),
-            "n_rows",
-            from_units(F.col("units"), ORDER_DIGITS).alias("observed_amount"),
-        )
-    )
-
+def amount_summary(
+    rows: DataFrame, by: Mapping[str, str], amount: str = "amount_value", distinct: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Rows and total amount of each group, what is no money amount counting as 0.
 
-def quality_summary(orders: DataFrame) -> DataFrame:
-    """Rows, distinct orders and observed amount of valid and of invalid orders."""
-    units = F.coalesce(to_units(F.col("amount_value"), ORDER_DIGITS), F.lit(0))
-    return (
-        orders.groupBy("is_valid")
-        .agg(
-            F.count("*").alias("n_rows"),
-            F.count_distinct("order_id").alias("distinct_orders"),
-            exact_sum(units).alias("units"),
-        )
-        .select(
-            "is_valid",
-            "n_rows",
-            "distinct_orders",
-            from_units(F.col("units"), ORDER_DIGITS).alias("observed_amount"),
-        )
-    )
+    ``by`` maps result to group columns, ``distinct`` results to columns whose
+    different values are counted.
+    """
+    units = F.coalesce(to_units(F.col(amount), ORDER_DIGITS), F.lit(0))
+    counts = [F.count_distinct(column).alias(name) for name, column in (distinct or {}).items()]
+    grouped = rows.groupBy(*[F.col(column).alias(name) for name, column in by.items()])
+    summed = grouped.agg(F.count("*").alias("n_rows"), *counts, exact_sum(units).alias("units"))
+    total = from_units(F.col("units"), ORDER_DIGITS).alias("observed_amount")
+    return summed.select(*by, "n_rows", *(distinct or {}), total)

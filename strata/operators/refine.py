@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,32 +16,44 @@ from strata.functions import (
     tidy_upper,
     to_units,
 )
+from strata.functions.money import ORDER_DIGITS
 
 
-def standardise_orders(feed: DataFrame) -> DataFrame:
-    """Typed amount and time, tidy texts; the raw columns stay beside them."""
-    return feed.withColumns(
-        {
-            "amount_value": readable_number(F.col("amount")),
-            "order_time": readable_time(F.col("order_ts")),
-            "status_clean": tidy_lower(F.col("status")),
-            "channel_clean": tidy_lower(F.col("channel")),
-            "country": tidy_upper(F.col("country")),
-        }
-    ).withColumn("order_date", F.to_date("order_time"))
+#: How to clean the columns of the order feed: result column, how, raw column.
+ORDER_RULES = (
+    ("amount_value", readable_number, "amount"),
+    ("order_time", readable_time, "order_ts"),
+    ("status_clean", tidy_lower, "status"),
+    ("channel_clean", tidy_lower, "channel"),
+    ("country", tidy_upper, "country"),
+)
+
+
+def standardise(
+    feed: DataFrame, rules: Sequence[tuple[str, Callable[[Column], Column], str]] = ORDER_RULES, dates: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Columns by rule beside the raw ones; ``dates`` maps a new date column to the time it is the day of."""
+    dates = {"order_date": "order_time"} if dates is None else dates
+    cleaned = feed.withColumns({new: clean(F.col(raw)) for new, clean, raw in rules})
+    return cleaned.withColumns({day: F.to_date(time) for day, time in dates.items()}) if dates else cleaned
 
 
-def flag_orders(orders: DataFrame, allowed: Sequence[str] = ORDER_STATUSES) -> DataFrame:
-    """``is_valid``: keys present, time and amount readable, status allowed.
+def flag_valid(
+    rows: DataFrame,
+    present: Sequence[str] = ("order_id", "customer_id", "order_time"),
+    amount: str = "amount_value",
+    status: str = "status_clean",
+    allowed: Sequence[str] = ORDER_STATUSES,
+) -> DataFrame:
+    """``is_valid``: ``present`` columns not null, the amount a money amount, status allowed.
 
     A null status makes the test neither true nor false; it counts as false, so
     that valid and invalid rows together are all rows.
     """
-    present = [F.col(c).isNotNull() for c in ("order_id", "customer_id", "order_time", "amount_value")]
-    valid = F.col("status_clean").isin(*allowed)
-    for test in present:
-        valid = valid & test
-    return orders.withColumn("is_valid", is_true(valid))
+    valid = F.col(status).isin(*allowed) & to_units(F.col(amount), ORDER_DIGITS).isNotNull()
+    for column in present:
+        valid = valid & F.col(column).isNotNull()
+    return rows.withColumn("is_valid", is_true(valid))
 
 
 def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -69,22 +81,13 @@ def latest_order_first() -> list[Column]:
 
 def refine_orders(feed: DataFrame, allowed: Sequence[str] = ORDER_STATUSES) -> DataFrame:
     """Clean orders: one typed and flagged row per order."""
-    flagged = flag_orders(standardise_orders(feed), allowed)
+    flagged = flag_valid(standardise(feed), allowed=allowed)
     return keep_one(flagged, ["order_id"], latest_order_first())
 
 
-def quarantine(orders: DataFrame) -> DataFrame:
-    """Invalid orders with raw and typed values side by side."""
-    return orders.filter(~F.col("is_valid")).select(
-        "order_id",
-        "customer_id",
-        "order_ts",
-        "amount",
-        "status",
-        "order_time",
-        "amount_value",
-        "is_valid",
-    )
+def quarantine(rows: DataFrame, columns: Sequence[str] = ("*",)) -> DataFrame:
+    """The invalid rows, by default with all their columns."""
+    return rows.filter(~F.col("is_valid")).select(*columns)
 
 
 def normalise_events(events: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import readable_number, readable_time
+from strata.sources.files import CORRUPT
 
 RESCUED = "_rescued_data"
 
@@ -26,10 +27,14 @@ def typed_parse(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     ``types`` maps column to type. The rescued column is a JSON object of the
     raw texts, in the order of ``types``, or null when everything fitted. A
     missing value is not a value that failed: it stays null and is not rescued.
+    A line that ``read_feed`` marked as having too few or too many values is
+    rescued whole, under the name of the mark.
     """
     typed = {c: _typed(F.col(c), t) for c, t in types.items()}
     misfit = {c: F.col(c).isNotNull() & typed[c].isNull() for c in types}
-    pairs = [x for c in types for x in (F.lit(c), F.when(misfit[c], F.col(c)))]
+    if CORRUPT in df.columns:
+        misfit[CORRUPT] = F.col(CORRUPT).isNotNull()
+    pairs = [x for c in misfit for x in (F.lit(c), F.when(misfit[c], F.col(c)))]
     texts = F.map_filter(F.create_map(*pairs), lambda _, text: text.isNotNull())
     any_misfit = F.lit(False)
     for failed in misfit.values():
@@ -37,7 +42,7 @@ def typed_parse(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     # one projection: every expression sees the raw text, and the map is built
     # only for the few rows that need it
     return df.select(
-        *[typed[c].alias(c) if c in typed else F.col(c) for c in df.columns],
+        *[typed[c].alias(c) if c in typed else F.col(c) for c in df.columns if c != CORRUPT],
         F.when(any_misfit, F.to_json(texts)).alias(RESCUED),
     )
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.operators.marts import daily_revenue
 from strata.operators.reconcile import assert_layers
 from strata.operators.refine import refine_orders
-from strata.sources.feeds import ORDER_FEED_SCHEMA
+from strata.fixed import ORDER_FEED_SCHEMA
 from strata.sources.files import read_feed, stamp_lineage
 from strata.sources.tables import publish, scan
 

@@ -7,6 +7,11 @@ their final state, feeds are computed from numbers and not from text.
 
 from __future__ import annotations
 
+ALL_TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
+
 # ---- shared parts ---------------------------------------------------------------------
 
 _NOISY = """CASE WHEN o_orderkey % 7 = 0 THEN '  ' ELSE '' END
@@ -29,8 +34,8 @@ copies AS (
 ),
 feed AS (
   SELECT
-    'O-' || o_orderkey AS order_id,
-    'C-' || o_custkey AS customer_id,
+    CAST(o_orderkey AS VARCHAR) AS order_id,
+    CAST(o_custkey AS VARCHAR) AS customer_id,
     CASE WHEN o_orderkey % 70 = 0 THEN NULL WHEN o_orderkey % 130 = 0 THEN 'not a time'
       ELSE strftime(o_orderdate + to_hours(copy), '%Y-%m-%d %H:%M:%S') END AS order_ts,
     CASE WHEN o_orderkey % 70 = 0 OR o_orderkey % 130 = 0 THEN NULL
@@ -130,7 +135,7 @@ named AS (
 )"""
 
 PAST_SALES = f"""{EVENTS},
-past AS (SELECT * FROM made WHERE event_type = 'SALE'),
+past AS (SELECT * FROM events_clean WHERE event_type = 'SALE'),
 whole AS (SELECT CAST(sum(amount_cents) AS DOUBLE) AS cents FROM past)"""
 
 # customers that are overdrawn go, one segment only meets inserts, the others are updated
@@ -163,6 +168,15 @@ GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
 SELECT o_orderkey, 'orders.parquet' AS source_file, 'shop' AS source_system, 1 AS source_batch_id,
   true AS has_time FROM orders""",
     "csv_round_trip": "SELECT * FROM part",
+    "csv_hostile_texts": """
+SELECT doc_id, text || CASE doc_id % 6 WHEN 0 THEN chr(10) || 'b' WHEN 1 THEN chr(13) WHEN 2 THEN chr(34) || ',' || chr(34)
+  WHEN 3 THEN chr(92) WHEN 4 THEN chr(13) || chr(10) || ' ' ELSE '' END AS text
+FROM documents WHERE text <> ''""",
+    "ragged_feed_rescue": """
+SELECT p_partkey AS part_key, CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE p_size END AS size,
+  CASE WHEN p_partkey % 10 = 0 THEN '{"_corrupt_record":"' || p_partkey || '"}'
+    WHEN p_partkey % 15 = 0 THEN '{"_corrupt_record":"' || p_partkey || ',' || p_size || ',more"}' END AS rescued_data
+FROM part""",
     "publish_round_trip": "SELECT * FROM customer",
     "typed_parse_rescue": f"""WITH {FEED}
 SELECT order_id, order_time AS order_ts, amount_value AS amount,
@@ -177,9 +191,7 @@ FROM feed""",
 SELECT is_valid, count(*) AS n_rows, count(DISTINCT order_id) AS distinct_orders,
   {_EXACT_SUM.format("coalesce(amount_value, 0)")} AS observed_amount
 FROM silver GROUP BY is_valid""",
-    "invalid_orders": f"""WITH {SILVER}
-SELECT order_id, customer_id, order_ts, amount, status, order_time, amount_value, is_valid
-FROM silver WHERE NOT is_valid""",
+    "invalid_orders": f"WITH {SILVER} SELECT * FROM silver WHERE NOT is_valid",
     "expectations_report": f"""WITH {FEED}
 SELECT 'has_order_id' AS rule, 'fail' AS action, count(*) FILTER (order_id IS NULL) AS failed_rows,
   count(*) AS checked_rows FROM feed
@@ -324,7 +336,7 @@ UNION ALL SELECT 'worth_something', 'warn', count(*) FILTER (value < 1), count(*
     "idempotent_load": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
     "table_file_stats": "\nUNION ALL ".join(
         f"SELECT '{t}' AS table_name, CAST(1 AS BIGINT) AS n_files, count(*) AS n_rows, true AS has_bytes FROM {t}"
-        for t in ("orders", "lineitem", "customer", "part", "supplier", "events", "pages")
+        for t in ALL_TABLES
     ),
     "manifest_reconcile": """
 SELECT url AS path,

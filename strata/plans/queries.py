@@ -26,11 +26,12 @@ from strata.operators import (
     rescue,
 )
 from strata.operators.expectations import Rule
+from strata.plans.oracles import ALL_TABLES
 from strata.plans.medallion import Layers, run_medallion
 from strata.session import scratch_path
 from strata.sources import feeds, files, loads, tables
 from strata.sources.feeds import table
-from strata.sources.versions import BucketedTable, SteppedTable
+from strata.sources.versions import KeyedLog, SteppedTable
 from strata.streaming import changes, dedup, ingest
 from strata.streaming import expectations as stream_rules
 from strata.streaming import ledger as stream_ledgers
@@ -99,6 +100,32 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_feed(spark, folder, parts.schema)
 
 
+@query
+def csv_hostile_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line ends, quotes and backslashes, landed and read back."""
+    ends = [F.lit(x) for x in ("\nb", "\r", '","', "\\", "\r\n ", "")]
+    docs = table(spark, sf_dir, "documents").filter(F.col("text") != "")
+    docs = docs.select("doc_id", F.concat("text", F.element_at(F.array(*ends), (F.pmod("doc_id", F.lit(6)) + 1).cast("int"))).alias("text"))
+    folder = scratch_path(spark, "texts")
+    files.land_csv(docs, folder, rows_per_file=100_000)
+    return files.read_feed(spark, folder, docs.schema, line_ends=True)
+
+
+@query
+def ragged_feed_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with too few and too many values are kept and rescued."""
+    key = F.col("p_partkey")
+    line = F.concat_ws(
+        ",", key, F.when(key % 10 != 0, F.col("p_size")), F.when((key % 15 == 0) & (key % 10 != 0), "more")
+    )
+    folder = scratch_path(spark, "ragged")
+    lines = table(spark, sf_dir, "part").select(line.alias("value"))
+    lines.write.text(folder)
+    feed = files.read_feed(spark, folder, "part_key STRING, size STRING", ragged=True, header=False)
+    parsed = rescue.typed_parse(feed, {"part_key": "bigint", "size": "int"})
+    return parsed.withColumnRenamed(rescue.RESCUED, "rescued_data")
+
+
 @query
 def publish_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = _unique("customers")
@@ -125,12 +152,14 @@ def silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.quality_summary(_orders(spark, sf_dir))
+    return marts.amount_summary(
+        _orders(spark, sf_dir), {"is_valid": "is_valid"}, distinct={"distinct_orders": "order_id"}
+    )
 
 
 @query
 def invalid_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = refine.quarantine(_orders(spark, sf_dir))
+    rows = refine.quarantine(_orders(spark, sf_dir, with_country=True))
     return rows.withColumn("order_time", _plain_time("order_time"))
 
 
@@ -146,13 +175,13 @@ def order_rules() -> list[Rule]:
 
 @query
 def expectations_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = refine.standardise_orders(feeds.order_feed(spark, sf_dir, with_country=False))
+    feed = refine.standardise(feeds.order_feed(spark, sf_dir, with_country=False))
     return expectations.expectations_report(feed, order_rules())
 
 
 @query
 def expectations_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = refine.standardise_orders(feeds.order_feed(spark, sf_dir, with_country=False))
+    feed = refine.standardise(feeds.order_feed(spark, sf_dir, with_country=False))
     rules = order_rules()
     kept = expectations.drop_failing(expectations.stop_on_failing(feed, rules), rules)
     return kept.select("order_id", _plain_time("order_time"), "amount_value", "status_clean")
@@ -180,7 +209,8 @@ def consumer_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def status_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.status_by_country(_orders(spark, sf_dir, with_country=True))
+    by = {"country": "country", "status": "status_clean"}
+    return marts.amount_summary(_orders(spark, sf_dir, with_country=True), by)
 
 
 @query
@@ -273,9 +303,8 @@ def weekday_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _past_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sale rows as the source system holds them; the filter reaches the scan."""
-    lines = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "N")
-    return refine.normalise_events(feeds.sales_event_feed(lines))
+    """Sales as they stand after all corrections: an event counts once, however often it came."""
+    return _events(spark, sf_dir).filter(F.col("event_type") == fixed.SALE)
 
 
 @query
@@ -338,16 +367,15 @@ def merge_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Folders of a keyed table; a table keeps the number it was made with.
+BUCKETS = 8
 ACCOUNT_SCHEMA = "account_id BIGINT, name STRING, balance DOUBLE"
 
 
-def _merge_deliveries(
-    spark: SparkSession, sf_dir: str, root: str, metrics: SteppedTable | None = None
-) -> BucketedTable:
+def _merge_deliveries(spark: SparkSession, sf_dir: str) -> KeyedLog:
     """Four deliveries; the stream runs after the first, after the second, and after both others."""
-    target = BucketedTable(
-        spark, f"{root}/accounts", ACCOUNT_SCHEMA, ["account_id"], spark.sparkContext.defaultParallelism
-    )
+    root = scratch_path(spark, "accounts")
+    target = KeyedLog(spark, f"{root}/log", ACCOUNT_SCHEMA, ["account_id"], BUCKETS, changes.NOTES)
     changes.start_table(target, feeds.account_target(spark, sf_dir))
     deliveries = feeds.account_deliveries(spark, sf_dir)
     for numbers in ((1,), (2,), (3, 4)):
@@ -358,28 +386,25 @@ def _merge_deliveries(
             partition_by=[ingest.BATCH],
         )
         stream = ingest.arriving_csv(spark, f"{root}/feed", f"{ACCOUNT_SCHEMA}, change_type STRING")
-        changes.stream_changes(stream, target, f"{root}/checkpoint", ["account_id"], metrics=metrics)
+        changes.stream_changes(stream, target, f"{root}/checkpoint", ["account_id"])
     return target
 
 
 @query
 def merge_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _merge_deliveries(spark, sf_dir, scratch_path(spark, "accounts")).latest()
+    return _merge_deliveries(spark, sf_dir).current()
 
 
 @query
 def merge_stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_path(spark, "accounts")
-    metrics = changes.metrics_table(spark, f"{root}/metrics")
-    _merge_deliveries(spark, sf_dir, root, metrics)
-    return metrics.rows()
+    return changes.change_counts(_merge_deliveries(spark, sf_dir))
 
 
 @query
 def stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Yearly event files in two deliveries; the later one corrects sales of the first."""
     root = scratch_path(spark, "ledger")
-    events, net = stream_ledgers.ledger_tables(spark, root, spark.sparkContext.defaultParallelism)
+    events, net = stream_ledgers.ledger_tables(spark, root, BUCKETS)
     feed = feeds.sales_event_feed(table(spark, sf_dir, "lineitem"))
     later = F.col(ingest.BATCH) >= 1998
     for part in (~later, later):
@@ -391,7 +416,7 @@ def stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         stream = ingest.arriving_csv(spark, f"{root}/feed", stream_ledgers.EVENT_FEED_SCHEMA)
         stream_ledgers.stream_ledger(stream, events, net, f"{root}/checkpoint")
-    return net.latest()
+    return net.current()
 
 
 # ---- files and event streams ----------------------------------------------------------
@@ -438,17 +463,15 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events, then the purchases a second time under other file names."""
+    """The newest events first, then, long behind them, all events again under other file names."""
     root = scratch_path(spark, "dedup")
-    for batch, rows in ((1, F.lit(True)), (2, F.col("event_type") == "purchase")):
+    schema = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+    target = SteppedTable(spark, f"{root}/silver", schema)
+    for batch, rows in ((1, F.col("event_type") == "purchase"), (2, F.lit(True))):
         _land_clicks(spark, sf_dir, f"{root}/feed", batch, rows)
-        stream = ingest.arriving_csv(spark, f"{root}/feed", CLICK_SCHEMA)
-        stream = stream.withColumn(dedup.SPREAD, dedup.file_spread())
-        once = dedup.dedup_stream(_typed_clicks(stream), ["event_id"], "ts", "400 days")
-        ingest.append_stream(once, f"{root}/silver", f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/silver").select(
-        "event_id", _plain_time("ts"), "user_id", "event_type", "value", "props"
-    )
+        stream = _typed_clicks(ingest.arriving_csv(spark, f"{root}/feed", CLICK_SCHEMA)).drop(ingest.BATCH)
+        dedup.dedup_into(stream, ["event_id"], target, f"{root}/checkpoint")
+    return target.rows().withColumn("ts", _plain_time("ts"))
 
 
 def click_rules() -> list[Rule]:
@@ -506,8 +529,7 @@ def idempotent_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def table_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ("orders", "lineitem", "customer", "part", "supplier", "events", "pages")
-    stats = tables.table_file_stats({name: table(spark, sf_dir, name) for name in names})
+    stats = tables.table_file_stats({name: table(spark, sf_dir, name) for name in ALL_TABLES})
     return stats.select("table_name", "n_files", "n_rows", (F.col("n_bytes") > 0).alias("has_bytes"))
 
 

@@ -9,12 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: All columns of the order feed arrive as text.
-ORDER_FEED_SCHEMA = (
-    "order_id STRING, customer_id STRING, order_ts STRING, channel STRING,"
-    " amount STRING, status STRING, country STRING"
-)
-
 TIME_TEXT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -70,8 +64,8 @@ def order_feed(spark: SparkSession, sf_dir: str, with_country: bool = True) -> D
         (F.col("o_totalprice") + F.col("copy")).cast("string")
     )
     return orders.withColumn("copy", F.explode(copies)).select(
-        F.concat(F.lit("O-"), key.cast("string")).alias("order_id"),
-        F.concat(F.lit("C-"), F.col("o_custkey").cast("string")).alias("customer_id"),
+        key.cast("string").alias("order_id"),
+        F.col("o_custkey").cast("string").alias("customer_id"),
         order_ts.alias("order_ts"),
         noisy(F.lower("o_orderpriority")).alias("channel"),
         amount.alias("amount"),

@@ -8,12 +8,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-CSV_OPTIONS = {"header": "true"}
+#: The header has to name the schema's columns; quotes inside a text are doubled.
+CSV_OPTIONS = {"header": "true", "enforceSchema": "false", "escape": '"'}
+#: Column of a line as it stands in the file, where it has too few or too many values.
+CORRUPT = "_corrupt_record"
 
 
-def read_feed(spark: SparkSession, folder: str, schema: str | StructType) -> DataFrame:
-    """All CSV files of a folder with an explicit schema; nothing is inferred."""
-    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(folder)
+def read_feed(
+    spark: SparkSession, folder: str, schema: str | StructType, ragged: bool = False, line_ends: bool = False, header: bool = True
+) -> DataFrame:
+    """All CSV files of a folder with an explicit schema; nothing is inferred.
+
+    A file whose header differs from the schema is an error. With ``ragged``,
+    lines with too few or too many values are marked in a column
+    ``_corrupt_record``, which ``typed_parse`` rescues. With ``line_ends``, texts
+    may hold line ends; a file then cannot be split between tasks.
+    """
+    reader = spark.read.options(**CSV_OPTIONS | {"header": str(header).lower()})
+    if line_ends:
+        reader = reader.option("multiLine", "true")
+    if ragged:
+        fields = StructType.fromDDL(schema) if isinstance(schema, str) else StructType(list(schema.fields))
+        schema = fields.add(CORRUPT, "string")
+        # with fewer columns read, Spark would not see that values are missing
+        reader = reader.options(columnNameOfCorruptRecord=CORRUPT, columnPruning="false")
+    return reader.schema(schema).csv(folder)
 
 
 def land_csv(
@@ -25,11 +44,12 @@ def land_csv(
 ) -> None:
     """Write headed CSV. Files are split by row count, never gathered into one task.
 
-    Outer spaces come back from ``read_feed`` as they were; an empty text comes
-    back as null, as it does with any CSV file Spark reads.
+    Outer spaces, quotes and backslashes come back from ``read_feed`` as they
+    were, and line ends with its ``line_ends``; an empty text comes back as
+    null, as it does with any CSV file Spark reads.
     """
     writer = df.write.mode(mode).options(
-        **CSV_OPTIONS, ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
+        header="true", escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
     )
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from itertools import batched
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,21 +31,25 @@ def new_files(target: SteppedTable, folder: str, pattern: str = "*.csv") -> Data
     return files.join(target.commits(), "file_path", "left_anti")
 
 
+def _literal(path: str) -> str:
+    """A path in which no sign stands for other names."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def load_new_files(
     target: SteppedTable, folder: str, feed_schema: str, system: str, files_per_step: int = 10_000
 ) -> int:
     """Append the rows of files not loaded before; returns the number of steps taken.
 
-    Each step takes at most ``files_per_step`` names, so the names on the driver
-    are bounded; steps go on until no file is left.
+    The folder is listed once. Each step takes at most ``files_per_step`` names,
+    so the names on the driver are bounded; steps go on until no file is left.
     """
-    steps = 0
-    while True:
-        names = [r["file_path"] for r in new_files(target, folder).limit(files_per_step).collect()]
-        if not names:
-            return steps
-        rows = target.spark.read.options(**CSV_OPTIONS).schema(feed_schema).csv(names)
+    steps, spark = 0, target.spark
+    pending = (r["file_path"] for r in new_files(target, folder).toLocalIterator())
+    for names in batched(pending, files_per_step):
+        rows = spark.read.options(**CSV_OPTIONS).schema(feed_schema).csv([_literal(n) for n in names])
         step = target.next_step()
         target.stage(stamp_lineage(rows, system), step)
-        target.commit(target.spark.createDataFrame([(n,) for n in names], LOADED), step)
+        target.commit(spark.createDataFrame([(n,) for n in names], LOADED), step)
         steps += 1
+    return steps

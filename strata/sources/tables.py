@@ -76,14 +76,6 @@ def consumer_view(
     return spark.table(view)
 
 
-def session_context(spark: SparkSession) -> DataFrame:
-    """Who works where, and when."""
-    return spark.sql(
-        "SELECT current_user() AS user, current_catalog() AS catalog,"
-        " current_schema() AS schema, current_timestamp() AS at"
-    )
-
-
 def file_stats(df: DataFrame) -> DataFrame:
     """Rows and bytes of each file behind a table. No data column is read."""
     return df.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(

@@ -1,8 +1,12 @@
-"""Tables that grow or change in committed steps.
+"""Tables that grow in committed steps.
 
 A step writes its rows under a folder of its own and then a small commit table.
 Readers take only what is committed. A step that died half way leaves rows
 nobody reads, and running it again overwrites them: the data lands exactly once.
+
+A commit may name its origin, for instance the stream and the batch that made
+it, so that work which comes a second time is recognised. Batch numbers alone
+would not do: every new stream counts from 0 again.
 """
 
 from __future__ import annotations
@@ -10,13 +14,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 STEP = "_step"
-BUCKET = "_bucket"
 ORIGIN = "_origin"
+BUCKET = "_bucket"
+GONE = "_gone"
 
 
 class SteppedTable:
@@ -37,31 +42,40 @@ class SteppedTable:
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = StructType.fromDDL(f"{schema}, {STEP} BIGINT")
-        self.facts = StructType.fromDDL(f"{facts}, {STEP} BIGINT")
+        self.facts = StructType.fromDDL(f"{facts}, {ORIGIN} STRING, {STEP} BIGINT")
         self.partition_by = list(partition_by)
 
-    def _read(
-        self, part: str, schema: StructType, steps: Sequence[int] | None = None
-    ) -> DataFrame:
-        """All folders of ``part``, or only those of some steps."""
-        base = f"{self.root}/{part}"
-        paths = [base] if steps is None else [f"{base}/{STEP}={s}" for s in steps]
+    def _nothing(self, schema: StructType) -> DataFrame:
+        return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+    def _rows_of(self, steps: Sequence[int]) -> DataFrame:
+        """Rows of these steps; a folder that is not there is an error."""
+        if not steps:
+            return self._nothing(self.schema)
+        base = f"{self.root}/rows"
+        paths = [f"{base}/{STEP}={s}" for s in steps]
+        return self.spark.read.schema(self.schema).option("basePath", base).parquet(*paths)
+
+    def commits(self) -> DataFrame:
+        """What each step says; nothing only if no step was ever committed."""
         try:
-            if paths:
-                return self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
+            return self.spark.read.schema(self.facts).parquet(f"{self.root}/commits")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
-        return self.spark.range(0).select(*nothing)
+        return self._nothing(self.facts)
 
-    def commits(self) -> DataFrame:
-        return self._read("commits", self.facts)
+    def steps(self) -> list[int]:
+        """Numbers of the committed steps: one for each folder that a reader lists anyway."""
+        return sorted(r[STEP] for r in self.commits().select(STEP).distinct().collect())
 
     def next_step(self) -> int:
         last = self.commits().agg(F.max(STEP)).first()[0]
         return 0 if last is None else last + 1
 
+    def has(self, origin: str) -> bool:
+        return not self.commits().filter(F.col(ORIGIN) == origin).isEmpty()
+
     def stage(self, rows: DataFrame, step: int) -> None:
         """Write the rows of a step; they stay invisible until it is committed."""
         writer = rows.write.mode("overwrite")
@@ -69,77 +83,76 @@ class SteppedTable:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(f"{self.root}/rows/{STEP}={step}")
 
-    def staged(self, step: int) -> DataFrame:
-        """Rows of one step, committed or not. Only its folder is read."""
-        return self._read("rows", self.schema, [step])
-
-    def commit(self, facts: DataFrame, step: int) -> None:
-        facts.write.mode("overwrite").parquet(f"{self.root}/commits/{STEP}={step}")
+    def commit(self, facts: DataFrame, step: int, origin: str | None = None) -> None:
+        named = facts.withColumn(ORIGIN, F.lit(origin).cast("string"))
+        named.write.mode("overwrite").parquet(f"{self.root}/commits/{STEP}={step}")
 
     def note(self, text: str) -> DataFrame:
         """A commit that says only this, for tables with no other facts."""
         return self.spark.range(1, numPartitions=1).select(F.lit(text).alias("note"))
 
     def rows(self) -> DataFrame:
-        """Rows of all committed steps.
-
-        The list of steps is broadcast: it has one number per folder, fewer
-        than the folders the driver lists to read the rows at all.
-        """
-        steps = F.broadcast(self.commits().select(STEP).distinct())
-        return self._read("rows", self.schema).join(steps, STEP, "left_semi").drop(STEP)
+        """Rows of all committed steps."""
+        return self._rows_of(self.steps()).drop(STEP)
 
 
-class BucketedTable(SteppedTable):
-    """A changing table of which a step rewrites only the touched buckets.
+class KeyedLog(SteppedTable):
+    """Rows by key, of which later steps replace earlier ones; nothing is rewritten.
 
-    Rows lie in ``buckets`` buckets by a hash of ``keys``. The commit of a step
-    lists the buckets it rewrote and what made it; the current rows of a bucket
-    are those of its last step.
+    A step appends, for each key it changes, all rows that the key has from then
+    on, or one row marked as gone. The current rows of a key are those of its
+    last step. Rows lie in folders by a hash of the keys, so reading a few keys
+    opens few folders. The number of these buckets is stored with the first step;
+    opening the table with another number is an error.
     """
 
     def __init__(
-        self, spark: SparkSession, root: str, schema: str, keys: Sequence[str], buckets: int = 64
+        self, spark: SparkSession, root: str, schema: str, keys: Sequence[str], buckets: int = 64, notes: str = ""
     ) -> None:
-        super().__init__(
-            spark,
-            root,
-            f"{schema}, {BUCKET} INT",
-            f"{BUCKET} INT, {ORIGIN} STRING",
-            partition_by=[BUCKET],
-        )
+        """``notes``: more columns of the stored rows, such as what was done to them."""
+        stored = f"{schema}, {notes + ', ' if notes else ''}{GONE} BOOLEAN, {BUCKET} INT"
+        super().__init__(spark, root, stored, "buckets INT, last_order BIGINT", partition_by=[BUCKET])
+        self.columns = StructType.fromDDL(schema).names
         self.keys = list(keys)
         self.buckets = buckets
+        other = self.commits().filter(F.col("buckets") != buckets).select("buckets").first()
+        if other:
+            raise ValueError(f"{root} was made with {other[0]} buckets, not {buckets}")
 
     def bucket_of(self) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
-    def touched(self, changes: DataFrame) -> DataFrame:
-        """Buckets that hold keys of ``changes``."""
-        return changes.select(self.bucket_of().alias(BUCKET)).distinct()
+    def append(self, rows: DataFrame, step: int, origin: str, order: int | None = None) -> None:
+        """Write and commit a step. ``rows`` may mark rows as gone; ``order`` is the delivery they come from."""
+        if GONE not in rows.columns:
+            rows = rows.withColumn(GONE, F.lit(False))
+        # rebalance gathers a bucket into few files and still splits a large one
+        placed = rows.withColumn(BUCKET, self.bucket_of()).hint("rebalance", BUCKET)
+        self.stage(placed.select(*[c for c in self.schema.names if c != STEP]), step)
+        facts = self.spark.range(1, numPartitions=1).select(F.lit(self.buckets).alias("buckets"), F.lit(order).cast("bigint").alias("last_order"))
+        self.commit(facts, step, origin)
+
+    def last_order(self) -> int | None:
+        return self.commits().agg(F.max("last_order")).first()[0]
 
-    def current(self, before: int, buckets: DataFrame | None = None) -> DataFrame:
-        """Current rows as committed before a step, of all or of some buckets.
+    def history(self, of: DataFrame | None = None) -> DataFrame:
+        """Rows of all steps, or those of the keys in ``of``, with their step.
 
-        Only folders of steps that still hold current rows are listed, however
-        many steps there were; the join with the bucket list prunes them further.
-        The list has at most ``buckets`` rows and is broadcast.
+        The buckets of the wanted keys, at most ``buckets`` numbers, pick the folders.
         """
-        latest = (
-            self.commits().filter(F.col(STEP) < before).groupBy(BUCKET).agg(F.max(STEP).alias(STEP))
-        )
-        if buckets is not None:
-            latest = latest.join(buckets, BUCKET, "left_semi")
-        steps = sorted(r[STEP] for r in latest.select(STEP).distinct().collect())
-        rows = self._read("rows", self.schema, steps)
-        return rows.join(F.broadcast(latest), [STEP, BUCKET], "left_semi").drop(STEP, BUCKET)
-
-    def latest(self) -> DataFrame:
-        return self.current(self.next_step())
-
-    def replace(self, rows: DataFrame, buckets: DataFrame, step: int, origin: str = "") -> None:
-        """Write new rows of the buckets as a step and commit it."""
-        # rebalance gathers a bucket into few files and still splits a large one
-        placed = rows.withColumn(BUCKET, self.bucket_of())
-        self.stage(placed.hint("rebalance", BUCKET), step)
-        self.commit(buckets.withColumn(ORIGIN, F.lit(origin)), step)
+        rows = self._rows_of(self.steps())
+        if of is None:
+            return rows
+        wanted = of.select(*self.keys).distinct()
+        near = [r[0] for r in wanted.select(self.bucket_of().alias(BUCKET)).distinct().collect()]
+        return rows.filter(F.col(BUCKET).isin(near)).join(wanted, self.keys, "left_semi")
+
+    def current(self, of: DataFrame | None = None) -> DataFrame:
+        """The rows as they are now, of all keys or of those in ``of``."""
+        newest = F.rank().over(Window.partitionBy(*self.keys).orderBy(F.desc(STEP)))
+        rows = self.history(of).withColumn("_rank", newest)
+        # a null key is no key: its rows are never replaced
+        null_key = F.lit(False)
+        for k in self.keys:
+            null_key = null_key | F.col(k).isNull()
+        return rows.filter(((F.col("_rank") == 1) | null_key) & ~F.col(GONE)).select(*self.columns)

@@ -4,66 +4,68 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.merge import KEPT, merge_metrics, tag_changes, without_deleted
-from strata.sources.versions import ORIGIN, BucketedTable, SteppedTable
+from strata.operators.merge import ACTION, DELETED, INSERTED, KEPT, UPDATED, tag_changes
+from strata.sources.versions import GONE, STEP, KeyedLog
 from strata.streaming.ingest import BATCH, run_batches
 
-
-def start_table(target: BucketedTable, rows: DataFrame) -> None:
-    """Step 0 of a table that has no rows yet; does nothing on a table that was started."""
-    if target.next_step() == 0:
-        target.replace(rows, target.touched(rows), 0)
+#: Column of a change log that says what was done to a row.
+NOTES = f"{ACTION} STRING"
 
 
-def metrics_table(spark: SparkSession, root: str) -> SteppedTable:
-    """Rows updated, deleted and inserted by each delivery."""
-    return SteppedTable(spark, root, "delivery INT, action STRING, n_rows BIGINT")
+def start_table(target: KeyedLog, rows: DataFrame) -> None:
+    """First step of a table that has no rows yet; does nothing on a table that was started."""
+    if target.next_step() == 0:
+        target.append(rows.withColumn(ACTION, F.lit(None).cast("string")), 0, "start")
 
 
 def stream_changes(
     changes: DataFrame,
-    target: BucketedTable,
+    target: KeyedLog,
     checkpoint: str,
     keys: Sequence[str],
     op_col: str = "change_type",
     order_col: str = BATCH,
-    metrics: SteppedTable | None = None,
 ) -> None:
-    """Merge new change sets into ``target``; only buckets with changed keys are rewritten.
+    """Merge new change sets into ``target``, a log opened with ``notes=NOTES``.
 
+    A change set reads only the keys it names and appends only their new rows.
     Change sets that came together are applied one after the other, in the
-    order of ``order_col``, each as a step of the table. The commit of a step
-    names its stream batch and change set, and what is named is not applied
-    again. ``metrics`` are counted in a job of their own: counts taken on the
-    side of the write could be taken twice when the work of a lost executor is
-    repeated.
+    order of ``order_col``, each as a step of the table. A set that does not
+    come after the last applied one is an error, whichever stream brings it:
+    its place in the order is taken. So a set has to arrive whole, which rules
+    out a limit of files per trigger. What a step names as its origin is not
+    applied again.
     """
 
-    def apply(batch: DataFrame, number: int) -> None:
-        batch = batch.persist()
-        try:
-            # one number per delivery, not per row
-            waiting = batch.select(order_col).distinct().withColumn(
-                ORIGIN, F.concat_ws(":", F.lit(str(number)), F.col(order_col).cast("string"))
-            )
-            waiting = waiting.join(target.commits().select(ORIGIN), ORIGIN, "left_anti")
-            step = target.next_step()
-            for delivery, origin in waiting.select(order_col, ORIGIN).orderBy(order_col).collect():
-                part = batch.filter(F.col(order_col).eqNullSafe(F.lit(delivery))).drop(order_col)
-                touched = target.touched(part)
-                tagged = tag_changes(target.current(step, touched), part, keys, op_col)
-                if metrics is not None:
-                    # kept rows are those of the read buckets only, which says nothing
-                    counts = merge_metrics(tagged).filter(F.col("action") != KEPT)
-                    counts = counts.select(F.lit(delivery).alias("delivery"), "action", "n_rows")
-                    metrics.stage(counts, step)
-                    metrics.commit(metrics.note(origin), step)
-                target.replace(without_deleted(tagged), touched, step, origin)
-                step += 1
-        finally:
-            batch.unpersist()
+    def apply(batch: DataFrame, origin: str) -> None:
+        # one number per waiting delivery, not per row
+        waiting = [r[0] for r in batch.select(order_col).distinct().orderBy(order_col).collect()]
+        for delivery in waiting:
+            name = f"{origin}:{delivery}"
+            if target.has(name):
+                continue
+            last = target.last_order()
+            if delivery is None or (last is not None and delivery <= last):
+                raise ValueError(f"change set {delivery} comes after change set {last} was applied")
+            part = batch.filter(F.col(order_col) == delivery).drop(order_col)
+            tagged = tag_changes(target.current(part), part, keys, op_col)
+            changed = tagged.filter(F.col(ACTION) != KEPT).withColumn(GONE, F.col(ACTION) == DELETED)
+            target.append(changed, target.next_step(), name, delivery)
 
     run_batches(changes, apply, checkpoint)
+
+
+def change_counts(target: KeyedLog) -> DataFrame:
+    """Rows updated, deleted and inserted by each delivery, also those that are 0.
+
+    They are counted from what was written, so a repeated task counts nothing twice.
+    """
+    done = target.commits().filter(F.col("last_order").isNotNull()).select(STEP, F.col("last_order").cast("int").alias("delivery"))
+    actions = F.explode(F.array(*[F.lit(a) for a in (UPDATED, DELETED, INSERTED)])).alias(ACTION)
+    counts = target.history().groupBy(STEP, ACTION).agg(F.count("*").alias("n"))
+    return done.select("*", actions).join(counts, [STEP, ACTION], "left").select(
+        "delivery", F.col(ACTION).alias("action"), F.coalesce("n", F.lit(0)).alias("n_rows")
+    )

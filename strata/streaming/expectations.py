@@ -29,14 +29,14 @@ def stream_checked(
     if not rules:
         raise ValueError("without rules there are no counts to commit; use append_stream")
 
-    def apply(batch: DataFrame, number: int) -> None:
-        if target.next_step() > number:
+    def apply(batch: DataFrame, origin: str) -> None:
+        if target.has(origin):
             return
-        counts = Observation()
-        target.stage(drop_failing(observe_rules(batch, rules, counts), rules), number)
+        counts, step = Observation(), target.next_step()
+        target.stage(drop_failing(observe_rules(batch, rules, counts), rules), step)
         seen = counts.get
         raise_for(seen, rules)
         facts = [(r.name, r.action, seen[r.name], seen["checked_rows"]) for r in rules]
-        target.commit(target.spark.createDataFrame(facts, COUNTS), number)
+        target.commit(target.spark.createDataFrame(facts, COUNTS), step, origin)
 
     run_batches(stream, apply, checkpoint)

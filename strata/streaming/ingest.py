@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,14 +41,21 @@ def append_stream(stream: DataFrame, target: str, checkpoint: str, partition_by:
 
 
 def run_batches(
-    stream: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint: str
+    stream: DataFrame, apply: Callable[[DataFrame, str], None], checkpoint: str
 ) -> None:
-    """Hand what is new to ``apply(batch, number)``, then stop.
+    """Hand what is new to ``apply(batch, origin)``, then stop.
 
-    A number can come again after a crash; ``apply`` has to know what it has done.
+    A batch can come again after a crash, then with the same origin; ``apply``
+    has to know what it has done. The origin holds the checkpoint's own identity,
+    so that the batches of another stream never look like those of this one.
     """
+
+    def numbered(batch: DataFrame, number: int) -> None:
+        identity = batch.sparkSession.read.text(f"{checkpoint}/metadata").first()[0]
+        apply(batch, f"{json.loads(identity)['id']}:{number}")
+
     (
-        stream.writeStream.foreachBatch(apply)
+        stream.writeStream.foreachBatch(numbered)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

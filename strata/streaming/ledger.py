@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.operators.ledger import net_ledger
 from strata.operators.refine import latest_events, normalise_events
 from strata.operators.rescue import drop_rescued, typed_parse
-from strata.sources.versions import BucketedTable
+from strata.sources.versions import KeyedLog
 from strata.streaming.ingest import run_batches
 
 #: The event files: every column is text.
@@ -34,36 +34,28 @@ NET_LEDGER = (
 )
 
 
-def ledger_tables(
-    spark: SparkSession, root: str, buckets: int = 64
-) -> tuple[BucketedTable, BucketedTable]:
-    """The clean events seen so far and the net ledger, both in buckets of the sale."""
+def ledger_tables(spark: SparkSession, root: str, buckets: int = 64) -> tuple[KeyedLog, KeyedLog]:
+    """The clean events seen so far and the net ledger, both by sale."""
     return (
-        BucketedTable(spark, f"{root}/events", CLEAN_EVENTS, ["sale_id"], buckets),
-        BucketedTable(spark, f"{root}/ledger", NET_LEDGER, ["sale_id"], buckets),
+        KeyedLog(spark, f"{root}/events", CLEAN_EVENTS, ["sale_id"], buckets),
+        KeyedLog(spark, f"{root}/ledger", NET_LEDGER, ["sale_id"], buckets),
     )
 
 
-def stream_ledger(
-    feed: DataFrame, events: BucketedTable, ledger: BucketedTable, checkpoint: str
-) -> None:
-    """Bring new event files into the clean events and recompute the sales they touch.
+def stream_ledger(feed: DataFrame, events: KeyedLog, ledger: KeyedLog, checkpoint: str) -> None:
+    """Append new clean events and the new ledger rows of the sales they touch.
 
     A correction may come any time after its sale. The seen events lie in a
-    table and not in streaming state, so no watermark ever drops one.
+    table and not in streaming state, so no watermark ever drops one. Only the
+    touched sales are read again and get new rows; readers take a sale's last.
     """
 
-    def apply(batch: DataFrame, number: int) -> None:
-        fresh = normalise_events(drop_rescued(typed_parse(batch, EVENT_TYPES))).persist()
-        try:
-            touched = events.touched(fresh)
-            if events.next_step() <= number:
-                seen = events.current(number, touched)
-                merged = latest_events(seen.unionByName(fresh.select(seen.columns)))
-                events.replace(merged, touched, number)
-            if ledger.next_step() <= number:
-                ledger.replace(net_ledger(events.staged(number)), touched, number)
-        finally:
-            fresh.unpersist()
+    def apply(batch: DataFrame, origin: str) -> None:
+        fresh = normalise_events(drop_rescued(typed_parse(batch, EVENT_TYPES)))
+        if not events.has(origin):
+            events.append(fresh, events.next_step(), origin)
+        if not ledger.has(origin):
+            seen = latest_events(events.history(fresh).select(*events.columns))
+            ledger.append(net_ledger(seen), ledger.next_step(), origin)
 
     run_batches(feed, apply, checkpoint)

@@ -3,11 +3,13 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
-from strata.operators import marts, profile, reconcile, refine
+from strata.fixed import ORDER_FEED_SCHEMA
+from strata.functions import to_units
+from strata.operators import marts, profile, reconcile, refine, rescue
 from strata.plans.medallion import Layers, run_medallion
 from strata.session import scratch_path
-from strata.sources.feeds import ORDER_FEED_SCHEMA
 from strata.sources.files import land_csv, read_feed, stamp_lineage
 from strata.sources.tables import scan
 
@@ -66,7 +68,7 @@ def test_texts_are_tidy_and_raw_columns_stay(silver):
 
 
 def test_valid_and_invalid_are_all_rows(silver):
-    summary = {r["is_valid"]: r for r in marts.quality_summary(silver).collect()}
+    summary = {r["is_valid"]: r for r in marts.amount_summary(silver, {"is_valid": "is_valid"}, distinct={"distinct_orders": "order_id"}).collect()}
     assert set(summary) == {True, False}
     assert (summary[True]["n_rows"], summary[True]["observed_amount"]) == (4, 66.4)
     # a null key makes a row invalid and is no distinct order
@@ -99,7 +101,7 @@ def test_equal_revenue_shares_a_rank_without_gaps(spark):
 
 
 def test_status_by_country(silver):
-    rows = {(r["country"], r["status"]): (r["n_rows"], r["observed_amount"]) for r in marts.status_by_country(silver).collect()}
+    rows = {(r["country"], r["status"]): (r["n_rows"], r["observed_amount"]) for r in marts.amount_summary(silver, {"country": "country", "status": "status_clean"}).collect()}
     assert rows[("DE", "paid")] == (2, 15.15)
     assert rows[("DE", "created")] == (1, 0.0)
     assert rows[("IT", None)] == (1, 9.0)
@@ -149,6 +151,29 @@ def test_whole_flow(spark, feed):
     assert scan(spark, "t_silver").count() == 10
 
 
+def test_large_and_odd_numbers_stay_and_are_no_money(spark):
+    """They were unreadable once, which lost their rows in flows that drop what does not fit."""
+    texts = [("1e15", None), ("NaN", None), ("Infinity", None), ("-2e13", None), ("12.5", "x"), ("10:30", "10:30")]
+    df = spark.createDataFrame(texts, "amount STRING, at STRING")
+    rows = rescue.typed_parse(df, {"amount": "double", "at": "timestamp"}).collect()
+    assert [r["amount"] is None for r in rows] == [False] * 5 + [True]
+    assert [r[rescue.RESCUED] for r in rows[:4]] == [None] * 4
+    # a time of day alone would be another time on another day
+    assert rows[5][rescue.RESCUED] == '{"amount":"10:30","at":"10:30"}'
+    units = df.select(to_units(F.col("amount").try_cast("double"), 2).alias("u")).collect()
+    assert [r["u"] for r in units] == [None, None, None, -2 * 10**15, 1250, None]
+    order = ("B1", "K1", "2025-03-02 13:00:00", "web", "NaN", "paid", "it")
+    silver = refine.refine_orders(spark.createDataFrame([order], ORDER_FEED_SCHEMA)).first()
+    assert silver["is_valid"] is False
+
+
+def test_a_header_that_differs_is_an_error(spark):
+    folder = scratch_path(spark, "header")
+    land_csv(spark.createDataFrame([("1", "2")], "b STRING, a STRING"), folder)
+    with pytest.raises(Exception, match="header|CSV"):
+        read_feed(spark, folder, "a STRING, b STRING").collect()
+
+
 def test_empty_gold_fails_the_checks(silver, feed):
     gold = marts.daily_revenue(silver.filter("false"))
     with pytest.raises(AssertionError, match="gold_revenue"):

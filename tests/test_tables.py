@@ -1,13 +1,14 @@
 import os
+import shutil
 
 import pytest
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
 from strata.session import scratch_path
 from strata.sources import jdbc, loads, tables
 from strata.sources.files import land_csv
-from strata.sources.versions import BUCKET, STEP, BucketedTable, SteppedTable
+from strata.sources.versions import GONE, STEP, KeyedLog, SteppedTable
 
 
 def _values(df, column="n"):
@@ -55,11 +56,6 @@ def test_create_insert_views_and_sql(spark):
     assert _values(spark.table("v_people"), "name") == ["Eva", "Leo"]
 
 
-def test_session_context_is_one_row(spark):
-    row = tables.session_context(spark).first()
-    assert row["catalog"] == "spark_catalog" and row["user"]
-
-
 def test_file_stats(spark, tmp_path):
     folder = str(tmp_path / "t")
     spark.range(100).repartition(4).write.parquet(folder)
@@ -96,35 +92,39 @@ def test_a_step_that_was_not_committed_is_not_read(spark):
     assert _values(table.rows()) == [1] and table.next_step() == 1
 
 
-def test_only_touched_buckets_change(spark):
-    table = BucketedTable(spark, scratch_path(spark, "buckets"), "n INT, v STRING", ["n"], buckets=8)
-    rows = spark.createDataFrame([(i, "old") for i in range(50)], "n INT, v STRING")
-    table.replace(rows, table.touched(rows), 0)
-    changed = spark.createDataFrame([(7, "new")], "n INT, v STRING")
-    touched = table.touched(changed)
-    now = table.current(1, touched)
-    assert 0 < now.count() < 50
-    table.replace(now.filter("n <> 7").unionByName(changed), touched, 1)
-    assert table.commits().filter(f"{STEP} = 1").count() == 1
-    latest = {r["n"]: r["v"] for r in table.latest().collect()}
-    assert len(latest) == 50 and latest[7] == "new" and latest[8] == "old"
-    # replaying the step reads the state before it
-    assert {r["v"] for r in table.current(1).collect()} == {"old"}
-    # a bucket that loses all its rows is empty, not as before
-    table.replace(now.filter("false"), touched, 2)
-    assert 7 not in {r["n"] for r in table.latest().collect()}
-
-
-def test_bucket_list_prunes_folders(spark):
-    table = BucketedTable(spark, scratch_path(spark, "prune"), "n INT", ["n"], buckets=8)
-    rows = spark.range(50).select(F.col("id").cast("int").alias("n"))
-    table.replace(rows, table.touched(rows), 0)
-    plan = table.current(1)._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in plan and BUCKET in plan
-    # steps that were rewritten altogether are not even listed
-    table.replace(rows, table.touched(rows), 1)
-    files = [f for f in table.latest().inputFiles() if "/rows/" in f]
-    assert files and all(f"{STEP}=1" in f for f in files)
+def test_a_lost_folder_of_a_committed_step_is_an_error(spark):
+    table = SteppedTable(spark, scratch_path(spark, "lost"), "n INT")
+    for step in (0, 1):
+        table.stage(spark.createDataFrame([(step,)], "n INT"), step)
+        table.commit(table.note("x"), step)
+    lost = table.root.removeprefix("file:") + f"/rows/{STEP}=0"
+    shutil.rmtree(lost)
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        table.rows().count()
+
+
+def test_a_log_shows_the_last_rows_of_each_key(spark):
+    log = KeyedLog(spark, scratch_path(spark, "log"), "n INT, v STRING", ["n"], buckets=8)
+    assert log.current().count() == 0
+    log.append(spark.createDataFrame([(i, "old") for i in range(50)], "n INT, v STRING"), 0, "a")
+    log.append(spark.createDataFrame([(7, "new", False), (8, None, True)], f"n INT, v STRING, {GONE} BOOLEAN"), 1, "b")
+    now = {r["n"]: r["v"] for r in log.current().collect()}
+    assert len(now) == 49 and now[7] == "new" and now[9] == "old" and 8 not in now
+    assert log.has("b") and not log.has("c") and log.steps() == [0, 1]
+    assert _values(log.current(spark.createDataFrame([(7,), (8,)], "n INT"))) == [7]
+
+
+def test_file_names_are_taken_literally(spark):
+    root = scratch_path(spark, "globs")
+    folder = root.removeprefix("file:")
+    os.makedirs(folder)
+    for name in ("p[1].csv", "q{a}.csv", "r?.csv", "s*.csv", "plain 1%20.csv"):
+        with open(f"{folder}/{name}", "w") as file:
+            file.write(f"n,t\n1,{name}\n")
+    target = loads.load_target(spark, scratch_path(spark, "rows"), FEED)
+    assert loads.load_new_files(target, root, FEED, "s") == 1
+    assert len(_values(target.rows(), "t")) == 5
+    assert loads.load_new_files(target, root, FEED, "s") == 0
 
 
 def test_jdbc_reader_asks_for_ranges():
