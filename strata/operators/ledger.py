@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,11 +45,11 @@ def net_ledger(events: DataFrame) -> DataFrame:
     )
 
 
-def daily_sales(events: DataFrame) -> DataFrame:
-    """Events, sold quantity and amounts by day."""
+def daily_sales(events: DataFrame, by: Sequence[str] = ("event_date",)) -> DataFrame:
+    """Events, sold quantity and amounts by day, or by the batch they came with and day."""
     cents = F.col("amount_cents")
     return (
-        events.groupBy("event_date")
+        events.groupBy(*by)
         .agg(
             F.count_if(_is(SALE)).alias("sale_rows"),
             F.count_if(_is(ADJUSTMENT)).alias("adjustment_rows"),

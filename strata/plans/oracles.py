@@ -293,6 +293,29 @@ UNION ALL SELECT 'best_product', sale_amount, product_name FROM named""",
 SELECT m.source_batch_id, m.n AS made_rows, m.n AS bronze_rows,
   coalesce(c.n, 0) AS silver_rows, coalesce(c.n, 0) AS gold_rows
 FROM (SELECT source_batch_id, count(*) AS n FROM made GROUP BY 1) m
+LEFT JOIN (SELECT source_batch_id, count(*) AS n FROM events_clean GROUP BY 1) c
+  ON m.source_batch_id = c.source_batch_id""",
+    "sales_pipeline_gold": f"""WITH {EVENTS}
+SELECT source_batch_id, event_date,
+  count(*) FILTER (event_type = 'SALE') AS sale_rows,
+  count(*) FILTER (event_type = 'ADJUSTMENT') AS adjustment_rows,
+  count(*) FILTER (event_type = 'CANCEL') AS cancel_rows,
+  CAST(coalesce(sum(quantity) FILTER (event_type = 'SALE'), 0) AS BIGINT) AS sold_quantity,
+  CAST(coalesce(sum(amount_cents) FILTER (event_type = 'SALE'), 0) AS DOUBLE) / 100.0 AS sale_amount,
+  CAST(coalesce(sum(amount_cents) FILTER (event_type = 'ADJUSTMENT'), 0) AS DOUBLE) / 100.0
+    AS adjustment_amount
+FROM events_clean GROUP BY source_batch_id, event_date""",
+    "sales_pipeline_wide": f"""WITH {EVENTS}, {PRODUCTS}, {CUSTOMERS}
+SELECT e.*, o_custkey AS customer_id, customer_name, segment, nation, region,
+  product_name, brand, category, list_price
+FROM events_clean e
+LEFT JOIN orders ON sale_id = o_orderkey
+LEFT JOIN customers c ON o_custkey = c.customer_id
+LEFT JOIN products p ON e.product_id = p.product_id""",
+    "sales_pipeline_reconcile": f"""WITH {EVENTS}
+SELECT m.source_batch_id, m.n AS made_rows, m.n AS bronze_rows,
+  coalesce(c.n, 0) AS silver_rows, coalesce(c.n, 0) AS wide_rows, coalesce(c.n, 0) AS daily_rows
+FROM (SELECT source_batch_id, count(*) AS n FROM made GROUP BY 1) m
 LEFT JOIN (SELECT source_batch_id, count(*) AS n FROM events_clean GROUP BY 1) c
   ON m.source_batch_id = c.source_batch_id""",
     "merge_apply": f"WITH {MERGED} SELECT account_id, name, balance FROM merged WHERE action <> 'deleted'",

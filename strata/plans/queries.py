@@ -26,8 +26,9 @@ from strata.operators import (
     rescue,
 )
 from strata.operators.expectations import Rule
-from strata.plans.oracles import ALL_TABLES
 from strata.plans.medallion import Layers, run_medallion
+from strata.plans.oracles import ALL_TABLES
+from strata.plans.sales import SalesLayers, run_sales_pipeline
 from strata.session import scratch_path
 from strata.sources import feeds, files, loads, tables
 from strata.sources.feeds import table
@@ -340,14 +341,53 @@ def layer_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = rescue.drop_rescued(rescue.typed_parse(bronze, stream_ledgers.EVENT_TYPES))
     refine.refine_events(typed).write.parquet(f"{root}/silver")
     silver = spark.read.parquet(f"{root}/silver")
-    gold = ledger.daily_sales(silver).select(
-        F.year("event_date").alias(ingest.BATCH),
+    gold = ledger.daily_sales(silver, (ingest.BATCH, "event_date")).select(
+        ingest.BATCH,
         (F.col("sale_rows") + F.col("adjustment_rows") + F.col("cancel_rows")).alias("n_rows"),
     )
     layers = {"made": made, "bronze": bronze, "silver": silver, "gold": gold}
     return reconcile.reconcile_layers(layers, ingest.BATCH, rows="n_rows")
 
 
+def _sales_runs(spark: SparkSession, sf_dir: str) -> SalesLayers:
+    """Two deliveries with a run after each, and a run without news."""
+    root = scratch_path(spark, "sales")
+    made = feeds.sales_event_feed(table(spark, sf_dir, "lineitem"))
+    products = feeds.product_extracts(spark, sf_dir)
+    files.land_csv(_as_text(products, ingest.BATCH), f"{root}/extracts", partition_by=[ingest.BATCH])
+    sales = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("sale_id"), F.col("o_custkey").alias("customer_id")
+    )
+    later = F.col(ingest.BATCH) >= 1998
+    layers = None
+    for part in (~later, later, None):
+        if part is not None:
+            landed = _as_text(made.filter(part), ingest.BATCH)
+            files.land_csv(landed, f"{root}/feed", mode="append", partition_by=[ingest.BATCH])
+        layers = run_sales_pipeline(
+            spark, f"{root}/feed", f"{root}/extracts", sales, dim_customer(spark, sf_dir), f"{root}/layers", SYSTEM
+        )
+    return layers
+
+
+@query
+def sales_pipeline_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily metrics by batch at the end of the whole flow."""
+    return _sales_runs(spark, sf_dir).daily
+
+
+@query
+def sales_pipeline_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide rows at the end of the whole flow."""
+    return _sales_runs(spark, sf_dir).wide
+
+
+@query
+def sales_pipeline_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every layer holds the events that the source reports, batch by batch."""
+    return _sales_runs(spark, sf_dir).reconcile(feeds.sales_event_feed(table(spark, sf_dir, "lineitem")))
+
+
 # ---- merge ----------------------------------------------------------------------------
 
 
