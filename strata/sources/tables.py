@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -25,27 +26,32 @@ def publish(
     partition_by: Sequence[str] = (),
     file_format: str = "parquet",
 ) -> None:
-    """Replace a table, its schema included, and describe it.
-
-    The rows are written under a second name first; the old table goes only
-    when they are complete, and then the names are swapped (for a moment no
-    table has the name). So a job that fails publishes nothing, and ``df``
-    may read the table it replaces. The files lie in a new folder below ``path``
-    (by default below the table's name in the warehouse); those of the replaced
-    table stay for whoever still reads them.
+    """Replace what a name shows, its schema included, and describe it.
+
+    The name is a view. The rows are written completely into a table of their
+    own in a new folder below ``path`` (by default below the name in the
+    warehouse), and then the view is pointed at it in one step: at any moment
+    the name shows the old rows or the new ones. So a job that fails publishes
+    nothing, and ``df`` may read the name it replaces. The replaced table is
+    forgotten; its files stay for whoever still reads them.
     """
     spark = df.sparkSession
-    fresh = f"{table}__next"
-    spark.sql(f"DROP TABLE IF EXISTS {_name(fresh)}")
+    fresh = f"{table}__{uuid.uuid4().hex}"
     base = path or f"{spark.conf.get('spark.sql.warehouse.dir')}/{table}"
     writer = df.write.format(file_format).option("path", f"{base.rstrip('/')}/{uuid.uuid4().hex}")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(fresh)
-    if comment is not None:
-        spark.sql(f"COMMENT ON TABLE {_name(fresh)} IS {_quoted(comment)}")
-    spark.sql(f"DROP TABLE IF EXISTS {_name(table)}")
-    spark.sql(f"ALTER TABLE {_name(fresh)} RENAME TO {_name(table)}")
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW":
+        # a table that was not made here; a view cannot take its place
+        spark.sql(f"DROP TABLE {_name(table)}")
+    described = "" if comment is None else f" COMMENT {_quoted(comment)}"
+    spark.sql(f"CREATE OR REPLACE VIEW {_name(table)}{described} AS SELECT * FROM {_name(fresh)}")
+    *within, last = table.split(".")
+    place = f" IN {_name('.'.join(within))}" if within else ""
+    for row in spark.sql(f"SHOW TABLES{place} LIKE '{last.lower()}__*'").collect():
+        if re.fullmatch(rf"{re.escape(last.lower())}__[0-9a-f]{{32}}", row["tableName"]) and row["tableName"] != fresh.split(".")[-1].lower():
+            spark.sql(f"DROP TABLE {_name('.'.join([*within, row['tableName']]))}")
 
 
 def scan(spark: SparkSession, table: str) -> DataFrame:

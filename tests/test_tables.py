@@ -38,6 +38,27 @@ def test_failed_publish_leaves_the_old_table(spark):
     assert _values(tables.scan(spark, "kept")) == [0, 1]
 
 
+def test_the_name_never_vanishes(spark, monkeypatch):
+    """A crash right before the swap leaves the old rows under the name."""
+    path = scratch_path(spark, "swap")
+    tables.publish(spark.range(2).toDF("n"), "swapped", path=path)
+    run = type(spark).sql
+
+    def crash(self, text, *args, **how):
+        if text.startswith("CREATE OR REPLACE VIEW"):
+            raise RuntimeError("lost the driver")
+        return run(self, text, *args, **how)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(spark), "sql", crash)
+        with pytest.raises(RuntimeError, match="lost the driver"):
+            tables.publish(spark.range(5).toDF("n"), "swapped", path=path)
+    assert _values(tables.scan(spark, "swapped")) == [0, 1]
+    tables.publish(spark.range(3).toDF("n"), "swapped", path=path)
+    assert _values(tables.scan(spark, "swapped")) == [0, 1, 2]
+    assert spark.sql("SHOW TABLES LIKE 'swapped__*'").count() == 1
+
+
 def test_partitioned_publish_reads_one_partition(spark):
     df = spark.range(10).select((F.col("id") % 2).cast("int").alias("b"), F.col("id").alias("n"))
     tables.publish(df, "parted", partition_by=["b"])
