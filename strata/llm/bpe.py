@@ -22,7 +22,9 @@ encoded each; an empty table gives an empty result.
 from __future__ import annotations
 
 import json
+import os
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -37,7 +39,7 @@ from tokenizers import Tokenizer
 from strata.llm.bpe_merge import byte_symbols, join_encodings
 from strata.llm.support import in_slices
 
-KEPT = 100_000
+KEPT = 150_000
 LEAF_CHARS = 1 << 16
 # characters that are, or may be, white space beyond ASCII's; texts with them are not cut into stretches
 _ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
@@ -78,27 +80,30 @@ class ByteBpe:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def encode(self, text: str) -> bytes:
-        """The ids of a text, as little-endian unsigned 32-bit integers."""
-        if _ODD_SPACE.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        parts, known, older = _STRETCH.findall(text), self.known, self.older
-        new = []
-        for part in set(parts).difference(known):
-            if (ids := older.get(part)) is not None:
-                known[part] = ids
-            else:
-                new.append(part)
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as little-endian unsigned 32-bit integers."""
+        known, older, new = self.known, self.older, set()
+        rows = [None if _ODD_SPACE.search(t) else _STRETCH.findall(t) for t in texts]
+        for parts in filter(None, rows):
+            new.update(parts)
+        new.difference_update(known)
+        for part in new.intersection(older):
+            known[part] = older[part]
+        new = list(new.difference(older))
         for part, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[part] = np.array(e.ids, "<u4").tobytes()
-        out = b"".join(map(known.__getitem__, parts))
+            known[part] = array("I", e.ids).tobytes()
+        get = known.__getitem__
+        out = [
+            array("I", self.tokenizer.encode(t, add_special_tokens=False).ids).tobytes() if parts is None else b"".join(map(get, parts))
+            for t, parts in zip(texts, rows)
+        ]
         if len(known) > KEPT:
             self.known, self.older = {}, known
         return out
 
     def decode(self, ids: bytes) -> str:
         """The text of ids; bytes that are no UTF-8 become replacement characters."""
-        return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+        return b"".join(map(self.bytes.__getitem__, array("I", ids))).decode("utf-8", "replace")
 
     def merge(self, symbols: str) -> list[int]:
         return [t.id for t in self.tokenizer.model.tokenize(symbols)] if symbols else []
@@ -145,6 +150,8 @@ class ByteBpe:
 
 @lru_cache(2)
 def byte_bpe(path: str) -> ByteBpe:
+    # each task has a core; threads of the library's own would only compete with other tasks
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return ByteBpe(path)
 
 
@@ -204,7 +211,7 @@ def encode_documents(
         for frame in frames:
             keys, texts = frame["id"].tolist(), frame["text"].tolist()
             for a, b in in_slices(texts):
-                yield finish(bpe, keys[a:b], [bpe.encode(t) for t in texts[a:b]])
+                yield finish(bpe, keys[a:b], bpe.encode(texts[a:b]))
 
     def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = byte_bpe(tokenizer_path)
