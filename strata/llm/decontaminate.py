@@ -10,8 +10,9 @@ item within the radius. What is found is then compared exactly:
 similarity = sum of min / sum of max of the shingles' weights, which has to be
 ``threshold`` or more.
 
-A window without any shingle of any item has similarity 0 to all, so only
-windows around shared shingles are fingerprinted; that leaves out no result.
+A window without any shingle of an item has similarity 0 to it, so only windows
+around shingles shared with items of that size are fingerprinted; that leaves
+out no result.
 
 Items are taken ``item_block_bytes`` at a time; what executors get of them never
 exceeds that, however large the benchmark is.
@@ -64,7 +65,9 @@ class ItemIndex:
     ids: list
     words: list[int]
     counts: list[Counter]
-    hashes: np.ndarray
+    hashes: np.ndarray  # all items' shingles in order, each once
+    owner_begin: np.ndarray  # where the items of each shingle begin in owners
+    owners: np.ndarray
     prints: np.ndarray
     by_size: dict[int, np.ndarray]
 
@@ -77,7 +80,20 @@ class ItemIndex:
         parts = [shingles[a:b] for a, b in zip(begin, begin[1:])]
         prints = np.array([simhash_windows(p, np.zeros(1, int), len(p))[0] for p in parts], np.uint64)
         by_size = {int(s): np.flatnonzero(sizes == s) for s in np.unique(sizes)}
-        return cls([i for i, _ in rows], sizes.tolist(), [Counter(p.tolist()) for p in parts], np.unique(shingles), prints, by_size)
+        hashes, back = np.unique(shingles, return_inverse=True)
+        pairs = np.unique(back * len(parts) + np.repeat(np.arange(len(parts)), np.diff(begin)))
+        owner_begin = np.searchsorted(pairs // len(parts), np.arange(len(hashes) + 1))
+        counts = [Counter(p.tolist()) for p in parts]
+        return cls([i for i, _ in rows], sizes.tolist(), counts, hashes, owner_begin, pairs % len(parts), prints, by_size)
+
+    def shared(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, item) of all shingles that items have."""
+        at = np.minimum(np.searchsorted(self.hashes, shingles), len(self.hashes) - 1)
+        place = np.flatnonzero(self.hashes[at] == shingles)
+        low, high = self.owner_begin[at[place]], self.owner_begin[at[place] + 1]
+        n = high - low
+        items = self.owners[np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        return np.repeat(place, n), items
 
     def within(self, prints: np.ndarray, items: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
         """(window, item) of all pairs whose fingerprints differ in at most ``radius`` bits."""
@@ -104,27 +120,28 @@ class ItemIndex:
 def _matches(index: ItemIndex, words: np.ndarray, radius: int, threshold: float) -> dict[int, tuple[float, int]]:
     """Best (similarity, first word) of each item found in one document."""
     best: dict[int, tuple[float, int]] = {}
-    shingles, _ = shingles_of(words, np.array([0, len(words)]), SHINGLE)
-    cache: dict[int, np.ndarray] = {SHINGLE: shingles}
-    for size, items in index.by_size.items():
-        # an item shorter than a shingle is one shingle of its own length
-        long = min(size, SHINGLE)
-        if long not in cache:
-            cache[long] = shingles_of(words, np.array([0, len(words)]), long)[0]
-        own, n = cache[long], max(1, min(size, len(words)) - long + 1)
-        hit = np.flatnonzero(np.isin(own, index.hashes))
-        if not len(hit) or len(own) < n:
-            continue
-        begins = np.unique(np.concatenate([np.maximum(hit - k, 0) for k in range(n)]))
-        begins = begins[begins + n <= len(own)]
-        # only the stretch around the hits is added up
-        low, high = begins[0], begins[-1] + n
-        prints = simhash_windows(own[low:high], begins - low, n)
-        for at, item in zip(*index.within(prints, items, radius)):
-            begin = int(begins[at])
-            value = similarity(Counter(own[begin : begin + n].tolist()), index.counts[item])
-            if value >= threshold and value > best.get(item, (0.0, 0))[0]:
-                best[int(item)] = (value, begin)
+    sizes = np.array(index.words)
+    # an item shorter than a shingle is one shingle of its own length
+    for length in {SHINGLE, *(s for s in index.by_size if s < SHINGLE)}:
+        own, _ = shingles_of(words, np.array([0, len(words)]), length)
+        place, item = index.shared(own)
+        right = np.minimum(sizes[item], SHINGLE) == length
+        place, item = place[right], item[right]
+        for size in np.unique(sizes[item]).tolist():
+            here = sizes[item] == size
+            n = max(1, min(size, len(words)) - length + 1)
+            begins = np.unique(np.maximum(place[here][:, None] - np.arange(n), 0))
+            begins = begins[begins + n <= len(own)]
+            if not len(begins):
+                continue
+            # only the stretch around the shared shingles is added up
+            low, high = begins[0], begins[-1] + n
+            prints = simhash_windows(own[low:high], begins - low, n)
+            for at, found in zip(*index.within(prints, np.unique(item[here]), radius)):
+                begin = int(begins[at])
+                value = similarity(Counter(own[begin : begin + n].tolist()), index.counts[found])
+                if value >= threshold and value > best.get(found, (0.0, 0))[0]:
+                    best[int(found)] = (value, begin)
     return best
 
 

@@ -61,7 +61,7 @@ def test_empty_tables(spark):
 
 def test_blocks_find_all_within_the_radius():
     pick = np.random.default_rng(1)
-    index = ItemIndex([], [], [], np.empty(0), pick.integers(0, 1 << 63, 40, dtype=np.uint64), {})
+    index = ItemIndex([], [], [], *[np.empty(0)] * 3, pick.integers(0, 1 << 63, 40, dtype=np.uint64), {})
     flips = pick.integers(0, 64, (3000, 30))
     prints = index.prints[pick.integers(0, 40, 3000)]
     for n in range(30):
