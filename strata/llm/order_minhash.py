@@ -9,12 +9,17 @@ similarity = L / (n + m - L) is ``threshold`` or more, where n and m are their
 numbers of shingles and L is the length of the longest common subsequence,
 found by an alignment within the band of diagonals that the threshold allows.
 
-Equal texts are one node from the start. In a bucket of candidates the members
-that share most buckets with others (an original has more than its copies) are
-compared with all members; buckets whose members are then still in different
-classes go through further rounds with twice as many such hubs, until their
-members are all in one class or have all been hubs. So each bucket costs its
-size times few hubs, and no pair is left out that could join two classes.
+Equal texts are one node from the start. In a bucket of candidates the ``HUBS``
+members that share most buckets with others (an original has more than its
+copies) are compared with all members, so a bucket of up to HUBS + 1 members is
+compared in full. A larger one whose members are then still in different
+classes, such as many copies that differ too much from each other, is dealt out
+anew by what each member does not share with the first hub: two members are as
+far apart as these differences are, but differences are small, so those of
+unrelated edits hardly ever share a sketch, and those of near copies do. That
+goes on, with twice as many hubs each time, until no bucket is both large and
+mixed. So every bucket costs its size
+times few hubs and no cap leaves candidates out.
 
 Defined cases: null and empty texts are equal; texts without words link only
 when equal; a text with fewer than five words has one shingle; a class has the
@@ -40,7 +45,9 @@ from strata.llm.support import in_slices, mix, shingles_of, words_of, written
 SHINGLE = 5
 SKETCHES = 40
 ROWS = 2
-HUBS = 8
+HUBS = 4
+DIFFERENCE_KEYS = 32
+DIFFERENCE_ROWS = 3
 _U = np.uint64
 _LAST = _U(0xFFFFFFFFFFFFFFFF)
 
@@ -120,9 +127,25 @@ def common_length(a: list, b: list, width: int) -> int:
     return head + tail + done + (high - low) - column.bit_count()
 
 
-def shingle_rows(text: str) -> list[int]:
+def shingle_rows(text: str) -> tuple[list[int], np.ndarray]:
+    """A text's shingles in order, and the set of them labelled by occurrence."""
     words, first = words_of([text])
-    return shingles_of(words, first, SHINGLE)[0].tolist()
+    row, _ = shingles_of(words, first, SHINGLE)
+    return row.tolist(), np.sort(mix(row ^ mix(_occurrences(row, np.zeros(len(row), np.int64)) + _U(1))))
+
+
+_DIFFERENCE_SEEDS = mix(np.arange(1001, 1001 + DIFFERENCE_KEYS * DIFFERENCE_ROWS, dtype=_U)) | _U(1)
+
+
+def difference_keys(apart: np.ndarray) -> np.ndarray:
+    """Keys of what one node has and another has not: near copies share some, relative to the same hub."""
+    if not len(apart):
+        return np.empty(0, np.int64)
+    least = (apart[:, None] * _DIFFERENCE_SEEDS).min(axis=0).reshape(DIFFERENCE_KEYS, DIFFERENCE_ROWS)
+    keys = least[:, 0]
+    for r in range(1, DIFFERENCE_ROWS):
+        keys = mix(keys + least[:, r])
+    return keys.view(np.int64)
 
 
 def similarity(a: list, b: list, threshold: float) -> float:
@@ -134,26 +157,38 @@ def similarity(a: list, b: list, threshold: float) -> float:
     return common / (total - common)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) that are similar."""
+def _checked(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) with ``linked`` and the keys of their difference."""
 
     def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: dict[int, list] = {}
+        seen: dict[int, tuple] = {}
         for frame in frames:
-            keep = []
-            for i, (a, ta, tb) in enumerate(zip(frame["a"], frame["text_a"], frame["text_b"])):
+            linked, keys = [], []
+            for a, ta, tb in zip(frame["a"], frame["text_a"], frame["text_b"]):
                 if a not in seen:
                     if len(seen) >= 64:
                         seen.clear()
                     seen[a] = shingle_rows(ta)
-                if similarity(seen[a], shingle_rows(tb), threshold) >= threshold - 1e-12:
-                    keep.append(i)
-            yield frame[["a", "b"]].iloc[keep]
+                (row_a, set_a), (row_b, set_b) = seen[a], shingle_rows(tb)
+                # what is common without regard to order bounds what is common in order
+                common = len(row_a) + len(row_b) - len(apart := np.setxor1d(set_a, set_b, assume_unique=True))
+                possible = common >= 2 * threshold / (1 + threshold) * (len(row_a) + len(row_b)) - 1e-6
+                linked.append(possible and similarity(row_a, row_b, threshold) >= threshold - 1e-12)
+                keys.append(difference_keys(apart))
+            yield frame[["a", "b"]].assign(linked=linked, keys=keys)
 
     full = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(
         texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a"
     )
-    return full.select("a", "b", "text_a", "text_b").mapInPandas(check, "a long, b long")
+    return full.select("a", "b", "text_a", "text_b").mapInPandas(check, "a long, b long, linked boolean, keys array<long>")
+
+
+def _buckets(members: DataFrame) -> DataFrame:
+    """(node, band, key) with the size of each bucket that has several members, and each node's weight."""
+    sizes = members.groupBy("band", "key").agg(F.count("*").alias("size")).where("size > 1")
+    members = written(members.join(sizes, ["band", "key"]), "omh-members")
+    weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
+    return written(members.join(weight, "node"), "omh-buckets")
 
 
 def near_duplicates(
@@ -180,10 +215,7 @@ def near_duplicates(
     # numbers of the different texts: written, they stay what they are
     nodes = written(nodes.select("same", "n_copies", "n.id", "n.bands", F.monotonically_increasing_id().alias("node")), "omh-nodes")
     members = nodes.select("node", F.posexplode("bands").alias("band", "key"))
-    sizes = members.groupBy("band", "key").agg(F.count("*").alias("size")).where("size > 1")
-    members = written(members.join(sizes, ["band", "key"]), "omh-members")
-    weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
-    members = written(members.join(weight, "node"), "omh-buckets")
+    members = _buckets(members)
     wanted = nodes.join(members.select("node").distinct(), "node").select("node", F.col("same").alias("n_same"), F.col("id").alias("n_id"))
     texts = hashed.join(wanted, (F.col("same") == F.col("n_same")) & F.col("id").eqNullSafe(F.col("n_id")))
     texts = written(texts.groupBy("same", "id").agg(F.min("node").alias("node"), F.min("text").alias("text")).select("node", "text"), "omh-texts")
@@ -195,21 +227,37 @@ def near_duplicates(
         nodes.select(F.col("same").alias("low"), F.col("node").alias("b")), "low"
     )
     edges = written(repeated.select("a", "b"), "omh-edges")
-    done, hubs, open_ = 0, HUBS, members.withColumn("root", F.col("node"))
+    roots, seen, level = None, None, 0
     while True:
+        now = members.withColumn("root", F.col("node")) if roots is None else (
+            members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        )
         order = Window.partitionBy("band", "key").orderBy(F.desc("weight"), "node")
         # the limit on the row number cuts every bucket to its hubs before the shuffle
-        best = open_.withColumn("n", F.row_number().over(order)).where(F.col("n") <= done + hubs).where(F.col("n") > done)
-        best = best.select("band", "key", F.col("node").alias("hub"), F.col("root").alias("hub_root"))
-        met = open_.join(best, ["band", "key"]).where("root <> hub_root")
-        pairs = written(met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct(), "omh-pairs")
-        edges = written(edges.union(_verified(pairs, texts, threshold)), "omh-edges")
+        # buckets get smaller from level to level, so that twice as many hubs cost no more
+        hubs = HUBS << level
+        best = now.withColumn("n", F.row_number().over(order)).where(F.col("n") <= hubs)
+        best = written(best.select("band", "key", F.col("node").alias("hub"), F.col("root").alias("hub_root"), "n"), "omh-hubs")
+        met = now.join(best, ["band", "key"]).where("root <> hub_root")
+        pairs = met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+        if seen is not None:
+            pairs = pairs.join(seen.select("a", "b"), ["a", "b"], "left_anti")
+        found = written(_checked(pairs, texts, threshold), "omh-checked")
+        seen = found if seen is None else seen.union(found)
+        edges = edges.union(found.where("linked").select("a", "b"))
         roots = components(edges).withColumnRenamed("id", "node")
-        done, hubs = done + hubs, 2 * hubs
-        open_ = members.where(F.col("size") > done).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = open_.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        open_ = written(open_.join(mixed.select("band", "key"), ["band", "key"]), "omh-open")
-        if open_.isEmpty():
+
+        large = members.where(F.col("size") > hubs + 1).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        mixed = large.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+        first_hub = best.where("n = 1").join(mixed, ["band", "key"]).select("band", "key", "hub")
+        around = large.join(first_hub, ["band", "key"]).select("node", "hub").where("node <> hub").distinct()
+        known = around.withColumns({"a": F.least("node", "hub"), "b": F.greatest("node", "hub")}).join(seen, ["a", "b"])
+        level += 1
+        again = known.select("node", F.posexplode("keys").alias("at", "mark"), "hub").select(
+            "node", (F.col("at") + DIFFERENCE_KEYS * level).alias("band"), F.xxhash64("hub", "mark").alias("key")
+        )
+        members = _buckets(again)
+        if members.isEmpty():
             break
     rooted = nodes.select("same", "n_copies", "id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     classes = rooted.groupBy("root").agg(F.min("id").alias("class_id"))

@@ -27,7 +27,7 @@ def brute_force(rows, threshold=0.8):
     members = defaultdict(list)
     for i, t in rows:
         members[t].append(i)
-    nodes = [(min((i for i in ids if i is not None), default=None), shingle_rows(t), ids) for t, ids in members.items()]
+    nodes = [(min((i for i in ids if i is not None), default=None), shingle_rows(t)[0], ids) for t, ids in members.items()]
     root = list(range(len(nodes)))
 
     def find(n):
@@ -107,6 +107,18 @@ def test_a_large_group_around_one_original(spark):
     assert kept == {c for _, c, _ in want}
 
 
+def test_a_large_group_of_texts_too_far_apart(spark):
+    """Copies that are candidates of each other but no near copies, among them some pairs that are."""
+    pick = random.Random(5)
+    base = [f"v{n}" for n in range(150)]
+    far = [edited(pick, base, 9) for _ in range(120)]
+    near = [edited(pick, text.split(), 1) for text in far[:25]]
+    df = documents(spark, list(enumerate(far + near)))
+    want = brute_force(plain(df))
+    assert 20 <= sum(i != c for i, c, _ in want) <= 40
+    assert rows_of(near_duplicates(df), "doc_id", "class_id", "n_copies") == want
+
+
 def test_components(spark):
     edges = [(n, n + 1) for n in range(1, 30)] + [(50, n) for n in range(60, 90)] + [(95, 95)]
     got = {r["id"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
