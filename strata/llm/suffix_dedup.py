@@ -157,46 +157,64 @@ def _distinct(found: Anchors) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Entries:
-    """The suffixes a run sends, sorted in each partition, and where they came from."""
+    """The suffixes a run sends, sorted in each partition and each once, and where they stand."""
 
-    parts: dict[int, list[tuple[bytes, bytes]]]  # (suffix from the anchor on, text left of it)
-    ids: dict[int, list[int]]  # smallest id of each
-    seen: list[tuple[int, int, int, int, tuple[bytes, bytes]]]  # (document, first window, windows, partition, entry)
+    parts: list[int]  # the partitions, in order
+    begin: list[int]  # where the entries of each begin, and the end
+    suffixes: list[bytes]  # from the anchor on
+    lefts: list[bytes]  # what is left of the anchor
+    ids: list[int]  # the smallest id of each
+    seen: np.ndarray  # (document, first window, windows, entry, whether an earlier document of the run has it)
 
     @classmethod
     def of(cls, texts: list[bytes], ids: list[int], answers: np.ndarray, found: Anchors, length: int, parts: int) -> Entries:
         """``answers``: 0 no other document has it, 1 some have, 2 many; one for each distinct key."""
         keys, _ = _distinct(found)
         answer = answers[np.searchsorted(keys, found.key)] if len(keys) else answers
-        keep = np.flatnonzero(answer)
-        least: dict[int, dict[tuple[bytes, bytes], int]] = {}
-        seen = []
-        columns = (found.doc, found.place, found.low, found.high, found.key >> np.uint64(40), answer)
-        for doc, place, low, high, part, many in zip(*(c[keep].tolist() for c in columns)):
-            text = texts[doc]
-            if many == 1:
-                new = [(low, high - low + 1, part, (text[place : high + length], text[low:place]))]
-            else:
-                windows = (text[p : p + length] for p in range(low, high + 1))
-                new = [(low + n, 1, zlib.crc32(w) % parts, (w, b"")) for n, w in enumerate(windows)]
-            for begin, n, at, entry in new:
-                known = least.setdefault(at, {})
-                known[entry] = min(known.get(entry, LAST_ID), ids[doc])
-                seen.append((doc, begin, n, at, entry))
-        ordered = {p: sorted(known) for p, known in least.items()}
-        return cls(ordered, {p: [least[p][e] for e in entries] for p, entries in ordered.items()}, seen)
-
-    def block(self, part: int) -> bytes:
-        """Front-coded: each suffix without what it has in common with the one before."""
-        entries, common, tails, before = self.parts[part], [], [], b""
-        for suffix, _ in entries:
+        some, many = np.flatnonzero(answer == 1), np.flatnonzero(answer == 2)
+        doc, place, low, high = (c[some].tolist() for c in (found.doc, found.place, found.low, found.high))
+        part = (found.key[some] >> np.uint64(40)).tolist()
+        count = (found.high[some] - found.low[some] + 1).tolist()
+        suffixes = [texts[d][p : h + length] for d, p, h in zip(doc, place, high)]
+        lefts = [texts[d][b:p] for d, b, p in zip(doc, low, place)]
+        for d, b, h in zip(found.doc[many].tolist(), found.low[many].tolist(), found.high[many].tolist()):
+            windows = [texts[d][p : p + length] for p in range(b, h + 1)]
+            suffixes += windows
+            lefts += [b""] * len(windows)
+            part += [zlib.crc32(w) % parts for w in windows]
+            doc += [d] * len(windows)
+            low += range(b, h + 1)
+            count += [1] * len(windows)
+        out = cls([], [], [], [], [], np.empty((0, 5), np.int32))
+        entry, earlier, last = [0] * len(doc), [0] * len(doc), None
+        order = sorted(zip(part, suffixes, lefts, map(ids.__getitem__, doc), range(len(doc))))
+        for at, suffix, left, own, n in order:
+            if (at, suffix, left) != last:
+                if last is None or at != last[0]:
+                    out.parts.append(at)
+                    out.begin.append(len(out.ids))
+                last = (at, suffix, left)
+                out.suffixes.append(suffix)
+                out.lefts.append(left)
+                out.ids.append(own)
+            entry[n] = len(out.ids) - 1
+            earlier[n] = out.ids[-1] < own
+        out.begin.append(len(out.ids))
+        out.seen = np.array([doc, low, count, entry, earlier], np.int32).T
+        return out
+
+    def block(self, n: int) -> bytes:
+        """Front-coded: each suffix of the n-th partition without what it has in common with the one before."""
+        a, b = self.begin[n], self.begin[n + 1]
+        suffixes, lefts, common, tails, before = self.suffixes[a:b], self.lefts[a:b], [], [], b""
+        for suffix in suffixes:
             same = common_prefix(before, suffix)
             common.append(same)
             tails.append(suffix[same:])
             before = suffix
         return _pack(
-            np.array(common, "<u2"), np.array([len(s) for s, _ in entries], "<u2"), np.array([len(x) for _, x in entries], "<u2"),
-            b"".join(tails), b"".join(x for _, x in entries), np.array(self.ids[part], "<i8"),
+            np.array(common, "<u2"), np.array(list(map(len, suffixes)), "<u2"), np.array(list(map(len, lefts)), "<u2"),
+            b"".join(tails), b"".join(lefts), np.array(self.ids[a:b], "<i8"),
         )
 
 
@@ -247,10 +265,11 @@ def _merged(blocks: list, length: int, anchor: int) -> list[list[int]]:
     group: list[tuple[int, int, int]] = []
     for run, at, common in merge_prefixed([b[0] for b in blocks], [b[1] for b in blocks]):
         if common < anchor and group:
-            _earlier_windows(group, blocks, answers, length)
+            if len(group) > 1:
+                _earlier_windows(group, blocks, answers, length)
             group = []
         group.append((run, at, common))
-    if group:
+    if len(group) > 1:
         _earlier_windows(group, blocks, answers, length)
     return answers
 
@@ -294,7 +313,7 @@ def remove_repeats(
             with pa.ipc.new_stream(sink, waiting[0].schema) as out:
                 for piece in waiting:
                     out.write_batch(piece)
-            data = zstandard.compress(sink.getvalue().to_pybytes(), 6)
+            data = zstandard.compress(sink.getvalue().to_pybytes(), 3)
             return pa.RecordBatch.from_arrays(
                 [pa.array([uuid.uuid4().int >> 65], pa.int64()), pa.array([data], pa.binary())], names=["run", "rows"]
             )
@@ -336,48 +355,55 @@ def remove_repeats(
         say = ((docs > 1).astype(np.uint8) + (docs > hot))[back].astype(np.uint8)
         return frame[["run", "part"]].assign(data=[_pack(say[a:b]) for a, b in zip(sizes, sizes[1:])])
 
-    def entries(data: bytes, answers: list) -> tuple[pa.Table, list[int], list[bytes], Entries]:
-        table = unpack(data)
-        ids, texts = rows_of(table)
-        found = Anchors.of(texts, length, anchor, parts)
-        say = b"".join(_unpack(a["data"])[0] for a in sorted(answers if answers is not None else [], key=lambda a: a["part"]))
-        return table, ids, texts, Entries.of(texts, ids, np.frombuffer(say, np.uint8), found, length, parts)
-
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for run, data, answers in zip(frame["run"], frame["rows"], frame["answers"]):
-                own = entries(data, answers)[3]
-                at = sorted(own.parts)
-                yield pd.DataFrame({"run": run, "part": at, "data": [own.block(p) for p in at]})
+                ids, texts = rows_of(unpack(data))
+                say = b"".join(_unpack(a["data"])[0] for a in sorted(answers if answers is not None else [], key=lambda a: a["part"]))
+                own = Entries.of(texts, ids, np.frombuffer(say, np.uint8), Anchors.of(texts, length, anchor, parts), length, parts)
+                if own.parts:
+                    # where the suffixes stand comes back beside the answers; numbers below 0 are passed through
+                    where = _pack(np.array(own.parts, "<i4"), own.seen.T.astype("<i4"))
+                    yield pd.DataFrame(
+                        {"run": run, "part": [*own.parts, -1 - run % parts], "data": [*map(own.block, range(len(own.parts))), where]}
+                    )
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
+        if frame["part"].iloc[0] < 0:
+            return frame
         found = _merged([_read_block(d) for d in frame["data"]], length, anchor)
         return frame[["run", "part"]].assign(data=[_pack(np.array(f, "<u4")) for f in found])
 
+    def starts_of(told: list) -> tuple[np.ndarray, np.ndarray]:
+        """(document, place) of all windows that an earlier document has, by document."""
+        answers = {t["part"]: t["data"] for t in told}
+        at, seen = _unpack(next(d for p, d in answers.items() if p < 0))
+        doc, low, count, entry, earlier = np.frombuffer(seen, "<i4").reshape(5, -1).astype(np.int64)
+        masks = np.concatenate([np.frombuffer(_unpack(answers[p])[0], "<u4") for p in np.frombuffer(at, "<i4").tolist()])
+        mask = np.where(earlier > 0, np.uint32(0xFFFFFFFF), masks[entry])
+        bit = np.arange(32)
+        row, k = np.nonzero((mask[:, None] >> bit.astype(np.uint32) & 1).astype(bool) & (bit < count[:, None]))
+        order = np.argsort(doc[row], kind="stable")
+        return doc[row][order], (low[row] + k)[order]
+
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for data, answers, bits in zip(*(batch[c] for c in ("rows", "answers", "bits"))):
-                table, ids, texts, own = entries(data.as_py(), answers.as_py())
-                told = {b["part"]: dict(zip(own.parts[b["part"]], zip(np.frombuffer(_unpack(b["data"])[0], "<u4").tolist(), own.ids[b["part"]])))
-                        for b in bits.as_py() or []}
-                starts: dict[int, list[int]] = {}
-                for doc, begin, n, part, entry in own.seen:
-                    mask, least = told[part][entry]
-                    if least < ids[doc]:
-                        starts.setdefault(doc, []).extend(range(begin, begin + n))
-                    elif mask:
-                        starts.setdefault(doc, []).extend(begin + k for k in range(n) if mask >> k & 1)
-                removed, spans, kept = [0] * len(ids), [0] * len(ids), list(texts)
-                for doc, at in starts.items():
-                    depth = np.zeros(len(texts[doc]) + 1, np.int32)
-                    np.add.at(depth, at, 1)
-                    np.add.at(depth, np.array(at) + length, -1)
-                    gone, raw = np.cumsum(depth[:-1]) > 0, np.frombuffer(texts[doc], np.uint8)
+            for data, told in zip(batch["rows"], batch["bits"]):
+                table = unpack(data.as_py())
+                _, texts = rows_of(table)
+                doc, start = starts_of(told.as_py()) if told.as_py() else (np.empty(0, np.int64),) * 2
+                removed, spans, kept = [0] * len(texts), [0] * len(texts), list(texts)
+                bound = np.searchsorted(doc, np.arange(len(texts) + 1))
+                for d in np.unique(doc).tolist():
+                    at = start[bound[d] : bound[d + 1]]
+                    size = len(texts[d]) + 1
+                    depth = np.bincount(at, minlength=size) - np.bincount(at + length, minlength=size)
+                    gone, raw = np.cumsum(depth[:-1]) > 0, np.frombuffer(texts[d], np.uint8)
                     if whole_signs:
                         gone = _whole_signs(raw, gone)
-                    removed[doc] = int(gone.sum())
-                    spans[doc] = int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1))
-                    kept[doc] = raw[~gone].tobytes()
+                    removed[d] = int(gone.sum())
+                    spans[d] = int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1))
+                    kept[d] = raw[~gone].tobytes()
                 for name, values, kind in zip(_RESULT, ([len(t) for t in texts], removed, spans, kept), (pa.int64(), pa.int64(), pa.int64(), pa.binary())):
                     table = table.append_column(name, pa.array(values, kind))
                 yield from table.to_batches()
@@ -389,4 +415,4 @@ def remove_repeats(
     known = runs.join(asked, "run", "left")
     told = known.mapInPandas(send, blocks).groupBy("part").applyInPandas(merge, blocks).groupBy("run").agg(listed.alias("bits"))
     result = StructType([*df.schema.fields, *(StructField(n, LongType()) for n in _RESULT[:3]), StructField("kept", BinaryType())])
-    return known.join(told, "run", "left").select("rows", "answers", "bits").mapInArrow(apply, result)
+    return known.join(told, "run", "left").select("rows", "bits").mapInArrow(apply, result)
