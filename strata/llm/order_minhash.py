@@ -12,14 +12,12 @@ found by an alignment within the band of diagonals that the threshold allows.
 Equal texts are one node from the start. In a bucket of candidates the ``HUBS``
 members that share most buckets with others (an original has more than its
 copies) are compared with all members, so a bucket of up to HUBS + 1 members is
-compared in full. A larger one whose members are then still in different
-classes, such as many copies that differ too much from each other, is dealt out
-anew by what each member does not share with the first hub: two members are as
-far apart as these differences are, but differences are small, so those of
-unrelated edits hardly ever share a sketch, and those of near copies do. That
-goes on, with twice as many hubs each time, until no bucket is both large and
-mixed. So every bucket costs its size
-times few hubs and no cap leaves candidates out.
+compared in full. The members of larger buckets that are then still in different
+classes, such as many copies that differ too much from each other, meet by a
+prefix filter: each orders its shingles from the rarest among these members to
+the most common, and two documents that reach the threshold must share one of
+their first ones, at places that their lengths allow. So every pair of a bucket
+that could join two classes is compared, and pairs that cannot hardly ever are.
 
 Defined cases: null and empty texts are equal; texts without words link only
 when equal; a text with fewer than five words has one shingle; a class has the
@@ -46,8 +44,6 @@ SHINGLE = 5
 SKETCHES = 40
 ROWS = 2
 HUBS = 4
-DIFFERENCE_KEYS = 32
-DIFFERENCE_ROWS = 3
 _U = np.uint64
 _LAST = _U(0xFFFFFFFFFFFFFFFF)
 
@@ -134,20 +130,6 @@ def shingle_rows(text: str) -> tuple[list[int], np.ndarray]:
     return row.tolist(), np.sort(mix(row ^ mix(_occurrences(row, np.zeros(len(row), np.int64)) + _U(1))))
 
 
-_DIFFERENCE_SEEDS = mix(np.arange(1001, 1001 + DIFFERENCE_KEYS * DIFFERENCE_ROWS, dtype=_U)) | _U(1)
-
-
-def difference_keys(apart: np.ndarray) -> np.ndarray:
-    """Keys of what one node has and another has not: near copies share some, relative to the same hub."""
-    if not len(apart):
-        return np.empty(0, np.int64)
-    least = (apart[:, None] * _DIFFERENCE_SEEDS).min(axis=0).reshape(DIFFERENCE_KEYS, DIFFERENCE_ROWS)
-    keys = least[:, 0]
-    for r in range(1, DIFFERENCE_ROWS):
-        keys = mix(keys + least[:, r])
-    return keys.view(np.int64)
-
-
 def similarity(a: list, b: list, threshold: float) -> float:
     """L / (n + m - L) if that is ``threshold`` or more, else some smaller value."""
     total = len(a) + len(b)
@@ -158,12 +140,12 @@ def similarity(a: list, b: list, threshold: float) -> float:
 
 
 def _checked(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) with ``linked`` and the keys of their difference."""
+    """The pairs (a, b) with ``linked``."""
 
     def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[int, tuple] = {}
         for frame in frames:
-            linked, keys = [], []
+            linked = []
             for a, ta, tb in zip(frame["a"], frame["text_a"], frame["text_b"]):
                 if a not in seen:
                     if len(seen) >= 64:
@@ -171,16 +153,50 @@ def _checked(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
                     seen[a] = shingle_rows(ta)
                 (row_a, set_a), (row_b, set_b) = seen[a], shingle_rows(tb)
                 # what is common without regard to order bounds what is common in order
-                common = len(row_a) + len(row_b) - len(apart := np.setxor1d(set_a, set_b, assume_unique=True))
+                common = len(row_a) + len(row_b) - len(np.setxor1d(set_a, set_b, assume_unique=True))
                 possible = common >= 2 * threshold / (1 + threshold) * (len(row_a) + len(row_b)) - 1e-6
                 linked.append(possible and similarity(row_a, row_b, threshold) >= threshold - 1e-12)
-                keys.append(difference_keys(apart))
-            yield frame[["a", "b"]].assign(linked=linked, keys=keys)
+            yield frame[["a", "b"]].assign(linked=linked)
 
     full = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(
         texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a"
     )
-    return full.select("a", "b", "text_a", "text_b").mapInPandas(check, "a long, b long, linked boolean, keys array<long>")
+    return full.select("a", "b", "text_a", "text_b").mapInPandas(check, "a long, b long, linked boolean")
+
+
+def _could_link(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): of the ``nodes`` (node, root), all pairs with different roots that share enough shingles for the threshold.
+
+    Linked sets of n and m shingles differ in at most r(n + m) of them, with r as
+    below. In any common order their first common shingle then has at most
+    (n - m + r(n + m)) / 2 others before it in the one and (m - n + r(n + m)) / 2 in
+    the other; shingles that no other node has come first and are only counted.
+    """
+    r = (1 - threshold) / (1 + threshold)
+
+    def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            marks = [shingle_rows(t)[1].view(np.int64) for t in frame["text"]]
+            yield frame[["node", "root"]].assign(n=[len(m) for m in marks], marks=marks)
+
+    own = texts.join(nodes, "node").select("node", "root", "text").mapInPandas(sets, "node long, root long, n long, marks array<long>")
+    marks = written(own, "omh-sets").select("node", "root", "n", F.explode("marks").alias("mark"))
+    shared = marks.join(marks.groupBy("mark").agg(F.count("*").alias("among")).where("among > 1"), "mark")
+    rows = shared.groupBy("node", "root", "n").agg(F.sort_array(F.collect_list(F.struct("among", "mark"))).alias("marks"))
+    rows = rows.withColumn("alone", F.col("n") - F.size("marks"))
+    most = F.floor(F.col("n") * (1 - threshold) + 1e-6).cast("long") + 1 - F.col("alone")
+    first = F.slice("marks", 1, F.greatest(most, F.lit(0)).cast("int"))
+    first = rows.select("node", "root", "n", "alone", F.posexplode(first).alias("at", "mark"))
+    first = written(first.select("node", "root", "n", (F.col("at") + F.col("alone")).alias("at"), "mark.mark"), "omh-first")
+    # the most common root of a shingle does not meet itself
+    main = first.groupBy("mark", "root").count().groupBy("mark").agg(F.max(F.struct("count", "root")).alias("main"), F.count("*").alias("roots"))
+    main = main.where("roots > 1").select("mark", F.col("main.root").alias("main"))
+    left = first.join(main, "mark").where("root <> main").select("mark", *(F.col(c).alias(f"{c}_x") for c in ("node", "root", "n", "at")))
+    right = first.select("mark", *(F.col(c).alias(f"{c}_y") for c in ("node", "root", "n", "at")))
+    apart = r * (F.col("n_x") + F.col("n_y")) + 1e-6
+    near = (2 * F.col("at_x") <= F.col("n_x") - F.col("n_y") + apart) & (2 * F.col("at_y") <= F.col("n_y") - F.col("n_x") + apart)
+    met = left.withColumnRenamed("mark", "mark_x").join(right, (F.col("mark_x") == F.col("mark")) & (F.col("root_x") != F.col("root_y")) & near)
+    return met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
 
 
 def _buckets(members: DataFrame) -> DataFrame:
@@ -227,38 +243,22 @@ def near_duplicates(
         nodes.select(F.col("same").alias("low"), F.col("node").alias("b")), "low"
     )
     edges = written(repeated.select("a", "b"), "omh-edges")
-    roots, seen, level = None, None, 0
-    while True:
-        now = members.withColumn("root", F.col("node")) if roots is None else (
-            members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        )
-        order = Window.partitionBy("band", "key").orderBy(F.desc("weight"), "node")
-        # the limit on the row number cuts every bucket to its hubs before the shuffle
-        # buckets get smaller from level to level, so that twice as many hubs cost no more
-        hubs = HUBS << level
-        best = now.withColumn("n", F.row_number().over(order)).where(F.col("n") <= hubs)
-        best = written(best.select("band", "key", F.col("node").alias("hub"), F.col("root").alias("hub_root"), "n"), "omh-hubs")
-        met = now.join(best, ["band", "key"]).where("root <> hub_root")
-        pairs = met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        if seen is not None:
-            pairs = pairs.join(seen.select("a", "b"), ["a", "b"], "left_anti")
-        found = written(_checked(pairs, texts, threshold), "omh-checked")
-        seen = found if seen is None else seen.union(found)
-        edges = edges.union(found.where("linked").select("a", "b"))
-        roots = components(edges).withColumnRenamed("id", "node")
-
-        large = members.where(F.col("size") > hubs + 1).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = large.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        first_hub = best.where("n = 1").join(mixed, ["band", "key"]).select("band", "key", "hub")
-        around = large.join(first_hub, ["band", "key"]).select("node", "hub").where("node <> hub").distinct()
-        known = around.withColumns({"a": F.least("node", "hub"), "b": F.greatest("node", "hub")}).join(seen, ["a", "b"])
-        level += 1
-        again = known.select("node", F.posexplode("keys").alias("at", "mark"), "hub").select(
-            "node", (F.col("at") + DIFFERENCE_KEYS * level).alias("band"), F.xxhash64("hub", "mark").alias("key")
-        )
-        members = _buckets(again)
-        if members.isEmpty():
-            break
+    order = Window.partitionBy("band", "key").orderBy(F.desc("weight"), "node")
+    # the limit on the row number cuts every bucket to its hubs before the shuffle
+    best = members.withColumn("n", F.row_number().over(order)).where(F.col("n") <= HUBS)
+    best = written(best.select("band", "key", F.col("node").alias("hub")), "omh-hubs")
+    met = members.join(best, ["band", "key"]).where("node <> hub")
+    pairs = met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    seen = written(_checked(pairs, texts, threshold), "omh-checked")
+    edges = edges.union(seen.where("linked").select("a", "b"))
+    roots = components(edges).withColumnRenamed("id", "node")
+
+    large = members.where(F.col("size") > HUBS + 1).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = large.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    apart = written(large.join(mixed, ["band", "key"]).select("node", "root").distinct(), "omh-apart")
+    pairs = written(_could_link(apart, texts, threshold).join(seen, ["a", "b"], "left_anti"), "omh-pairs")
+    edges = edges.union(written(_checked(pairs, texts, threshold), "omh-checked").where("linked").select("a", "b"))
+    roots = components(edges).withColumnRenamed("id", "node")
     rooted = nodes.select("same", "n_copies", "id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     classes = rooted.groupBy("root").agg(F.min("id").alias("class_id"))
     named = rooted.join(classes, "root").select("same", "n_copies", "class_id")

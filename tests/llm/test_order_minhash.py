@@ -119,6 +119,21 @@ def test_a_large_group_of_texts_too_far_apart(spark):
     assert rows_of(near_duplicates(df), "doc_id", "class_id", "n_copies") == want
 
 
+def test_a_large_group_with_pairs_at_the_very_threshold(spark):
+    """All are candidates of each other and just below the threshold to their original; pairs of 0.802 still link."""
+    pick = random.Random(11)
+    base = [f"v{n}" for n in range(95)]
+    texts = [" ".join(base)]
+    for p in range(80):
+        at, new = 5 + p % 77, [f"p{p}w{n}" for n in range(8)]
+        texts += [" ".join(base[: at + s] + new[s : s + 7] + base[at + s + 7 :]) for s in (0, 1)]
+    pick.shuffle(texts)
+    rows = [shingle_rows(t)[0] for t in texts]
+    alike = sum(similarity(a, b, 0.8) >= 0.8 for n, a in enumerate(rows) for b in rows[:n])
+    got = near_duplicates(documents(spark, list(enumerate(texts)))).collect()
+    assert alike == 80 and sum(r["doc_id"] != r["class_id"] for r in got) == 80
+
+
 def test_components(spark):
     edges = [(n, n + 1) for n in range(1, 30)] + [(50, n) for n in range(60, 90)] + [(95, 95)]
     got = {r["id"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
