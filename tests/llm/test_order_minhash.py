@@ -134,6 +134,22 @@ def test_a_large_group_with_pairs_at_the_very_threshold(spark):
     assert alike == 80 and sum(r["doc_id"] != r["class_id"] for r in got) == 80
 
 
+def test_chains_of_copies_in_a_large_group(spark):
+    """Each link of a chain is a near copy of the one before alone; the rest of the bucket is too far apart."""
+    pick = random.Random(13)
+    base = [f"v{n}" for n in range(95)]
+    texts = [edited(pick, base, 7) for _ in range(60)]
+    for _ in range(6):
+        texts.append(edited(pick, base, 3))
+        for _ in range(9):
+            texts.append(edited(pick, texts[-1].split(), 2))
+    pick.shuffle(texts)
+    df = documents(spark, list(enumerate(texts)))
+    want = brute_force(plain(df))
+    assert max(Counter(c for _, c, _ in want).values()) >= 10
+    assert rows_of(near_duplicates(df), "doc_id", "class_id", "n_copies") == want
+
+
 def test_components(spark):
     edges = [(n, n + 1) for n in range(1, 30)] + [(50, n) for n in range(60, 90)] + [(95, 95)]
     got = {r["id"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
