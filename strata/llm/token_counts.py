@@ -12,7 +12,9 @@ counts of its prefixes; ``PrefixCounts`` answers how many tokens a prefix has
 and how long a prefix fits a budget, without encoding again.
 
 Words repeat, so each Python worker keeps the counts of the words it has seen,
-``KEPT`` at most; beyond that it forgets them and goes on.
+``KEPT`` at most; beyond that it forgets them and goes on. Words and pieces of
+more than ``LONG`` characters are not kept: their counts stand in arrays by
+position, in which a budget's cut is looked up.
 
 Defined cases: a null text counts as empty, with 0 bytes and tokens; strings of
 special tokens inside a text count as one token each, as the tokenizer's
@@ -25,7 +27,8 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from bisect import bisect_right
+from array import array
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate
@@ -38,6 +41,7 @@ from tokenizers.models import BPE
 
 
 KEPT = 500_000
+LONG = 64
 # separators in Python's eyes that are no white space in Unicode's
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _ASCII_SPACE = re.compile("[ \t\n\r\x0b\x0c]+")
@@ -74,6 +78,7 @@ class PrefixTokenizer:
         self.states: dict[str, tuple[str, int]] = {}
         self.closings: dict[str, int] = {}
         self.words: dict[str, int] = {}
+        self.latest: LongWord | None = None
 
     def _together(self, a: str, b: str, closed: bool) -> bool:
         key = (a, b, closed)
@@ -104,6 +109,8 @@ class PrefixTokenizer:
 
     def piece_count(self, piece: str) -> int:
         """Tokens of a piece, or of a prefix of one, in byte symbols, as a text of its own."""
+        if len(piece) > LONG:
+            return PieceCounts(self, piece).closed[-1]
         if (known := self.closings.get(piece)) is not None:
             return known
         if len(self.closings) + len(self.states) >= KEPT:
@@ -134,12 +141,23 @@ class PrefixTokenizer:
     def word_count(self, word: str) -> int:
         if (known := self.words.get(word)) is not None:
             return known
+        if len(word) > LONG:
+            return self.long_word(word).tokens(len(word))
         n = sum(map(self.piece_count, self.pieces_of(word)))
         if len(self.words) >= KEPT:
             self.words.clear()
         self.words[word] = n
         return n
 
+    def long_word(self, word: str) -> LongWord:
+        if self.latest is None or self.latest.word != word:
+            self.latest = LongWord(self, word)
+        return self.latest
+
+    def cut(self, plain: str) -> list[tuple[str, tuple[int, int]]]:
+        """The pieces of a normalized text in byte symbols, each with its place in the text."""
+        return self.tokenizer.pre_tokenizer.pre_tokenize_str(plain)
+
     def spans(self, text: str) -> list[str]:
         """The words of a text; special tokens stand as words of their own."""
         if self.specials and "<|" in text and self.specials.search(text):
@@ -160,6 +178,97 @@ class PrefixTokenizer:
         return [n if (n := get(w)) is not None else slow(w) for w in self.spans(text)]
 
 
+class PieceCounts:
+    """By position in a piece: tokens of the prefix as a text of its own, and last token and count if it goes on."""
+
+    def __init__(self, tokenizer: PrefixTokenizer, piece: str):
+        self.tokenizer, self.piece = tokenizer, piece
+        self.last, self.open, self.closed = array("q", [0]), array("q", [0]), array("q", [0])
+        self._go_on()
+
+    def _before(self, i: int, tokens: set[str], most: int, closed: bool) -> int:
+        for begin in range(max(0, i - most), i):
+            token = self.piece[begin:i]
+            if token in tokens:
+                last = self.last[begin]
+                if not begin or (last and self.tokenizer._together(self.piece[begin - last : begin], token, closed)):
+                    return begin
+        return -1
+
+    def _go_on(self) -> None:
+        t = self.tokenizer
+        for i in range(len(self.last), len(self.piece) + 1):
+            if (begin := self._before(i, t.closed, t.most_closed, True)) < 0:
+                raise ValueError(f"the vocabulary has no tokens for {self.piece[:i]!r}")
+            self.closed.append(self.open[begin] + 1)
+            begin = self._before(i, t.opened, t.most_opened, False)
+            self.last.append(i - begin if begin >= 0 else 0)
+            self.open.append(self.open[begin] + 1 if begin >= 0 else 0)
+
+    def with_end(self, i: int, end: str) -> int:
+        """Tokens of the first ``i`` symbols and ``end``; looks back two tokens at most."""
+        low = max(0, i - self.tokenizer.most_closed - 2 * self.tokenizer.most_opened)
+        new = object.__new__(PieceCounts)
+        new.tokenizer, new.piece = self.tokenizer, self.piece[low:i] + end
+        new.last, new.open, new.closed = self.last[low : i + 1], self.open[low : i + 1], self.closed[low : i + 1]
+        new._go_on()
+        return new.closed[-1]
+
+
+def _stands_alone(c: str) -> bool:
+    """Whether normalizing never joins a character with what is before it."""
+    if c.isascii():
+        return True
+    kind, n = unicodedata.category(c), ord(c)
+    jamo = 0x1100 <= n <= 0x11FF or 0xA960 <= n <= 0xA97F or 0xD7B0 <= n <= 0xD7FF
+    return kind[0] not in "MZ" and kind != "Cn" and not jamo and not c.isspace() and unicodedata.normalize("NFC", c) == c
+
+
+class LongWord:
+    """Token counts of a word's prefixes, each piece being cut and counted once."""
+
+    def __init__(self, tokenizer: PrefixTokenizer, word: str):
+        self.tokenizer, self.word = tokenizer, word
+        # where characters begin that stand alone, in the word and in the normalized word
+        self.at = [n for n, c in enumerate(word) if not n or _stands_alone(c)] + [len(word)]
+        plain = [self._plain(word[a:b]) for a, b in zip(self.at, self.at[1:])]
+        self.plain = "".join(plain)
+        self.plain_at = [0, *accumulate(map(len, plain))]
+        self.begins, self.ends, self.runs, self.sums = [], [], [], [0]
+        for symbols, (begin, end) in tokenizer.cut(self.plain):
+            run = PieceCounts(tokenizer, symbols) if end - begin > LONG else None
+            self.begins.append(begin)
+            self.ends.append(end)
+            # a run and where its characters end, in symbols
+            self.runs.append(run and (run, array("q", [0, *accumulate(len(c.encode()) for c in self.plain[begin:end])])))
+            self.sums.append(self.sums[-1] + (run.closed[-1] if run else tokenizer.piece_count(symbols)))
+
+    def _plain(self, part: str) -> str:
+        normalizer = self.tokenizer.tokenizer.normalizer
+        return (part.lower() if part.isascii() and not part.isspace() else normalizer.normalize_str(part)) if normalizer else part
+
+    def tokens(self, chars: int) -> int:
+        """Tokens of the word's first ``chars`` characters."""
+        t = self.tokenizer
+        k = bisect_right(self.at, chars) - 1
+        end = self.plain_at[k]
+        more = self._plain(self.word[self.at[k] : chars])
+        p = bisect_left(self.ends, end)
+        if p == len(self.ends) or self.begins[p] >= end:  # between pieces
+            return self.sums[p] + sum(t.piece_count(s) for s, _ in t.cut(more))
+        begin = self.begins[p]
+        if end == self.ends[p] and not more:
+            return self.sums[p + 1]
+        if not self.runs[p]:
+            return self.sums[p] + sum(t.piece_count(s) for s, _ in t.cut(self.plain[begin:end] + more))
+        run, symbols = self.runs[p]
+        if not more:
+            return self.sums[p] + run.closed[symbols[end - begin]]
+        # a run is of letters or of other signs, and goes on with what is like it
+        first, *rest = t.cut(("a" if unicodedata.category(self.plain[begin])[0] == "L" else "#") + more)
+        return self.sums[p] + run.with_end(symbols[end - begin], first[0][1:]) + sum(t.piece_count(s) for s, _ in rest)
+
+
 class PrefixCounts:
     """The running counts of one text."""
 
@@ -177,6 +286,8 @@ class PrefixCounts:
         t = self.tokenizer
         if n >= len(word):
             return t.count_of(word)
+        if len(word) > LONG:
+            return t.long_word(word).tokens(n)
         return sum(map(t.piece_count, t.pieces_of(word[:n]))) if n else 0
 
     def tokens(self, chars: int) -> int:

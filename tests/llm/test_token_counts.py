@@ -1,4 +1,5 @@
 import random
+import time
 
 import public_tokenizers
 from pyspark.sql import functions as F
@@ -30,6 +31,29 @@ def test_every_prefix_counts_as_the_library_does():
         assert counts.tokens(counts.fit(5)) <= 5 and counts.fit(5) <= max(fits)
 
 
+def test_prefixes_of_long_words_count_as_the_library_does():
+    ours, library, pick = PrefixTokenizer(PATH), Tokenizer.from_file(PATH), random.Random(3)
+    for signs, most in (("abcdeinorstABZ", 130), ("aB9+/=", 130), ("aé日本ßİΣ'sde\u0301\u0338=#", 130), ("日本語文字", 90), ("e\u0301a", 150), ("#'=\u0338-", 130), ("\x1c\xa0ab\u0301", 200)):
+        for _ in range(3):
+            text = "".join(pick.choice(signs) for _ in range(most))
+            counts = PrefixCounts(ours, text)
+            true = [len(library.encode(text[:n], add_special_tokens=False).ids) for n in range(most + 1)]
+            assert [counts.tokens(n) for n in range(most + 1)] == true, text
+            assert true[counts.fit(20)] <= 20
+
+
+def test_words_of_200_000_characters():
+    ours, library, pick = PrefixTokenizer(PATH), Tokenizer.from_file(PATH), random.Random(4)
+    for signs in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFghijklmnop0123456789+/"):
+        word = "".join(pick.choice(signs) for _ in range(200_000))
+        begin = time.monotonic()
+        fit = PrefixCounts(ours, word).fit(2048)
+        assert time.monotonic() - begin < 60
+        n = [len(library.encode(word[:m], add_special_tokens=False).ids) for m in range(fit, fit + 40)]
+        assert n[0] <= 2048 and min(n[1:]) > 2048
+        assert len(ours.states) < 1_000_000
+
+
 def test_cases(spark):
     df = documents(spark, [(1, "a<|endoftext|>b"), (2, "it's THE naïve"), (3, None), (4, ""), (5, "word " * 3000), (None, "x"), (5, "y"), (5, "y")])
     df = df.withColumn("n_tokens", F.lit("clash"))
