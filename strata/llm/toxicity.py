@@ -2,11 +2,11 @@
 
 The model is fitted on a bounded sample: per class the ``per_class`` labelled
 rows with the smallest hash of their id, of texts up to ``example_bytes``. Terms
-are words; the vocabulary holds the words of the examples whose presence
-depends on the class (chi-squared of at least ``least_chi2``; all words where
-none does), and one more term stands for all other words of a text, so that one
-telling word among hundreds of plain ones counts for little. Document
-frequencies are counted over all documents.
+are the words of the examples, all of them; those whose presence does not depend
+on the class (chi-squared below ``least_chi2``) weigh ``PLAIN`` of their TF-IDF,
+unless no word's does, so that a telling word counts among hundreds of plain
+ones. One more term stands for all words of a text that no example holds.
+Document frequencies are counted over all documents.
 
 The examples lie in an inverted index whose postings are cut into blocks of
 neighbouring examples, each with its largest weight. A query visits blocks in
@@ -40,6 +40,7 @@ from pyspark.sql.types import StructType
 from strata.llm.support import in_slices, words_of
 
 BLOCK = 64
+PLAIN = 0.15
 
 
 @dataclass
@@ -72,17 +73,20 @@ class ToxicityModel:
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Examples and cosines of the k nearest with a cosine above 0."""
-        spans = [np.arange(self.term_begin[t], self.term_begin[t + 1]) for t in terms]
-        entries = np.concatenate(spans) if spans else np.empty(0, int)
-        share = np.repeat(weights, [len(s) for s in spans])
+        begin, n = self.term_begin[terms], self.term_begin[terms + 1] - self.term_begin[terms]
+        entries = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        share = np.repeat(weights, n)
         blocks = -(-len(self.labels) // BLOCK)
+        order = np.argsort(self.entry_block[entries], kind="stable")
+        entries, share = entries[order], share[order]
+        edge = np.searchsorted(self.entry_block[entries], np.arange(blocks + 1))
         bound = np.bincount(self.entry_block[entries], share * self.entry_most[entries], blocks)
         best_id, best = np.empty(0, int), np.empty(0)
         for b in np.argsort(-bound, kind="stable"):
             # a bound equal to the k-th cosine may still win a tie
             if bound[b] <= 0 or (len(best) == self.k and bound[b] < best[-1] - 1e-12):
                 break
-            here = self.entry_block[entries] == b
+            here = slice(edge[b], edge[b + 1])
             at = entries[here]
             n = self.entry_begin[at + 1] - self.entry_begin[at]
             post = np.repeat(self.entry_begin[at] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
@@ -194,11 +198,12 @@ def fit_toxicity(
     n0 = n - n1
     seen = bad + good
     chi2 = n * (bad * (n0 - good) - good * (n1 - bad)) ** 2 / np.maximum(n1 * n0 * seen * (n - seen), 1e-9)
-    keep = chi2 >= least_chi2
-    model.terms = vocabulary[keep] if keep.any() else vocabulary
+    telling = chi2 >= least_chi2
+    model.terms = vocabulary
 
     counts = document_frequencies(texts, model.terms)
-    model.idf = np.append(np.log((1 + counts[-1]) / (1 + counts[:-1])) + 1, 1.0)
+    idf = np.log((1 + counts[-1]) / (1 + counts[:-1])) + 1
+    model.idf = np.append(np.where(telling | ~telling.any(), idf, PLAIN * idf), 1.0)
     model.labels, model.ids = y, [r["id"] for r in found]
     rows, terms, weights = model.vectors([r["text"] for r in found])
     model.index(rows, terms, weights)
@@ -249,7 +254,7 @@ def score_toxicity(df: DataFrame, model: ToxicityModel, id_col: str = "doc_id",
             for i in np.flatnonzero(np.diff(at)):
                 a, b = at[i], at[i + 1]
                 if b - a == 1 and terms[a] == len(model.terms):
-                    # texts without any vocabulary word are all the same point
+                    # texts without any word of the examples are all the same point
                     plain = plain or model.nearest(terms[a:b], np.ones(1))
                     found, near = plain
                 else:

@@ -57,6 +57,19 @@ def test_cases(spark):
     assert score_toxicity(df.limit(0), model).count() == 0
 
 
+def test_a_copy_of_an_example_without_telling_words(spark):
+    bad, good = "you utter idiot and moron in some plain words", "some plain words about the weather and more"
+    rows = [(n, (bad if n % 3 == 0 else good) + f" number{n}") for n in range(120)]
+    rows += [(400 + n, " ".join(f"u{n}x{m}" for m in range(8))) for n in range(40)]
+    rows += [(i, "zorp quux blarg fnord wibble flarn") for i in (500, 501)]
+    df = documents(spark, rows)
+    labels = labelled(spark, [*((n, 1, int(n % 3 == 0)) for n in range(120)), *((400 + n, 1, 0) for n in range(40)), (500, 0, 1)])
+    scored = {r["doc_id"]: r for r in score_toxicity(df, fit_toxicity(df, labels)).collect()}
+    first = scored[501]["tox_evidence"][0]
+    assert first["example"] == 500 and first["toxic"] == 1 and abs(first["cosine"] - 1) < 1e-9
+    assert scored[501]["tox_score"] > scored[400]["tox_score"]
+
+
 def test_labels_of_one_class_or_none(spark):
     df = documents(spark)
     for pairs, score in (([(n, 1, 0) for n in range(9)], 0.0), ([(n, 1, 1) for n in range(9)], 1.0), ([], 0.0), ([(n, 1, n % 2) for n in range(900, 909)], None)):
