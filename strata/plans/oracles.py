@@ -152,6 +152,19 @@ merged AS (
   SELECT -1 - s_suppkey * 3, s_name, s_acctbal, 'inserted' FROM supplier
 )"""
 
+# the third delivery: every tenth line ends after the name, every fifteenth of the others has a value too many
+RESCUED_PARTS = """
+SELECT p_partkey AS part_key, p_name AS name, 'shop' AS source_system, p_size % 3 + 1 AS source_batch_id,
+  CASE WHEN p_size % 3 = 2 AND (p_partkey % 10 = 0 OR p_partkey % 7 = 0) THEN NULL ELSE p_size END AS size,
+  CASE WHEN p_size % 3 = 1 THEN '{"brand":"' || p_brand || '"}'
+    WHEN p_size % 3 = 0 THEN NULL
+    WHEN p_partkey % 10 = 0 THEN '{"_corrupt_record":"' || p_partkey || ',' || p_name || '"}'
+    WHEN p_partkey % 15 = 0 AND p_partkey % 7 = 0 THEN '{"size":"big ' || p_size || '","_corrupt_record":"'
+      || p_partkey || ',' || p_name || ',big ' || p_size || ',more"}'
+    WHEN p_partkey % 15 = 0 THEN '{"_corrupt_record":"' || p_partkey || ',' || p_name || ',' || p_size || ',more"}'
+    WHEN p_partkey % 7 = 0 THEN '{"size":"big ' || p_size || '"}' END AS rescued_data
+FROM part"""
+
 # ---- one statement per query ----------------------------------------------------------
 
 ORACLES: dict[str, str] = {
@@ -356,7 +369,11 @@ SELECT 'has_id' AS rule, 'fail' AS action, count(*) FILTER (event_id IS NULL) AS
   count(*) AS checked_rows FROM events
 UNION ALL SELECT 'no_error', 'drop', count(*) FILTER (event_type = 'error'), count(*) FROM events
 UNION ALL SELECT 'worth_something', 'warn', count(*) FILTER (value < 1), count(*) FROM events""",
-    "idempotent_load": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
+    "idempotent_load": """
+SELECT event_id, ts, user_id, event_type, value, props, CASE WHEN event_type = 'signup' THEN 2 ELSE 1 END AS source_batch_id
+FROM events""",
+    "load_rescue": RESCUED_PARTS,
+    "stream_rescue": RESCUED_PARTS,
     "table_file_stats": "\nUNION ALL ".join(
         f"SELECT '{t}' AS table_name, CAST(1 AS BIGINT) AS n_files, count(*) AS n_rows, true AS has_bytes FROM {t}"
         for t in ALL_TABLES
@@ -383,3 +400,7 @@ SELECT text, count(*) AS n_rows,
   left(CASE WHEN left(name, 1) BETWEEN '0' AND '9' THEN 'u_' || name ELSE name END, 40) AS identifier
 FROM named GROUP BY text, name""",
 }
+
+# the incremental flow ends where the whole one does
+ORACLES["sales_pipeline_incremental"] = ORACLES["sales_pipeline_gold"]
+ORACLES["sales_incremental_wide"] = ORACLES["sales_pipeline_wide"]

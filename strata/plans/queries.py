@@ -29,6 +29,7 @@ from strata.operators.expectations import Rule
 from strata.plans.medallion import Layers, run_medallion
 from strata.plans.oracles import ALL_TABLES
 from strata.plans.sales import SalesLayers, run_sales_pipeline
+from strata.plans.sales_incremental import SalesLogs, run_sales_incremental
 from strata.session import scratch_path
 from strata.sources import feeds, files, loads, tables
 from strata.sources.feeds import table
@@ -41,6 +42,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 SYSTEM = "shop"
+#: Folders of a keyed table; a table keeps the number it was made with.
+BUCKETS = 8
 
 
 def query(function: Query) -> Query:
@@ -388,6 +391,44 @@ def sales_pipeline_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sales_runs(spark, sf_dir).reconcile(feeds.sales_event_feed(table(spark, sf_dir, "lineitem")))
 
 
+def _sales_increments(spark: SparkSession, sf_dir: str) -> SalesLogs:
+    """Three deliveries and two product extracts, a run after each, and a run without news.
+
+    The second delivery is a single day, and the last one comes with a new extract.
+    """
+    root = scratch_path(spark, "increments")
+    made = feeds.sales_event_feed(table(spark, sf_dir, "lineitem"))
+    products = feeds.product_extracts(spark, sf_dir)
+    sales = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("sale_id"), F.col("o_custkey").alias("customer_id")
+    )
+    later, day = F.col(ingest.BATCH) >= 1998, F.col("event_date") == F.lit("1997-07-01").cast("date")
+    logs = None
+    for number, part in enumerate((~later & ~day, ~later & day, later, None)):
+        if part is not None:
+            landed = _as_text(made.filter(part), ingest.BATCH)
+            files.land_csv(landed, f"{root}/feed", mode="append", partition_by=[ingest.BATCH])
+        if number in (0, 2):
+            extract = _as_text(products.filter(F.col(ingest.BATCH) == (1 if number == 0 else 2)), ingest.BATCH)
+            files.land_csv(extract, f"{root}/extracts", mode="append", partition_by=[ingest.BATCH])
+        logs = run_sales_incremental(
+            spark, f"{root}/feed", f"{root}/extracts", sales, dim_customer(spark, sf_dir), f"{root}/layers", SYSTEM, BUCKETS
+        )
+    return logs
+
+
+@query
+def sales_pipeline_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily metrics by batch, kept up to date by what each delivery changes."""
+    return _sales_increments(spark, sf_dir).daily()
+
+
+@query
+def sales_incremental_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide rows of the same flow; a new extract changed the rows of the products that differ."""
+    return _sales_increments(spark, sf_dir).wide_rows()
+
+
 # ---- merge ----------------------------------------------------------------------------
 
 
@@ -407,8 +448,6 @@ def merge_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: Folders of a keyed table; a table keeps the number it was made with.
-BUCKETS = 8
 ACCOUNT_SCHEMA = "account_id BIGINT, name STRING, balance DOUBLE"
 
 
@@ -563,10 +602,57 @@ def idempotent_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         for _ in range(2):
             loads.load_new_files(target, f"{root}/feed", CLICK_SCHEMA, SYSTEM)
     return _typed_clicks(target.rows()).select(
-        "event_id", _plain_time("ts"), "user_id", "event_type", "value", "props"
+        "event_id", _plain_time("ts"), "user_id", "event_type", "value", "props", ingest.BATCH
     )
 
 
+PART_FEED = "part_key BIGINT, name STRING, size INT"
+
+
+def _land_changing_parts(spark: SparkSession, sf_dir: str, folder: str, batch: int) -> None:
+    """Three deliveries: as agreed; in another order with a new column; with cut-off and overlong lines and unreadable sizes."""
+    parts = table(spark, sf_dir, "part").filter(F.col("p_size") % 3 == batch - 1)
+    key, name, size = F.col("p_partkey"), F.col("p_name"), F.col("p_size")
+    columns = {"part_key": key, "name": name, "size": size, "brand": F.col("p_brand")}
+    orders = {1: ("part_key", "name", "size"), 2: ("size", "brand", "part_key", "name")}
+    path = f"{folder}/{ingest.BATCH}={batch}"
+    if batch in orders:
+        files.land_csv(parts.select(*[columns[c].alias(c) for c in orders[batch]]), path)
+        return
+    end = F.when(key % 10 == 0, F.lit(None)).when(key % 7 == 0, F.concat(F.lit("big "), size)).otherwise(size.cast("string"))
+    line = F.concat_ws(",", key, name, end, F.when((key % 15 == 0) & (key % 10 != 0), "more"))
+    # one column under the whole header, with a separator that no text holds: lines stand as they are
+    parts.select(line.alias("part_key,name,size")).write.options(header="true", sep="\x01", quote="").csv(path)
+
+
+def _rescued_parts(df: DataFrame) -> DataFrame:
+    return df.select("part_key", "name", "size", F.col(rescue.RESCUED).alias("rescued_data"), F.col("_source_system").alias("source_system"), ingest.BATCH)
+
+
+@query
+def load_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries with other headers and ragged lines, loaded by column name; each is loaded twice."""
+    root = scratch_path(spark, "load-rescue")
+    target = loads.load_target(spark, f"{root}/bronze", PART_FEED)
+    for batch in (1, 2, 3):
+        _land_changing_parts(spark, sf_dir, f"{root}/feed", batch)
+        for _ in range(2 if batch == 1 else 1):
+            loads.load_new_files(target, f"{root}/feed", PART_FEED, SYSTEM)
+    return _rescued_parts(target.rows())
+
+
+@query
+def stream_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same deliveries as a stream: one run for the first, one for the others, one without news."""
+    root = scratch_path(spark, "stream-rescue")
+    target = loads.load_target(spark, f"{root}/bronze", PART_FEED)
+    for batches in ((1,), (2, 3), ()):
+        for batch in batches:
+            _land_changing_parts(spark, sf_dir, f"{root}/feed", batch)
+        ingest.stream_rescue(spark, f"{root}/feed", PART_FEED, target, f"{root}/checkpoint", SYSTEM)
+    return _rescued_parts(target.rows())
+
+
 @query
 def table_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = tables.table_file_stats({name: table(spark, sf_dir, name) for name in ALL_TABLES})

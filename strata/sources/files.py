@@ -10,6 +10,8 @@ from pyspark.sql.types import StructType
 
 #: The header has to name the schema's columns; quotes inside a text are doubled.
 CSV_OPTIONS = {"header": "true", "enforceSchema": "false", "escape": '"'}
+#: No line is cut or filled up silently: with fewer columns read, Spark would not see that values are missing.
+STRICT_OPTIONS = CSV_OPTIONS | {"mode": "FAILFAST", "columnPruning": "false"}
 #: Column of a line as it stands in the file, where it has too few or too many values.
 CORRUPT = "_corrupt_record"
 
@@ -19,12 +21,13 @@ def read_feed(
 ) -> DataFrame:
     """All CSV files of a folder with an explicit schema; nothing is inferred.
 
-    A file whose header differs from the schema is an error. With ``ragged``,
-    lines with too few or too many values are marked in a column
-    ``_corrupt_record``, which ``typed_parse`` rescues. With ``line_ends``, texts
-    may hold line ends; a file then cannot be split between tasks.
+    A file whose header differs from the schema is an error, and so is a line with
+    too few or too many values. With ``ragged``, such lines are marked in a column
+    ``_corrupt_record``, which ``typed_parse`` rescues; ``read_by_name`` keeps
+    files with other headers too. With ``line_ends``, texts may hold line ends; a
+    file then cannot be split between tasks.
     """
-    reader = spark.read.options(**CSV_OPTIONS | {"header": str(header).lower()})
+    reader = spark.read.options(**(CSV_OPTIONS if ragged else STRICT_OPTIONS) | {"header": str(header).lower()})
     if line_ends:
         reader = reader.option("multiLine", "true")
     if ragged:

@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
-import re
 from itertools import batched
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.sources.files import CSV_OPTIONS, stamp_lineage
+from strata.sources.named import LINEAGE, by_header, headers_of, literal_path, read_by_name
 from strata.sources.versions import SteppedTable
 
-LINEAGE = "_ingested_at TIMESTAMP, _source_file STRING, _source_system STRING"
 LOADED = "file_path STRING"
 
 
 def load_target(spark: SparkSession, root: str, feed_schema: str) -> SteppedTable:
-    """Target of ``load_new_files``; its commits are the ledger of loaded files."""
+    """Target of ``load_new_files`` and ``stream_rescue``; its commits are the ledger of loaded files."""
     return SteppedTable(spark, root, f"{feed_schema}, {LINEAGE}", facts=LOADED)
 
 
@@ -31,25 +29,30 @@ def new_files(target: SteppedTable, folder: str, pattern: str = "*.csv") -> Data
     return files.join(target.commits(), "file_path", "left_anti")
 
 
-def _literal(path: str) -> str:
-    """A path in which no sign stands for other names."""
-    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
-
-
 def load_new_files(
-    target: SteppedTable, folder: str, feed_schema: str, system: str, files_per_step: int = 10_000
+    target: SteppedTable, folder: str, feed_schema: str, system: str, files_per_step: int = 10_000, line_ends: bool = False
 ) -> int:
     """Append the rows of files not loaded before; returns the number of steps taken.
 
-    The folder is listed once. Each step takes at most ``files_per_step`` names,
-    so the names on the driver are bounded; steps go on until no file is left.
+    Each value lands under the column that its file's header names, whatever
+    the order; see ``read_by_name`` for what is kept in ``_rescued_data``. The
+    folder is listed once. Each step takes at most ``files_per_step`` names, so
+    the names on the driver are bounded; steps go on until no file is left.
     """
     steps, spark = 0, target.spark
     pending = (r["file_path"] for r in new_files(target, folder).toLocalIterator())
-    for names in batched(pending, files_per_step):
-        rows = spark.read.options(**CSV_OPTIONS).schema(feed_schema).csv([_literal(n) for n in names])
+
+    def loaded(paths: list[str], rows: DataFrame) -> None:
+        nonlocal steps
         step = target.next_step()
-        target.stage(stamp_lineage(rows, system), step)
-        target.commit(spark.createDataFrame([(n,) for n in names], LOADED), step)
+        target.stage(rows, step)
+        target.commit(spark.createDataFrame([(p,) for p in paths], LOADED), step)
         steps += 1
+
+    for names in batched(pending, files_per_step):
+        files = headers_of(spark.read.text([literal_path(n) for n in names]).select("value", "_metadata"))
+        for groups in by_header(files, files_per_step):
+            loaded([p for _, paths in groups for p in paths], read_by_name(spark, groups, feed_schema, system, line_ends))
+        if empty := sorted(set(names) - {path for path, _ in files}):
+            loaded(empty, target.rows().limit(0))
     return steps

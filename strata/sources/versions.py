@@ -76,6 +76,14 @@ class SteppedTable:
     def has(self, origin: str) -> bool:
         return not self.commits().filter(F.col(ORIGIN) == origin).isEmpty()
 
+    def step_of(self, origin: str) -> int | None:
+        """The step that names this origin."""
+        return self.commits().filter(F.col(ORIGIN) == origin).agg(F.min(STEP)).first()[0]
+
+    def rows_at(self, step: int) -> DataFrame:
+        """Rows of one committed step."""
+        return self._rows_of([step]).drop(STEP)
+
     def stage(self, rows: DataFrame, step: int) -> None:
         """Write the rows of a step; they stay invisible until it is committed."""
         writer = rows.write.mode("overwrite")
@@ -135,22 +143,22 @@ class KeyedLog(SteppedTable):
     def last_order(self) -> int | None:
         return self.commits().agg(F.max("last_order")).first()[0]
 
-    def history(self, of: DataFrame | None = None) -> DataFrame:
-        """Rows of all steps, or those of the keys in ``of``, with their step.
+    def history(self, of: DataFrame | None = None, before: int | None = None) -> DataFrame:
+        """Rows of all steps, or of those before a step, or those of the keys in ``of``, with their step.
 
         The buckets of the wanted keys, at most ``buckets`` numbers, pick the folders.
         """
-        rows = self._rows_of(self.steps())
+        rows = self._rows_of([s for s in self.steps() if before is None or s < before])
         if of is None:
             return rows
         wanted = of.select(*self.keys).distinct()
         near = [r[0] for r in wanted.select(self.bucket_of().alias(BUCKET)).distinct().collect()]
         return rows.filter(F.col(BUCKET).isin(near)).join(wanted, self.keys, "left_semi")
 
-    def current(self, of: DataFrame | None = None) -> DataFrame:
-        """The rows as they are now, of all keys or of those in ``of``."""
+    def current(self, of: DataFrame | None = None, before: int | None = None) -> DataFrame:
+        """The rows as they are now, or as they were before a step, of all keys or of those in ``of``."""
         newest = F.rank().over(Window.partitionBy(*self.keys).orderBy(F.desc(STEP)))
-        rows = self.history(of).withColumn("_rank", newest)
+        rows = self.history(of, before).withColumn("_rank", newest)
         # a null key is no key: its rows are never replaced
         null_key = F.lit(False)
         for k in self.keys:

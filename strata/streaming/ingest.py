@@ -7,17 +7,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.sources.files import CSV_OPTIONS, stamp_lineage
-
-#: Folder column of a delivery: files of batch 7 lie below ``source_batch_id=7``.
-BATCH = "source_batch_id"
+from strata.sources.files import STRICT_OPTIONS, stamp_lineage
+from strata.sources.named import BATCH, by_header, headers_of, read_by_name
+from strata.sources.versions import SteppedTable
 
 
 def arriving_csv(
     spark: SparkSession, folder: str, schema: str, files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Stream over CSV files in delivery folders below ``folder``, with an explicit schema."""
-    reader = spark.readStream.options(**CSV_OPTIONS).schema(f"{schema}, {BATCH} INT")
+    """Stream over CSV files in delivery folders below ``folder``, with an explicit schema.
+
+    A header that differs from the schema and a line with too few or too many
+    values stop the stream with an error; ``stream_rescue`` keeps both.
+    """
+    reader = spark.readStream.options(**STRICT_OPTIONS).schema(f"{schema}, {BATCH} INT")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.csv(folder)
@@ -76,3 +79,38 @@ def stream_ingest(
     stream = arriving_csv(spark, folder, schema, files_per_trigger)
     append_stream(stamp_lineage(stream, system), target, checkpoint, partition_by=BATCH)
     return spark.read.parquet(target)
+
+
+def stream_rescue(
+    spark: SparkSession,
+    folder: str,
+    schema: str,
+    target: SteppedTable,
+    checkpoint: str,
+    system: str,
+    files_per_trigger: int = 10_000,
+    pattern: str = "*.csv",
+    line_ends: bool = False,
+) -> None:
+    """Append what arrives below ``folder`` to ``target``, each value under the column that its file's header names.
+
+    ``target`` comes from ``loads.load_target``. Values without a place and lines
+    with too few or too many values are kept in ``_rescued_data``. The stream
+    itself reads lines, of which only the first of each file is looked at; a
+    batch is one step of the table, so a batch that comes again adds nothing.
+    """
+    lines = spark.readStream.format("text").options(recursiveFileLookup="true", pathGlobFilter=pattern, maxFilesPerTrigger=files_per_trigger)
+
+    def apply(batch: DataFrame, origin: str) -> None:
+        if target.has(origin):
+            return
+        files = headers_of(batch)
+        groups = [g for part in by_header(files) for g in part]
+        step = target.next_step()
+        if groups:
+            target.stage(read_by_name(spark, groups, schema, system, line_ends), step)
+        else:
+            target.stage(target.rows().limit(0), step)
+        target.commit(spark.createDataFrame([(path,) for path, _ in files], "file_path STRING"), step, origin)
+
+    run_batches(lines.load(folder).select("value", "_metadata"), apply, checkpoint)
