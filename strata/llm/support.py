@@ -39,13 +39,16 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 _KNOWN_POWERS: list[np.ndarray] = []
+#: Length of the power tables that are kept.
+KEPT_POWERS = 1 << 21
 
 
 def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse, ``n`` at least: sums of byte x power make rolling hashes."""
-    if not _KNOWN_POWERS or len(_KNOWN_POWERS[0]) < n:
-        size = max(n, 1 << 21)
-        _KNOWN_POWERS[:] = _powers(_BASE, size), _powers(U64(pow(int(_BASE), -1, 1 << 64)), size)
+    if n > KEPT_POWERS:
+        return _powers(_BASE, n), _powers(U64(pow(int(_BASE), -1, 1 << 64)), n)
+    if not _KNOWN_POWERS:
+        _KNOWN_POWERS[:] = _powers(_BASE, KEPT_POWERS), _powers(U64(pow(int(_BASE), -1, 1 << 64)), KEPT_POWERS)
     return _KNOWN_POWERS[0], _KNOWN_POWERS[1]
 
 

@@ -1,8 +1,10 @@
+import resource
 import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
 
+from strata.llm import toxicity
 from strata.llm.queries import op10_toxicity
 from strata.llm.support import words_of
 from strata.llm.toxicity import ToxicityModel, document_frequencies, fit_toxicity, score_toxicity
@@ -98,3 +100,47 @@ def test_result_does_not_depend_on_rows_order(spark):
     one = score_toxicity(df, fit_toxicity(df, labels))
     two = score_toxicity(df.repartition(5), fit_toxicity(df.repartition(5), labels.repartition(3)))
     assert rows_of(one.withColumn("s", F.round("tox_score", 9)), "doc_id", "s") == rows_of(two.withColumn("s", F.round("tox_score", 9)), "doc_id", "s")
+
+
+def test_slices_of_texts_find_what_brute_force_finds_in_few_blocks(monkeypatch):
+    monkeypatch.setattr(toxicity, "CELLS", 1 << 14)
+    pick = np.random.default_rng(4)
+    words = [[f"{lang}{n}" for n in range(300)] for lang in "abcd"]
+    share = 1 / np.arange(1, 301)
+    text = lambda lang, n: " ".join(pick.choice(words[lang], n, p=share / share.sum())) + (" vile" if pick.random() < 0.3 else "")
+    examples = [text(k % 4, pick.integers(1, 120)) for k in range(1500)]
+    model = ToxicityModel(terms=np.unique(words_of(examples)[0]), k=15, labels=pick.integers(0, 2, 1500).astype(float))
+    model.idf = np.append(pick.random(len(model.terms)) + 0.5, 1.0)
+    model.telling = np.isin(np.append(model.terms, 0), words_of(["vile"])[0])
+    rows, terms, weights = model.vectors(examples)
+    model.index(rows, terms, weights)
+    full = np.zeros((1500, len(model.terms) + 1))
+    full[rows, terms] = weights
+    asked = [text(k % 4, pick.integers(1, 200)) for k in range(300)] + ["", None, "unheard of", examples[7]]
+    own = model.vectors(asked)
+    but = np.full(len(asked), -1)
+    but[-1] = 7
+    found, near, visits = model.nearest_to_each(*own, len(asked), but)
+    ask = np.zeros((len(asked), full.shape[1]))
+    ask[own[0], own[1]] = own[2]
+    cosine = ask @ full.T
+    cosine[-1, 7] = 0
+    for i in range(len(asked)):
+        order = np.lexsort((np.arange(1500), -cosine[i].round(12)))[:15]
+        true = np.where(cosine[i][order] > 1e-12, cosine[i][order], 0)
+        assert np.allclose(near[i], true), i
+        assert all(f < 0 or abs(cosine[i, f] - s) < 1e-9 for f, s in zip(found[i], near[i]))
+    blocks = -(-1500 // toxicity.BLOCK)
+    assert visits.mean() < blocks / 3
+    assert model.votes(found, near)[300:303].tolist() == [0, 0, 0]
+
+
+def test_large_examples_stay_off_the_driver(spark):
+    words = F.transform(F.sequence(F.lit(0), F.lit(2300)), lambda k: F.concat(F.lit("w"), F.pmod(F.xxhash64(F.col("id"), k), F.lit(40_000)).cast("string")))
+    df = spark.range(3000).select(F.col("id").alias("doc_id"), F.substring(F.concat_ws(" ", F.when(F.col("id") % 2 == 0, "vile"), F.array_join(F.flatten(F.array(words, words)), " ")), 1, 32768).alias("text"))
+    labels = spark.range(3000).select(F.col("id").alias("doc_id"), (F.col("id") % 2 == 0).cast("int").alias("toxic"))
+    assert df.agg(F.max(F.octet_length("text"))).first()[0] > 30_000
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    model = fit_toxicity(df, labels)
+    assert len(model.ids) == 3000
+    assert (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024 < 500
