@@ -404,3 +404,11 @@ FROM named GROUP BY text, name""",
 # the incremental flow ends where the whole one does
 ORACLES["sales_pipeline_incremental"] = ORACLES["sales_pipeline_gold"]
 ORACLES["sales_incremental_wide"] = ORACLES["sales_pipeline_wide"]
+
+ORACLES["merge_bucketed"] = ORACLES["merge_apply"]
+ORACLES["ordered_gold"] = f"""WITH {GOLD}
+SELECT *, row_number() OVER (ORDER BY order_date, revenue DESC, channel) AS position FROM gold"""
+ORACLES["stream_quarantine"] = """
+SELECT event_id, event_type, value, CASE WHEN event_type = 'click' THEN 1 ELSE 2 END AS source_batch_id,
+  concat_ws(',', CASE WHEN event_type = 'error' THEN 'no_error' END, CASE WHEN coalesce(value < 5, true) THEN 'not_cheap' END) AS broken
+FROM events"""

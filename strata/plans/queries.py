@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 from strata import fixed
 from strata.functions import safe_identifier
 from strata.operators import (
+    bucketed,
     dimensions,
     expectations,
     ledger,
     marts,
     merge,
+    ordering,
     profile,
     reconcile,
     refine,
@@ -201,6 +203,13 @@ def daily_channel_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.daily_channel_rank(marts.daily_revenue(_orders(spark, sf_dir)))
 
 
+@query
+def ordered_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily revenue in the order of a report, the place as a column."""
+    gold = marts.daily_revenue(_orders(spark, sf_dir))
+    return ordering.with_positions(gold, [F.col("order_date").asc_nulls_last(), F.col("revenue").desc_nulls_last(), F.col("channel").asc_nulls_last()])
+
+
 @query
 def consumer_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = _unique("daily_revenue")
@@ -448,6 +457,16 @@ def merge_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def merge_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changes of ``merge_apply``, merged into a target that lies in buckets of its key."""
+    path, name = scratch_path(spark, "bucketed"), _unique("accounts")
+    bucketed.store_bucketed(feeds.account_target(spark, sf_dir), f"{name}__first", f"{path}/first", ["account_id"], BUCKETS)
+    bucketed.show_bucketed(spark, name, f"{name}__first", ["account_id", "name", "balance"])
+    bucketed.merge_bucketed(spark, name, feeds.account_changes(spark, sf_dir), ["account_id"], path, BUCKETS)
+    return spark.table(name)
+
+
 ACCOUNT_SCHEMA = "account_id BIGINT, name STRING, balance DOUBLE"
 
 
@@ -591,6 +610,24 @@ def stream_expectation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sides of a judged stream: the accepted rows, and the rejected ones with what they broke."""
+    root = scratch_path(spark, "judged")
+    schema = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE, props STRING, source_batch_id INT"
+    target = stream_rules.judged_target(spark, f"{root}/silver", schema)
+    rules = [*click_rules(), Rule("not_cheap", "value >= 5.0", "drop")]
+    click = F.col("event_type") == "click"
+    for batch, rows in ((1, click), (2, ~click)):
+        _land_clicks(spark, sf_dir, f"{root}/feed", batch, rows)
+        stream = _typed_clicks(ingest.arriving_csv(spark, f"{root}/feed", CLICK_SCHEMA))
+        stream_rules.stream_judged(stream, rules, target, f"{root}/checkpoint")
+    columns = ["event_id", "event_type", "value", ingest.BATCH]
+    good = stream_rules.accepted(target).select(*columns, F.lit("").alias("broken"))
+    bad = stream_rules.rejected(target).select(*columns, F.array_join(stream_rules.BROKEN, ",").alias("broken"))
+    return good.unionByName(bad)
+
+
 @query
 def idempotent_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two deliveries, each loaded twice."""

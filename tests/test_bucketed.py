@@ -1,0 +1,154 @@
+"""Merges into bucketed tables, judged streams, ordered results."""
+
+import random
+import uuid
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from strata.operators import bucketed, merge
+from strata.operators.expectations import Rule
+from strata.operators.ordering import with_positions
+from strata.session import scratch_path
+from strata.sources.files import land_csv
+from strata.streaming import expectations, ingest
+
+ACCOUNT = "id INT, name STRING, score DOUBLE"
+CHANGE = f"{ACCOUNT}, change_type STRING"
+
+
+@pytest.fixture
+def table(spark):
+    """A view over a bucketed table of these rows."""
+
+    def make(rows):
+        name, path = f"t_{uuid.uuid4().hex[:8]}", scratch_path(spark, "bucketed")
+        bucketed.store_bucketed(spark.createDataFrame(rows, ACCOUNT), f"{name}__first", f"{path}/first", ["id"], 4)
+        bucketed.show_bucketed(spark, name, f"{name}__first", ["id", "name", "score"])
+        return name, path
+
+    return make
+
+
+def _rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_merges_like_the_plain_merge_one_after_the_other(spark, table):
+    pick = random.Random(1)
+    rows = [(n, f"n{n}", float(n)) for n in range(60)] + [(None, "no key", 0.0), (7, "twin", 7.5)]
+    name, path = table(rows)
+    plain = spark.createDataFrame(rows, ACCOUNT)
+    for turn in range(3):
+        keys = pick.sample(range(90), 30)
+        changes = [(k, f"c{turn}", pick.random(), pick.choice(["update", "delete", "insert", "other"])) for k in keys]
+        changes += [(k, "again", 0.5, "insert") for k in keys[:3]] + [(None, "x", 1.0, "insert"), (None, "y", 1.0, "delete")]
+        frame = spark.createDataFrame(changes, CHANGE)
+        tagged = merge.tag_changes(plain, frame, ["id"])
+        fresh = bucketed.merge_bucketed(spark, name, frame, ["id"], path, 4)
+        assert _rows(bucketed.bucketed_metrics(spark.table(fresh))) == _rows(merge.merge_metrics(tagged))
+        plain = spark.createDataFrame(merge.without_deleted(tagged).collect(), ACCOUNT)
+        assert _rows(spark.table(name)) == _rows(plain)
+
+
+def test_two_changes_of_one_row_are_an_error_and_change_nothing(spark, table):
+    name, path = table([(1, "a", 1.0)])
+    twice = spark.createDataFrame([(1, "b", 2.0, "update"), (1, "c", 2.0, "delete")], CHANGE)
+    with pytest.raises(Exception, match="more than one update or delete"):
+        bucketed.merge_bucketed(spark, name, twice, ["id"], path, 4)
+    assert _rows(spark.table(name)) == [(1, "a", 1.0)]
+    # for a key that the target lacks they meet nothing
+    other = spark.createDataFrame([(2, "b", 2.0, "update"), (2, "c", 2.0, "delete")], CHANGE)
+    bucketed.merge_bucketed(spark, name, other, ["id"], path, 4)
+    assert _rows(spark.table(name)) == [(1, "a", 1.0)]
+
+
+def test_no_changes_and_an_empty_target(spark, table):
+    name, path = table([(1, "a", 1.0)])
+    bucketed.merge_bucketed(spark, name, spark.createDataFrame([], CHANGE), ["id"], path, 4)
+    assert _rows(spark.table(name)) == [(1, "a", 1.0)]
+    name, path = table([])
+    bucketed.merge_bucketed(spark, name, spark.createDataFrame([(1, "b", 2.0, "insert"), (2, "b", 2.0, "update")], CHANGE), ["id"], path, 4)
+    assert _rows(spark.table(name)) == [(1, "b", 2.0)]
+
+
+def test_the_target_is_read_once_and_not_shuffled(spark, table):
+    name, path = table([(n, "a", 1.0) for n in range(50)])
+    changes = spark.createDataFrame([(n, "b", 2.0, "update") for n in range(40)], CHANGE).cache()
+    for _ in range(2):  # the stored table, and the result of a merge
+        plan = bucketed.joined_changes(spark.table(name), changes, ["id"], 4)._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        )
+        tree = plan.split("(1) ")[0]
+        assert tree.count("Scan parquet") == 1 and "SelectedBucketsCount: 4 out of 4" in plan
+        # the target is the left side, so what shuffles stands below its scan
+        assert tree.index("Scan parquet") < tree.index("Exchange")
+        assert tree.count("Exchange") == 2  # the changes, summed up by key and then dealt into the buckets
+        bucketed.merge_bucketed(spark, name, changes, ["id"], path, 4)
+    assert {r["name"] for r in spark.table(name).filter("id < 40").collect()} == {"b"}
+
+
+RULES = [Rule("named", "t IS NOT NULL", "drop"), Rule("small", "n < 100", "drop"), Rule("positive", "n > 0", "fail"), Rule("big", "n > 1")]
+
+
+def test_accepted_and_rejected_rows_are_all_that_arrived(spark, monkeypatch):
+    root = scratch_path(spark, "judged")
+    target = expectations.judged_target(spark, f"{root}/t", f"n INT, t STRING, {ingest.BATCH} INT")
+
+    def land(batch, rows):
+        land_csv(spark.createDataFrame(rows, "n INT, t STRING"), f"{root}/feed/{ingest.BATCH}={batch}", mode="append")
+
+    def run():
+        stream = ingest.arriving_csv(spark, f"{root}/feed", "n INT, t STRING")
+        expectations.stream_judged(stream, RULES, target, f"{root}/ck")
+        return sides()
+
+    def sides():
+        good = sorted(r["n"] for r in expectations.accepted(target).collect())
+        return good, sorted((r["n"], r["_broken_rules"]) for r in expectations.rejected(target).collect())
+
+    land(1, [(1, "a"), (2, None), (500, None), (600, "x")])
+    first = ([1], [(2, ["named"]), (500, ["named", "small"]), (600, ["small"])])
+    assert run() == first == run()
+    land(2, [(3, "c"), (4, None)])
+    with monkeypatch.context() as patch:  # it dies between the rows and the commit
+        patch.setattr(target, "commit", lambda *a: 1 / 0)
+        with pytest.raises(StreamingQueryException):
+            run()
+    assert sides() == first
+    assert run() == ([1, 3], [(2, ["named"]), (4, ["named"]), (500, ["named", "small"]), (600, ["small"])])
+    counts = {r["rule"]: r["n"] for r in target.commits().groupBy("rule").agg(F.sum("failed_rows").alias("n")).collect()}
+    assert counts == {"named": 3, "small": 2, "positive": 0, "big": 1}
+    land(3, [(-1, "z")])
+    with pytest.raises(StreamingQueryException, match="positive"):
+        run()
+    assert sides()[0] == [1, 3]
+
+
+def test_sides_are_folders_of_their_own(spark):
+    root = scratch_path(spark, "folders")
+    target = expectations.judged_target(spark, f"{root}/t", "n INT")
+    rows = spark.createDataFrame([(1, [], True), (2, ["r"], False)], "n INT, _broken_rules ARRAY<STRING>, _accepted BOOLEAN")
+    target.stage(rows, 0)
+    target.commit(spark.createDataFrame([("r", "drop", 1, 2)], expectations.COUNTS), 0)
+    plan = expectations.accepted(target)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "_accepted" in plan.split("PartitionFilters")[1]
+    assert [r["n"] for r in expectations.accepted(target).collect()] == [1]
+
+
+@pytest.mark.parametrize("parts", [1, 3, 50])
+def test_positions(spark, parts):
+    pick = random.Random(parts)
+    rows = [(pick.choice([None, *range(30)]), pick.randint(0, 3)) for _ in range(700)]
+    df = spark.createDataFrame(rows, "a INT, b INT").repartition(7)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        found = with_positions(df, [F.col("a").asc_nulls_last(), F.col("b").desc()]).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    found.sort(key=lambda r: r["position"])
+    assert [r["position"] for r in found] == list(range(1, 701))
+    assert [tuple(r)[:2] for r in found] == sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, -r[1]))
+    assert with_positions(df.limit(0), [F.col("a")]).count() == 0
