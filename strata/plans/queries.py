@@ -36,7 +36,7 @@ from strata.session import scratch_path
 from strata.sources import feeds, files, loads, tables
 from strata.sources.feeds import table
 from strata.sources.versions import KeyedLog, SteppedTable
-from strata.streaming import changes, dedup, ingest
+from strata.streaming import changes, ingest, seen
 from strata.streaming import expectations as stream_rules
 from strata.streaming import ledger as stream_ledgers
 
@@ -564,12 +564,12 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest events first, then, long behind them, all events again under other file names."""
     root = scratch_path(spark, "dedup")
     schema = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
-    target = SteppedTable(spark, f"{root}/silver", schema)
+    target = seen.SeenEvents(spark, f"{root}/silver", schema, ["event_id"], BUCKETS)
     for batch, rows in ((1, F.col("event_type") == "purchase"), (2, F.lit(True))):
         _land_clicks(spark, sf_dir, f"{root}/feed", batch, rows)
         stream = _typed_clicks(ingest.arriving_csv(spark, f"{root}/feed", CLICK_SCHEMA)).drop(ingest.BATCH)
-        dedup.dedup_into(stream, ["event_id"], target, f"{root}/checkpoint")
-    return target.rows().withColumn("ts", _plain_time("ts"))
+        seen.dedup_seen(stream, target, f"{root}/checkpoint")
+    return target.events().withColumn("ts", _plain_time("ts"))
 
 
 def click_rules() -> list[Rule]:

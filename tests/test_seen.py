@@ -1,0 +1,95 @@
+"""Deduplication against all events seen: exact, and few folders are read."""
+
+import random
+
+import pytest
+from pyspark.errors import StreamingQueryException
+
+from strata.session import scratch_path
+from strata.sources.files import land_csv
+from strata.streaming import ingest
+from strata.streaming.seen import SeenEvents, dedup_seen
+
+EVENT = "id INT, part STRING, v INT"
+
+
+@pytest.fixture
+def flow(spark):
+    class Flow:
+        def __init__(self, keys=("id",), buckets=8, bits=1 << 12):
+            self.root = scratch_path(spark, "seen")
+            self.open = lambda: SeenEvents(spark, f"{self.root}/t", EVENT, keys, buckets, bits)
+            self.target = self.open()
+
+        def land(self, rows, batch=1):
+            land_csv(spark.createDataFrame(rows, EVENT), f"{self.root}/feed/{ingest.BATCH}={batch}", mode="append")
+
+        def run(self):
+            stream = ingest.arriving_csv(spark, f"{self.root}/feed", EVENT).drop(ingest.BATCH)
+            dedup_seen(stream, self.target, f"{self.root}/ck")
+            return sorted(map(tuple, self.target.events().collect()), key=repr)
+
+    return Flow
+
+
+def test_each_event_once_however_late(flow):
+    pick, f = random.Random(2), flow(bits=64)  # filters so small that they say yes very often
+    first = {}
+    for _ in range(4):
+        rows = [(pick.randint(0, 60), "p", pick.randint(0, 9)) for _ in range(40)]
+        for i in {r[0] for r in rows}:
+            first.setdefault(i, min(r for r in rows if r[0] == i))
+        f.land(rows)
+        assert f.run() == sorted(first.values(), key=repr)
+    assert f.run() == sorted(first.values(), key=repr)
+
+
+def test_rows_without_a_key_are_known_by_all_columns(flow):
+    f = flow(keys=("id", "part"))
+    f.land([(None, "p", 1), (None, "p", 1), (None, "p", 2), (1, None, 1), (1, "p", 1)])
+    once = [(1, "p", 1), (1, None, 1), (None, "p", 1), (None, "p", 2)]
+    assert f.run() == sorted(once, key=repr)
+    f.land([(None, "p", 2), (1, None, 1), (1, "p", 7), (None, None, 3)])
+    assert f.run() == sorted([*once, (None, None, 3)], key=repr)
+
+
+def test_null_keys_are_spread_over_buckets(spark, flow):
+    f = flow()
+    rows = spark.createDataFrame([(None, "p", n) for n in range(400)], EVENT)
+    counts = [r["count"] for r in f.target.keyed(rows).groupBy("_bucket").count().collect()]
+    assert len(counts) == 8 and max(counts) < 100
+
+
+def test_a_batch_reads_only_folders_that_may_hold_its_keys(spark, flow):
+    f = flow(buckets=16, bits=1 << 14)
+    for step in range(5):
+        f.land([(1000 * step + n, "p", n) for n in range(300)])
+        f.run()
+    assert len(f.target.steps()) == 5
+    keyed = lambda *ids: f.target.keyed(spark.createDataFrame([(i, "x", 0) for i in ids], EVENT))
+    # of 80 folders, those of two old events, and of a new one hardly any
+    folders = f.target.folders_of(keyed(3, 2007))
+    assert {s for s, _ in folders} >= {0, 2} and len(folders) <= 4
+    assert len(f.target.held(keyed(3, 2007)).inputFiles()) == len(folders)
+    assert len(f.target.folders_of(keyed(*range(100_000, 100_020)))) <= 6
+    every = f.target.keyed(spark.createDataFrame([(1000 * s + n, "p", 0) for s in range(5) for n in range(300)], EVENT))
+    assert len(f.target.folders_of(every)) == 80
+
+
+def test_a_batch_that_died_before_its_commit_comes_again(flow, monkeypatch):
+    f = flow()
+    f.land([(1, "p", 1), (2, "p", 1)])
+    with monkeypatch.context() as patch:
+        patch.setattr(f.target, "commit", lambda *a: 1 / 0)
+        with pytest.raises(StreamingQueryException):
+            f.run()
+    assert f.run() == [(1, "p", 1), (2, "p", 1)]
+
+
+def test_layout_cannot_change(spark, flow):
+    f = flow()
+    f.land([(1, "p", 1)])
+    f.run()
+    f.open()
+    with pytest.raises(ValueError, match="8 buckets and filters of 4096 bits"):
+        SeenEvents(spark, f"{f.root}/t", EVENT, ["id"], 8, 64)
