@@ -9,10 +9,14 @@ similarity = L / (n + m - L) is ``threshold`` or more, where n and m are their
 numbers of shingles and L is the length of the longest common subsequence,
 found by an alignment within the band of diagonals that the threshold allows.
 
-Equal texts are one node from the start. In a bucket of candidates the ``HUBS``
-members that share most buckets with others (an original has more than its
-copies) are compared with all members, so a bucket of up to HUBS + 1 members is
-compared in full. The members of larger buckets that are then still in different
+Equal texts are one node from the start. Of a bucket of more than ``SMALL``
+candidates the member that shares most buckets with others, counted over the
+whole table (an original has more than its copies), is compared with all
+members; a group of copies has mostly one such hub in all its buckets, so it
+costs about one comparison a copy. Members of one class need no further one. Then
+buckets of up to ``SMALL`` members are compared in full, as far as their members
+are in different classes, and in larger ones the first member outside the hub's
+class is a second hub. The members of larger buckets that are then still in different
 classes, such as many copies that differ too much from each other, meet by a
 prefix filter: each orders its shingles from the rarest among these members to
 the most common, and two documents that reach the threshold must share one of
@@ -38,12 +42,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.components import components
-from strata.llm.support import in_slices, mix, shingles_of, words_of, written
+from strata.llm.support import give_back, in_slices, mix, shingles_of, words_of, written
 
 SHINGLE = 5
 SKETCHES = 40
 ROWS = 2
-HUBS = 4
+#: Members of a bucket that is compared in full.
+SMALL = 5
 _U = np.uint64
 _LAST = _U(0xFFFFFFFFFFFFFFFF)
 
@@ -157,6 +162,7 @@ def _checked(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
                 possible = common >= 2 * threshold / (1 + threshold) * (len(row_a) + len(row_b)) - 1e-6
                 linked.append(possible and similarity(row_a, row_b, threshold) >= threshold - 1e-12)
             yield frame[["a", "b"]].assign(linked=linked)
+        give_back()
 
     full = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(
         texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a"
@@ -207,6 +213,17 @@ def _buckets(members: DataFrame) -> DataFrame:
     return written(members.join(weight, "node"), "omh-buckets")
 
 
+def _first_members(members: DataFrame, *keep: str) -> DataFrame:
+    """Of each bucket the member of largest weight. The limit on the row number cuts every bucket to it before the shuffle."""
+    order = Window.partitionBy("band", "key").orderBy(F.desc("weight"), "node")
+    return members.withColumn("n", F.row_number().over(order)).where(F.col("n") == 1).select("band", "key", "node", *keep)
+
+
+def _pairs(met: DataFrame) -> DataFrame:
+    """(a, b) with a < b, each once, of rows (x, y)."""
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def near_duplicates(
     df: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -224,6 +241,7 @@ def near_duplicates(
                     for i, k in zip(np.flatnonzero(np.diff(begin)) + a, band_keys(shingles, begin)):
                         keys[i] = k
             yield frame[["id", "same"]].assign(bands=keys)
+        give_back()
 
     sketched = written(hashed.mapInPandas(sketch, f"id {kind}, same binary, bands array<long>"), "omh-sketches")
     first = F.struct(F.col("id").isNull().alias("none"), "id", "bands")
@@ -243,22 +261,38 @@ def near_duplicates(
         nodes.select(F.col("same").alias("low"), F.col("node").alias("b")), "low"
     )
     edges = written(repeated.select("a", "b"), "omh-edges")
-    order = Window.partitionBy("band", "key").orderBy(F.desc("weight"), "node")
-    # the limit on the row number cuts every bucket to its hubs before the shuffle
-    best = members.withColumn("n", F.row_number().over(order)).where(F.col("n") <= HUBS)
-    best = written(best.select("band", "key", F.col("node").alias("hub")), "omh-hubs")
-    met = members.join(best, ["band", "key"]).where("node <> hub")
-    pairs = met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    seen = written(_checked(pairs, texts, threshold), "omh-checked")
-    edges = edges.union(seen.where("linked").select("a", "b"))
-    roots = components(edges).withColumnRenamed("id", "node")
-
-    large = members.where(F.col("size") > HUBS + 1).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = large.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    apart = written(large.join(mixed, ["band", "key"]).select("node", "root").distinct(), "omh-apart")
-    pairs = written(_could_link(apart, texts, threshold).join(seen, ["a", "b"], "left_anti"), "omh-pairs")
-    edges = edges.union(written(_checked(pairs, texts, threshold), "omh-checked").where("linked").select("a", "b"))
-    roots = components(edges).withColumnRenamed("id", "node")
+    seen, roots = None, None
+
+    def compared(pairs: DataFrame) -> None:
+        nonlocal edges, seen, roots
+        found = written(_checked(pairs, texts, threshold), "omh-checked")
+        seen = found.select("a", "b") if seen is None else seen.union(found.select("a", "b"))
+        edges = edges.union(found.where("linked").select("a", "b"))
+        roots = components(edges).withColumnRenamed("id", "node")
+
+    large, small = (members.where(F.col("size") > SMALL), members.where(F.col("size") <= SMALL))
+    hubs = written(_first_members(large).withColumnRenamed("node", "hub"), "omh-hubs")
+    compared(_pairs(large.select("band", "key", "node").join(hubs, ["band", "key"]).where("node <> hub").select(F.col("node").alias("x"), F.col("hub").alias("y"))))
+
+    def rooted_members(some: DataFrame) -> DataFrame:
+        return some.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    def still_mixed(some: DataFrame) -> DataFrame:
+        mixed = some.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+        return some.join(mixed.select("band", "key"), ["band", "key"])
+
+    near = written(still_mixed(rooted_members(small)).select("band", "key", "node", "root"), "omh-small")
+    others = near.select("band", "key", F.col("node").alias("other"), F.col("root").alias("other_root"))
+    few = near.join(others, ["band", "key"]).where("node < other and root <> other_root").select(F.col("node").alias("x"), F.col("other").alias("y"))
+    mixed = written(still_mixed(rooted_members(large)).select("band", "key", "node", "root", "weight"), "omh-mixed")
+    hub_roots = rooted_members(hubs.withColumnRenamed("hub", "node")).select("band", "key", F.col("root").alias("hub_root"))
+    second = _first_members(mixed.join(hub_roots, ["band", "key"]).where("root <> hub_root"), "root")
+    second = second.select("band", "key", F.col("node").alias("hub"), F.col("root").alias("hub_root"))
+    more = mixed.join(second, ["band", "key"]).where("root <> hub_root").select(F.col("node").alias("x"), F.col("hub").alias("y"))
+    compared(_pairs(few.union(more)).join(seen, ["a", "b"], "left_anti"))
+
+    apart = written(still_mixed(rooted_members(large)).select("node", "root").distinct(), "omh-apart")
+    compared(written(_could_link(apart, texts, threshold).join(seen, ["a", "b"], "left_anti"), "omh-pairs"))
     rooted = nodes.select("same", "n_copies", "id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     classes = rooted.groupBy("root").agg(F.min("id").alias("class_id"))
     named = rooted.join(classes, "root").select("same", "n_copies", "class_id")
