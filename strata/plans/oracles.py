@@ -412,3 +412,7 @@ ORACLES["stream_quarantine"] = """
 SELECT event_id, event_type, value, CASE WHEN event_type = 'click' THEN 1 ELSE 2 END AS source_batch_id,
   concat_ws(',', CASE WHEN event_type = 'error' THEN 'no_error' END, CASE WHEN coalesce(value < 5, true) THEN 'not_cheap' END) AS broken
 FROM events"""
+ORACLES["manifest_files"] = """
+SELECT (page_id % 10) || '/' || page_id || '.html' AS path,
+  CASE WHEN page_id % 7 = 0 THEN 'missing' WHEN page_id % 11 = 0 THEN 'stale' WHEN page_id % 13 = 0 THEN 'changed' ELSE 'ok' END AS state
+FROM pages WHERE NOT (page_id % 7 = 0 AND page_id % 11 = 0)"""

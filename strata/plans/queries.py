@@ -33,7 +33,7 @@ from strata.plans.oracles import ALL_TABLES
 from strata.plans.sales import SalesLayers, run_sales_pipeline
 from strata.plans.sales_incremental import SalesLogs, run_sales_incremental
 from strata.session import scratch_path
-from strata.sources import feeds, files, loads, tables
+from strata.sources import feeds, files, folder, loads, tables
 from strata.sources.feeds import table
 from strata.sources.versions import KeyedLog, SteppedTable
 from strata.streaming import changes, ingest, seen
@@ -701,6 +701,14 @@ def manifest_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.reconcile_manifest(*feeds.page_manifest(spark, sf_dir))
 
 
+@query
+def manifest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delivered files, hashed where they lie, against their manifest; empty files count."""
+    path = scratch_path(spark, "delivered")
+    listed = feeds.land_pages(spark, sf_dir, path)
+    return reconcile.reconcile_manifest(folder.folder_hashes(spark, path), listed)
+
+
 @query
 def path_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = table(spark, sf_dir, "pages").select(
