@@ -113,8 +113,8 @@ def csv_hostile_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").filter(F.col("text") != "")
     docs = docs.select("doc_id", F.concat("text", F.element_at(F.array(*ends), (F.pmod("doc_id", F.lit(6)) + 1).cast("int"))).alias("text"))
     folder = scratch_path(spark, "texts")
-    files.land_csv(docs, folder, rows_per_file=100_000)
-    return files.read_feed(spark, folder, docs.schema, line_ends=True)
+    files.land_csv(docs, folder, rows_per_file=100_000, marked_ends=True)
+    return files.read_feed(spark, folder, docs.schema, marked_ends=True)
 
 
 @query

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -16,8 +17,38 @@ STRICT_OPTIONS = CSV_OPTIONS | {"mode": "FAILFAST", "columnPruning": "false"}
 CORRUPT = "_corrupt_record"
 
 
+#: Signs that would end a line, and the escape itself, in an order in which they can be put in and taken out one by one:
+#: the sign after an escape is never one, so no two marks overlap.
+LINE_MARKS = (("\\", "\\0"), ("\n", "\\1"), ("\r", "\\2"))
+
+
+def _in_texts(df: DataFrame, marks: Sequence[tuple[str, str]]) -> DataFrame:
+    texts = [c for c, kind in df.dtypes if kind == "string"]
+
+    def changed(column: Column) -> Column:
+        return reduce(lambda c, mark: F.replace(c, F.lit(mark[0]), F.lit(mark[1])), marks, column)
+
+    return df.withColumns({c: changed(F.col(c)) for c in texts}) if texts else df
+
+
+def one_line(df: DataFrame) -> DataFrame:
+    """Texts without line ends, from which ``many_lines`` gives the texts back."""
+    return _in_texts(df, LINE_MARKS)
+
+
+def many_lines(df: DataFrame) -> DataFrame:
+    """The texts that ``one_line`` was given."""
+    return _in_texts(df, [(mark, sign) for sign, mark in reversed(LINE_MARKS)])
+
+
 def read_feed(
-    spark: SparkSession, folder: str, schema: str | StructType, ragged: bool = False, line_ends: bool = False, header: bool = True
+    spark: SparkSession,
+    folder: str,
+    schema: str | StructType,
+    ragged: bool = False,
+    line_ends: bool = False,
+    header: bool = True,
+    marked_ends: bool = False,
 ) -> DataFrame:
     """All CSV files of a folder with an explicit schema; nothing is inferred.
 
@@ -25,7 +56,8 @@ def read_feed(
     too few or too many values. With ``ragged``, such lines are marked in a column
     ``_corrupt_record``, which ``typed_parse`` rescues; ``read_by_name`` keeps
     files with other headers too. With ``line_ends``, texts may hold line ends; a
-    file then cannot be split between tasks.
+    file then cannot be split between tasks. ``marked_ends`` reads what ``land_csv``
+    wrote with it: every row is one line, so files are split.
     """
     reader = spark.read.options(**(CSV_OPTIONS if ragged else STRICT_OPTIONS) | {"header": str(header).lower()})
     if line_ends:
@@ -35,7 +67,8 @@ def read_feed(
         schema = fields.add(CORRUPT, "string")
         # with fewer columns read, Spark would not see that values are missing
         reader = reader.options(columnNameOfCorruptRecord=CORRUPT, columnPruning="false")
-    return reader.schema(schema).csv(folder)
+    rows = reader.schema(schema).csv(folder)
+    return many_lines(rows) if marked_ends else rows
 
 
 def land_csv(
@@ -44,14 +77,17 @@ def land_csv(
     mode: str = "overwrite",
     rows_per_file: int | None = None,
     partition_by: Sequence[str] = (),
+    marked_ends: bool = False,
 ) -> None:
     """Write headed CSV. Files are split by row count, never gathered into one task.
 
     Outer spaces, quotes and backslashes come back from ``read_feed`` as they
     were, and line ends with its ``line_ends``; an empty text comes back as
-    null, as it does with any CSV file Spark reads.
+    null, as it does with any CSV file Spark reads. With ``marked_ends``, line ends
+    are written as marks that ``read_feed`` takes out again, so that files can be
+    split by line.
     """
-    writer = df.write.mode(mode).options(
+    writer = (one_line(df) if marked_ends else df).write.mode(mode).options(
         header="true", escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
     )
     if rows_per_file:

@@ -42,11 +42,20 @@ def publish(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(fresh)
-    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW":
-        # a table that was not made here; a view cannot take its place
-        spark.sql(f"DROP TABLE {_name(table)}")
     described = "" if comment is None else f" COMMENT {_quoted(comment)}"
-    spark.sql(f"CREATE OR REPLACE VIEW {_name(table)}{described} AS SELECT * FROM {_name(fresh)}")
+    shown = f"CREATE OR REPLACE VIEW {_name(table)}{described} AS SELECT * FROM {_name(fresh)}"
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW":
+        # a table that was not made here: it steps aside, and goes only when the view stands
+        aside = f"{table}__before_{uuid.uuid4().hex}"
+        spark.sql(f"ALTER TABLE {_name(table)} RENAME TO {_name(aside)}")
+        try:
+            spark.sql(shown)
+        except Exception:
+            spark.sql(f"ALTER TABLE {_name(aside)} RENAME TO {_name(table)}")
+            raise
+        spark.sql(f"DROP TABLE {_name(aside)}")
+    else:
+        spark.sql(shown)
     *within, last = table.split(".")
     place = f" IN {_name('.'.join(within))}" if within else ""
     for row in spark.sql(f"SHOW TABLES{place} LIKE '{last.lower()}__*'").collect():

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from strata.operators.rescue import RESCUED, typed_parse
 from strata.session import scratch_path
 from strata.sources import loads
-from strata.sources.files import read_feed
+from strata.sources.files import land_csv, many_lines, one_line, read_feed
 from strata.sources.named import BATCH, HEADERS, by_header, header_names, headers_of, literal_path
 from strata.sources.versions import STEP
 from strata.streaming import ingest
@@ -160,3 +160,22 @@ def test_typed_parse_keeps_what_was_rescued_before(spark):
     df = spark.createDataFrame([("1", '{"c":"x"}'), ("no", '{"c":"x"}'), ("no", None), ("2", None)], f"b STRING, {RESCUED} STRING")
     rows = [(r["b"], r[RESCUED] and json.loads(r[RESCUED])) for r in typed_parse(df, {"b": "int"}).collect()]
     assert rows == [(1, {"c": "x"}), (None, {"b": "no", "c": "x"}), (None, {"b": "no"}), (2, None)]
+
+
+def test_marked_line_ends_come_back_and_files_are_split(spark):
+    texts = ["a\nb", "\\", "\\n\n", "\\\r\\1\\0", "\r\n", "plain", "\\2\r2", None, ' "q",\n']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n INT, t STRING")
+    flat = one_line(df)
+    assert not any(set(r["t"] or "") & {"\n", "\r"} for r in flat.collect())
+    assert many_lines(flat).collect() == df.collect()
+    large = spark.range(20_000).selectExpr("cast(id AS INT) AS n", "concat('line ', id, decode(X'0A', 'UTF-8'), 'next ', id) AS t")
+    folder = scratch_path(spark, "marked")
+    land_csv(large.coalesce(1), folder, marked_ends=True)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        back = read_feed(spark, folder, "n INT, t STRING", marked_ends=True)
+        assert len(back.inputFiles()) == 1 and back.rdd.getNumPartitions() > 4
+        assert back.exceptAll(large).isEmpty() and large.exceptAll(back).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

@@ -59,6 +59,25 @@ def test_the_name_never_vanishes(spark, monkeypatch):
     assert spark.sql("SHOW TABLES LIKE 'swapped__*'").count() == 1
 
 
+def test_a_table_made_elsewhere_stays_until_the_view_stands(spark, monkeypatch):
+    spark.range(4).toDF("n").write.option("path", scratch_path(spark, "foreign")).saveAsTable("foreign_made")
+    run = type(spark).sql
+
+    def crash(self, text, *args, **how):
+        if text.startswith("CREATE OR REPLACE VIEW"):
+            raise RuntimeError("no view")
+        return run(self, text, *args, **how)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(spark), "sql", crash)
+        with pytest.raises(RuntimeError, match="no view"):
+            tables.publish(spark.range(9).toDF("n"), "foreign_made", path=scratch_path(spark, "mine"))
+    assert _values(spark.table("foreign_made")) == [0, 1, 2, 3]
+    tables.publish(spark.range(2).toDF("n"), "foreign_made", path=scratch_path(spark, "mine"))
+    assert _values(tables.scan(spark, "foreign_made")) == [0, 1]
+    assert spark.sql("SHOW TABLES LIKE 'foreign_made__before*'").count() == 0
+
+
 def test_partitioned_publish_reads_one_partition(spark):
     df = spark.range(10).select((F.col("id") % 2).cast("int").alias("b"), F.col("id").alias("n"))
     tables.publish(df, "parted", partition_by=["b"])
