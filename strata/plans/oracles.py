@@ -416,3 +416,4 @@ ORACLES["manifest_files"] = """
 SELECT (page_id % 10) || '/' || page_id || '.html' AS path,
   CASE WHEN page_id % 7 = 0 THEN 'missing' WHEN page_id % 11 = 0 THEN 'stale' WHEN page_id % 13 = 0 THEN 'changed' ELSE 'ok' END AS state
 FROM pages WHERE NOT (page_id % 7 = 0 AND page_id % 11 = 0)"""
+ORACLES["merge_stream_parts"] = ORACLES["merge_stream"]

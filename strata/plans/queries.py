@@ -36,7 +36,7 @@ from strata.session import scratch_path
 from strata.sources import feeds, files, folder, loads, tables
 from strata.sources.feeds import table
 from strata.sources.versions import KeyedLog, SteppedTable
-from strata.streaming import changes, ingest, seen
+from strata.streaming import admission, changes, ingest, seen
 from strata.streaming import expectations as stream_rules
 from strata.streaming import ledger as stream_ledgers
 
@@ -498,6 +498,25 @@ def merge_stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.change_counts(_merge_deliveries(spark, sf_dir))
 
 
+@query
+def merge_stream_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same deliveries in halves that overtake each other, one file a trigger; each is merged when it is whole."""
+    root = scratch_path(spark, "parts")
+    target = KeyedLog(spark, f"{root}/log", ACCOUNT_SCHEMA, ["account_id"], BUCKETS, changes.NOTES)
+    changes.start_table(target, feeds.account_target(spark, sf_dir))
+    deliveries = feeds.account_deliveries(spark, sf_dir)
+    announced = deliveries.groupBy(F.col(ingest.BATCH).alias("delivery")).agg(F.count("*").alias("n_rows"))
+    waiting = admission.waiting_table(spark, f"{root}/waiting", f"{ACCOUNT_SCHEMA}, change_type STRING")
+    half = F.pmod(F.col("account_id"), F.lit(2))
+    for halves in (((2, 0), (1, 1), (4, 0)), ((3, 1), (1, 0), (4, 1)), ((3, 0), (2, 1))):
+        for delivery, side in halves:
+            part = deliveries.filter((F.col(ingest.BATCH) == delivery) & (half == side))
+            files.land_csv(part.coalesce(1), f"{root}/feed", mode="append", partition_by=[ingest.BATCH])
+        stream = ingest.arriving_csv(spark, f"{root}/feed", f"{ACCOUNT_SCHEMA}, change_type STRING", files_per_trigger=1)
+        admission.stream_parts(stream, announced, waiting, target, f"{root}/checkpoint", ["account_id"])
+    return target.current()
+
+
 @query
 def stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Yearly event files in two deliveries; the later one corrects sales of the first."""

@@ -21,6 +21,15 @@ def start_table(target: KeyedLog, rows: DataFrame) -> None:
         target.append(rows.withColumn(ACTION, F.lit(None).cast("string")), 0, "start")
 
 
+def merge_delivery(target: KeyedLog, part: DataFrame, origin: str, delivery: int, keys: Sequence[str], op_col: str) -> None:
+    """Append the rows that one change set changes, as a step that names it; a set that was merged changes nothing."""
+    if target.has(origin):
+        return
+    tagged = tag_changes(target.current(part), part, keys, op_col)
+    changed = tagged.filter(F.col(ACTION) != KEPT).withColumn(GONE, F.col(ACTION) == DELETED)
+    target.append(changed, target.next_step(), origin, delivery)
+
+
 def stream_changes(
     changes: DataFrame,
     target: KeyedLog,
@@ -36,8 +45,8 @@ def stream_changes(
     order of ``order_col``, each as a step of the table. A set that does not
     come after the last applied one is an error, whichever stream brings it:
     its place in the order is taken. So a set has to arrive whole, which rules
-    out a limit of files per trigger. What a step names as its origin is not
-    applied again.
+    out a limit of files per trigger; ``admission.stream_parts`` has no such rule.
+    What a step names as its origin is not applied again.
     """
 
     def apply(batch: DataFrame, origin: str) -> None:
@@ -51,9 +60,7 @@ def stream_changes(
             if delivery is None or (last is not None and delivery <= last):
                 raise ValueError(f"change set {delivery} comes after change set {last} was applied")
             part = batch.filter(F.col(order_col) == delivery).drop(order_col)
-            tagged = tag_changes(target.current(part), part, keys, op_col)
-            changed = tagged.filter(F.col(ACTION) != KEPT).withColumn(GONE, F.col(ACTION) == DELETED)
-            target.append(changed, target.next_step(), name, delivery)
+            merge_delivery(target, part, name, delivery, keys, op_col)
 
     run_batches(changes, apply, checkpoint)
 
