@@ -47,8 +47,12 @@ from strata.llm.support import in_slices, written
 BLOCK_LINKS = 1 << 21
 BLOCK_DOCS = 1 << 16
 SPACE = "▁"
-KEPT = 100_000
+KEPT = 200_000
 LONG = 256
+#: Stands for the comma between two tokens of B, so that both sides can be counted.
+NEXT_B = b"+"
+#: Stretches that the libraries get as one text.
+CHUNK = 256
 # a space that ends a word's stretch; white space before it holds on to it
 _STRETCH = re.compile(r" *[^ ]+(?:(?<=[\t\n\r]) +[^ ]+)*| +")
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
@@ -99,7 +103,7 @@ class Aligner:
         self.a, self.b = ByteBpe(path_a), PieceBpe(path_b)
         self.a.tokenizer.encode_special_tokens = True
         self.size_a, self.size_b = (np.array([len(x) for x in t.bytes]) for t in (self.a, self.b))
-        self.say_a, self.say_b = _labels(len(self.size_a), (b",", b"|")), _labels(len(self.size_b), (b",", b";"))
+        self.say_a, self.say_b = _labels(len(self.size_a), (b",", b"|")), _labels(len(self.size_b), (NEXT_B, b";"))
         # stretches seen lately, and those of the time before
         self.known: dict[str, tuple | None] = {}
         self.older: dict[str, tuple | None] = {}
@@ -107,34 +111,45 @@ class Aligner:
     def _stretches(self, text: str) -> list[str]:
         return [" " + text] if not self.b.apart or _ODD_SPACE.search(text) else _STRETCH.findall(" " + text)
 
-    def _aligned(self, parts: list[str]) -> list[tuple[bytes, bytes, bytes] | None]:
-        """Of each stretch, which begins with a space: counts, groups and pair codes; none if a side's bytes differ."""
-        some = []
-        side_a = self.a.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        side_b = self.b.model.encode([p[1:] for p in parts], num_threads=1)
+    def _aligned(self, parts: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """Of each stretch, which begins with a space: groups and pair codes; none if a side's bytes differ."""
+        # after white space a stretch would not be cut off from the next one
+        alone = [k for k, p in enumerate(parts) if p[-1].isspace() or _ODD_SPACE.search(p[-1])]
+        others = sorted(set(range(len(parts))).difference(alone))
+        chunks = [[k] for k in alone] + [others[k : k + CHUNK] for k in range(0, len(others), CHUNK)]
         out: list[tuple | None] = [None] * len(parts)
-        for i, (part, a, b) in enumerate(zip(parts, side_a, side_b)):
-            a, want = a.ids, part.encode()
-            if b"".join(map(self.a.bytes.__getitem__, a)) == want == b"".join(map(self.b.bytes.__getitem__, b)):
-                some.append((i, a, b))
-        if not some:
-            return out
-        a, b = (np.array(list(chain.from_iterable(x)), np.int64) for x in ((x[1] for x in some), (x[2] for x in some)))
-        last_a, last_b = (np.cumsum([len(x[k]) for x in some]) for k in (1, 2))
-        end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        while chunks:
+            texts = ["".join([parts[k] for k in chunk]) for chunk in chunks]
+            side_a = [e.ids for e in self.a.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            side_b = self.b.model.encode([t[1:] for t in texts], num_threads=1)
+            same = [
+                b"".join(map(self.a.bytes.__getitem__, a)) == text == b"".join(map(self.b.bytes.__getitem__, b))
+                for a, b, text in zip(side_a, side_b, (t.encode() for t in texts))
+            ]
+            good = [k for k, ok in enumerate(same) if ok]
+            numbers = [k for c in good for k in chunks[c]]
+            if numbers:
+                a, b = (np.array(list(chain.from_iterable(side[c] for c in good)), np.int64) for side in (side_a, side_b))
+                for k, found in zip(numbers, self._split(a, b, [len(parts[k].encode()) for k in numbers])):
+                    out[k] = found
+            # which stretch it is that differs is seen by taking them one by one
+            chunks = [[k] for chunk, ok in zip(chunks, same) if not ok and len(chunk) > 1 for k in chunk]
+        return out
+
+    def _split(self, a: np.ndarray, b: np.ndarray, sizes: list[int]) -> Iterator[tuple[bytes, bytes]]:
+        """The alignment of the tokens of stretches in a row, for each stretch of so many bytes."""
+        part_ends, end_a, end_b = np.cumsum(sizes), np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         ends = np.sort(np.concatenate([end_a, end_b]), kind="stable")
         ends = ends[np.append(True, ends[1:] != ends[:-1])]
         of_a, of_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
         both = (end_a[of_a] == ends) & (end_b[of_b] == ends)
-        text = np.searchsorted(last_a, of_a, "right")  # a text's last token is number last_a - 1
-        links, groups = np.bincount(text, minlength=len(some)), np.bincount(text[both], minlength=len(some))
-        counts = np.stack([np.diff(last_a, prepend=0), np.diff(last_b, prepend=0), groups, links], 1)
-        codes, say = a[of_a] * len(self.size_b) + b[of_b], self._said(a, b, of_a[both], of_b[both])
-        from_link, from_token = 0, 0
-        for (i, _, _), row, to_link, to_token in zip(some, counts, np.cumsum(links).tolist(), (last_a + last_b).tolist()):
-            out[i] = row.tobytes(), b"".join(say[from_token:to_token]), codes[from_link:to_link].tobytes()
+        last_a, last_b = np.searchsorted(end_a, part_ends) + 1, np.searchsorted(end_b, part_ends) + 1
+        last_link = 8 * (np.searchsorted(ends, part_ends) + 1)
+        codes, say = (a[of_a] * len(self.size_b) + b[of_b]).tobytes(), self._said(a, b, of_a[both], of_b[both])
+        from_link, from_token, join = 0, 0, b"".join
+        for to_link, to_token in zip(last_link.tolist(), (last_a + last_b).tolist()):
+            yield join(say[from_token:to_token]), codes[from_link:to_link]
             from_link, from_token = to_link, to_token
-        return out
 
     def _said(self, a: np.ndarray, b: np.ndarray, close_a: np.ndarray, close_b: np.ndarray) -> list[bytes]:
         """Tokens in order of their groups, A's before B's; a group ends with the tokens ``close_a`` and ``close_b``."""
@@ -157,19 +172,26 @@ class Aligner:
         found = dict(zip(fresh, self._aligned(fresh)))
         long = {p: found.pop(p) for p in fresh if len(p) > LONG}
         self.known.update(found)
-        counts, digests, codes = np.zeros((len(texts), 4), np.int64), [""] * len(texts), []
         get = (self.known | long).__getitem__ if long else self.known.__getitem__
-        for i, (text, row) in enumerate(zip(texts, rows)):
-            parts = list(map(get, row))
-            if None in parts:  # what differs in a stretch could only be made up for by another one
-                parts = list(filter(None, self._aligned([" " + text])))
-            if parts:
-                own, say, code = map(b"".join, zip(*parts))
-                counts[i] = np.frombuffer(own, np.int64).reshape(-1, 4).sum(0)
-                digests[i] = hashlib.sha256(say[:-1]).hexdigest()
-                codes.append(code)
+        flat = list(map(get, chain.from_iterable(rows)))
+        if None in flat:  # what differs in a stretch could only be made up for by another one
+            whole = {}
+            for i, (text, row) in enumerate(zip(texts, rows)):
+                if None in map(get, row):
+                    rows[i], whole[" " + text] = [" " + text], self._aligned([" " + text])[0] or (b"", b"")
+            flat = [whole[p] if p in whole else get(p) for p in chain.from_iterable(rows)]
         if len(self.known) > KEPT:
             self.known, self.older = {}, self.known
+        says, codes = zip(*flat) if flat else ((), ())
+        counts, digests, at = np.zeros((len(texts), 4), np.int64), [""] * len(texts), 0
+        for i, row in enumerate(rows):
+            say = b"".join(says[at : at + len(row)])
+            at += len(row)
+            if say:
+                n_groups = say.count(b";")
+                n_a, n_b = say.count(b",") + n_groups, say.count(NEXT_B) + n_groups
+                counts[i] = n_a, n_b, n_groups, n_a + n_b - n_groups
+                digests[i] = hashlib.sha256(say[:-1].replace(NEXT_B, b",")).hexdigest()
         return Aligned(counts, digests, np.frombuffer(b"".join(codes), np.int64))
 
 
@@ -279,7 +301,8 @@ def pair_counts(bitmaps: DataFrame, n_b: int) -> DataFrame:
 
 def link_scores(documents: DataFrame, bitmaps: DataFrame, counts: DataFrame) -> DataFrame:
     """The documents with n_best (links of a best pair) and count_sum (their pairs' links, summed over links)."""
-    scored = bitmaps.join(counts.select("code", F.col("n_links").alias("links"), "best"), "code")
+    # the pairs grow with the texts: the join is a shuffle at any size
+    scored = bitmaps.join(counts.hint("merge").select("code", F.col("n_links").alias("links"), "best"), "code")
     scored = scored.select(F.col("block").alias("of_block"), "plane", "dense", "bitmap", "links", "best")
     schema = StructType([*documents.drop("block", "doc").schema.fields, *StructType.fromDDL("n_best long, count_sum long").fields])
     arrow = to_arrow_schema(schema)
