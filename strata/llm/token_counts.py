@@ -39,13 +39,18 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from tokenizers.models import BPE
 
+from strata.llm.bpe_merge import byte_symbols
 
 KEPT = 500_000
 LONG = 64
 # separators in Python's eyes that are no white space in Unicode's
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _ASCII_SPACE = re.compile("[ \t\n\r\x0b\x0c]+")
-_ENDS = frozenset(",.;:!?")
+# letters that normalizing only makes lower-case, and that are one piece, with a sign behind them
+_LATIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.;:!?]?)")
+_BYTES = byte_symbols()
+_SYMBOLS = {c: "".join(_BYTES[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+_ONE = (1,)
 
 
 class PrefixTokenizer:
@@ -72,6 +77,7 @@ class PrefixTokenizer:
         self.closed = {t for t in closed if len(self.ended.tokenize(t)) == 1}
         self.opened = {t for t in opened if len(self.bare.tokenize(t)) == 1}
         self.most_closed, self.most_opened = max(map(len, self.closed)), max(map(len, self.opened))
+        self.closed_sizes, self.opened_sizes = _sizes_by_end(self.closed), _sizes_by_end(self.opened)
         self.special = {t["content"] for t in spec["added_tokens"]}
         self.specials = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.pairs: dict[tuple[str, str, bool], bool] = {}
@@ -97,15 +103,19 @@ class PrefixTokenizer:
         n = len(text)
         while n and text[:n] not in self.states:
             n -= 1
+        states, opened, sizes, together = self.states, self.opened, self.opened_sizes, self._together
         for i in range(n + 1, len(text) + 1):
-            for begin in range(max(0, i - self.most_opened), i):
-                token = text[begin:i]
-                if token in self.opened:
-                    before = self.states[text[:begin]] if begin else ("", 0)
-                    if not begin or (before[0] and self._together(before[0], token, False)):
-                        self.states[text[:i]] = (token, before[1] + 1)
+            for size in sizes.get(text[max(0, i - 2) : i], _ONE):
+                token = text[i - size : i] if size <= i else ""
+                if token in opened:
+                    if size == i:
+                        states[token] = (token, 1)
                         break
-        return self.states[text]
+                    before = states[text[: i - size]]
+                    if before[0] and together(before[0], token, False):
+                        states[text[:i]] = (token, before[1] + 1)
+                        break
+        return states[text]
 
     def piece_count(self, piece: str) -> int:
         """Tokens of a piece, or of a prefix of one, in byte symbols, as a text of its own."""
@@ -118,8 +128,9 @@ class PrefixTokenizer:
             self.states.clear()
         if piece[:-1]:
             self._state(piece[:-1])
-        for begin in range(max(0, len(piece) - self.most_closed), len(piece)):
-            token = piece[begin:]
+        for size in self.closed_sizes.get(piece[-2:], _ONE):
+            begin = len(piece) - size
+            token = piece[begin:] if begin >= 0 else ""
             if token in self.closed:
                 before = self.states[piece[:begin]] if begin else ("", 0)
                 if not begin or (before[0] and self._together(before[0], token, True)):
@@ -129,12 +140,9 @@ class PrefixTokenizer:
 
     def pieces_of(self, word: str) -> list[str]:
         """What the tokenizer merges separately, in byte symbols."""
-        if word.isascii():
-            word = word.lower()
-            if word.isalpha():
-                return [word]
-            if word[:-1].isalpha() and word[-1] in _ENDS:
-                return [word[:-1], word[-1]]
+        if found := _LATIN.fullmatch(word):
+            letters = found[1].lower().translate(_SYMBOLS)
+            return [letters, found[2]] if found[2] else [letters]
         plain = self.tokenizer.normalizer.normalize_str(word) if self.tokenizer.normalizer else word
         return [p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(plain)]
 
@@ -173,9 +181,47 @@ class PrefixTokenizer:
     def count_of(self, word: str) -> int:
         return 1 if word in self.special else self.word_count(word)
 
-    def counts(self, text: str) -> list[int]:
+    def counts(self, words: list[str]) -> list[int]:
+        """Tokens of each word that ``spans`` has found."""
         get, slow = self.words.get, self.count_of
-        return [n if (n := get(w)) is not None else slow(w) for w in self.spans(text)]
+        return [n if (n := get(w)) is not None else slow(w) for w in words]
+
+    def inside(self, word: str, n: int) -> int:
+        """Tokens of the first ``n`` characters of a word."""
+        if n >= len(word):
+            return self.count_of(word)
+        if len(word) > LONG:
+            return self.long_word(word).tokens(n)
+        return sum(map(self.piece_count, self.pieces_of(word[:n]))) if n else 0
+
+    def fit(self, text: str, words: list[str], counts: list[int], budget: int) -> int:
+        """The most characters from the start of a text that have at most ``budget`` tokens, given its words' counts.
+
+        Only the word in which the budget ends is looked into; a long one is not cut
+        before a sign that joins with what is before it, such as a combining mark.
+        """
+        left, k = budget, 0
+        while k < len(words) and counts[k] <= left:
+            left, k = left - counts[k], k + 1
+        if k == len(words):
+            return len(text)
+        end = 0
+        for word in words[:k]:
+            end = text.index(word, end) + len(word)
+        word, begin = words[k], text.index(words[k], end)
+        places = reversed(self.long_word(word).at[:-1]) if len(word) > LONG and word not in self.special else range(len(word) - 1, 0, -1)
+        # what comes before a word may end with its white space: that has no tokens
+        inside = next((n for n in places if n and self.inside(word, n) <= left), 0)
+        return begin + inside
+
+
+def _sizes_by_end(tokens: set[str]) -> dict[str, tuple[int, ...]]:
+    """By the last two symbols of a text: how long the tokens at its end may be, long ones first."""
+    sizes: dict[str, set[int]] = {}
+    for token in tokens:
+        if len(token) > 1:
+            sizes.setdefault(token[-2:], {1}).add(len(token))
+    return {end: tuple(sorted(some, reverse=True)) for end, some in sizes.items()}
 
 
 class PieceCounts:
@@ -186,9 +232,10 @@ class PieceCounts:
         self.last, self.open, self.closed = array("q", [0]), array("q", [0]), array("q", [0])
         self._go_on()
 
-    def _before(self, i: int, tokens: set[str], most: int, closed: bool) -> int:
-        for begin in range(max(0, i - most), i):
-            token = self.piece[begin:i]
+    def _before(self, i: int, tokens: set[str], sizes: dict[str, tuple[int, ...]], closed: bool) -> int:
+        for size in sizes.get(self.piece[max(0, i - 2) : i], _ONE):
+            begin = i - size
+            token = self.piece[begin:i] if begin >= 0 else ""
             if token in tokens:
                 last = self.last[begin]
                 if not begin or (last and self.tokenizer._together(self.piece[begin - last : begin], token, closed)):
@@ -198,10 +245,10 @@ class PieceCounts:
     def _go_on(self) -> None:
         t = self.tokenizer
         for i in range(len(self.last), len(self.piece) + 1):
-            if (begin := self._before(i, t.closed, t.most_closed, True)) < 0:
+            if (begin := self._before(i, t.closed, t.closed_sizes, True)) < 0:
                 raise ValueError(f"the vocabulary has no tokens for {self.piece[:i]!r}")
             self.closed.append(self.open[begin] + 1)
-            begin = self._before(i, t.opened, t.most_opened, False)
+            begin = self._before(i, t.opened, t.opened_sizes, False)
             self.last.append(i - begin if begin >= 0 else 0)
             self.open.append(self.open[begin] + 1 if begin >= 0 else 0)
 
@@ -281,32 +328,18 @@ class PrefixCounts:
             self.ends.append(at)
         self.sums = [0, *accumulate(map(tokenizer.count_of, self.words))]
 
-    def _inside(self, word: str, n: int) -> int:
-        """Tokens of the first ``n`` characters of a word."""
-        t = self.tokenizer
-        if n >= len(word):
-            return t.count_of(word)
-        if len(word) > LONG:
-            return t.long_word(word).tokens(n)
-        return sum(map(t.piece_count, t.pieces_of(word[:n]))) if n else 0
-
     def tokens(self, chars: int) -> int:
         """Tokens of the text's first ``chars`` characters."""
         k = bisect_right(self.ends, chars)
         if k == len(self.words):
             return self.sums[k]
         begin = self.ends[k] - len(self.words[k])
-        return self.sums[k] + (self._inside(self.words[k], chars - begin) if chars > begin else 0)
+        return self.sums[k] + (self.tokenizer.inside(self.words[k], chars - begin) if chars > begin else 0)
 
     def fit(self, budget: int) -> int:
         """The most characters from the start that have at most ``budget`` tokens."""
-        k = bisect_right(self.sums, budget) - 1
-        if k >= len(self.words):
-            return len(self.text)
-        word = self.words[k]
-        begin = self.ends[k] - len(word)
-        more = (n for n in range(len(word) - 1, 0, -1) if self.sums[k] + self._inside(word, n) <= budget)
-        return begin + next(more, 0)
+        counts = [b - a for a, b in zip(self.sums, self.sums[1:])]
+        return self.tokenizer.fit(self.text, self.words, counts, budget)
 
 
 @lru_cache(2)
@@ -324,8 +357,12 @@ def count_tokens(
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = prefix_tokenizer(tokenizer_path)
         for frame in frames:
-            n = [sum(tokenizer.counts(t)) for t in frame["text"]]
-            fit = [len(t) if m <= budget else PrefixCounts(tokenizer, t).fit(budget) for t, m in zip(frame["text"], n)]
+            n, fit = [], []
+            for text in frame["text"]:
+                words = tokenizer.spans(text)
+                counts = tokenizer.counts(words)
+                n.append(sum(counts))
+                fit.append(len(text) if n[-1] <= budget else tokenizer.fit(text, words, counts, budget))
             yield pd.DataFrame(
                 {"id": frame["id"], "n_bytes": [len(t.encode()) for t in frame["text"]], "n_tokens": n,
                  "over_limit": [m > budget for m in n], "fit_chars": fit}

@@ -64,3 +64,30 @@ def test_cases(spark):
 def test_query_over_the_whole_table(spark):
     rows = plain(spark.read.parquet(f"{SMALL}/documents.parquet"))
     assert rows_of(op2_token_counts(spark, SMALL), "doc_id", "n_bytes", "n_tokens", "over_limit") == expected(rows, 2048)
+
+
+def test_words_of_200_000_marks():
+    ours, pick = PrefixTokenizer(PATH), random.Random(5)
+    for signs in ("̸̧̖́", "ᅡᆨ", "͸"):
+        word = "e" + "".join(pick.choice(signs) for _ in range(200_000))
+        begin = time.monotonic()
+        counts = PrefixCounts(ours, f"some words before {word} after")
+        fit = counts.fit(2048)
+        assert time.monotonic() - begin < 10
+        assert fit in (len("some words before "), len("some words before e"))
+        assert counts.tokens(fit) <= 2048 < counts.sums[-1]
+
+
+def test_budget_ends_in_any_word():
+    ours, library, pick = PrefixTokenizer(PATH), Tokenizer.from_file(PATH), random.Random(6)
+    words = ["it's", "naïve", "the", "été", "x" * 80, "<|endoftext|>", "日本語", "12,5"]
+    for _ in range(60):
+        text = " ".join(pick.choice(words) for _ in range(20))
+        true = [len(library.encode(text[:n], add_special_tokens=False).ids) for n in range(len(text) + 1)]
+        budget = pick.randint(0, 40)
+        found = ours.fit(text, spans := ours.spans(text), ours.counts(spans), budget)
+        assert found == PrefixCounts(ours, text).fit(budget)
+        assert true[found] <= budget
+        # a short word may be cut anywhere, so nothing longer fits unless it ends within a special token's text
+        if "<|" not in text:
+            assert found >= max(n for n in range(len(text) + 1) if true[n] <= budget) - 1
