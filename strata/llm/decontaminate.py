@@ -5,14 +5,22 @@ every document, word by word. A window's SimHash adds up, bit by bit, the votes
 of its weighted shingles (runs of five words; a shingle's weight is how often
 the window holds it). Fingerprints are cut into ``BLOCKS`` blocks of 16 bits: two
 that differ in at most ``radius`` bits differ in at most radius // BLOCKS bits
-in some block, so looking up each block with that many flipped bits finds every
-item within the radius. What is found is then compared exactly:
+in some block, so comparing each block on its own finds every item within the
+radius. What is found is then compared exactly:
 similarity = sum of min / sum of max of the shingles' weights, which has to be
 ``threshold`` or more.
 
-A window without any shingle of an item has similarity 0 to it, so only windows
-around shingles shared with items of that size are fingerprinted; that leaves
-out no result.
+A window without any shingle of an item has similarity 0 to it, so an index of
+the items' shingles says which documents, which windows and which items are
+looked at; fingerprints then choose among these pairs. An item of fewer than
+``WEAK`` different shingles, such as a phrase that repeats itself, has a fingerprint
+that one shingle more or less may turn over; its windows are all compared
+exactly. With ``WEAK`` and more the radius of 23 is over four standard deviations
+beyond what windows of similarity 0.8 differ in.
+
+Windows are compared by counts that slide along, one shingle in and one out, so
+a document takes time by its length and the items that share shingles with it,
+and memory by its length.
 
 Items are taken ``item_block_bytes`` at a time; what executors get of them never
 exceeds that, however large the benchmark is.
@@ -43,6 +51,8 @@ SHINGLE = 5
 BLOCKS = 4
 RADIUS = 23
 THRESHOLD = 0.8
+#: Different shingles that an item needs for its fingerprint to say something.
+WEAK = 16
 
 
 def simhash_windows(shingles: np.ndarray, begin: np.ndarray, n: int) -> np.ndarray:
@@ -117,6 +127,38 @@ class ItemIndex:
         return at[near], items[j[near]]
 
 
+def _covering(places: np.ndarray, n: int, count: int) -> np.ndarray:
+    """Begins, of ``count``, of the windows of ``n`` places that hold one of ``places``, ascending."""
+    change = np.zeros(count + 1, np.int64)
+    np.add.at(change, np.clip(places - n + 1, 0, count), 1)
+    np.add.at(change, np.clip(places + 1, 0, count), -1)
+    return np.flatnonzero(np.cumsum(change[:-1]) > 0)
+
+
+def _best_window(own: list[int], begins: list[int], n: int, wanted: Counter) -> tuple[float, int]:
+    """The largest similarity of the windows at the ascending ``begins`` to ``wanted``, and the first window that has it."""
+    total, best = wanted.total() + n, (0, 0)
+    held: Counter[int] = Counter()
+    common, at = 0, None
+    for begin in begins:
+        if at is None or begin - at >= n:  # nothing of the window before is left
+            held = Counter(own[begin : begin + n])
+            common = (held & wanted).total()
+        else:
+            for k in range(at, begin):
+                out, new = own[k], own[k + n]
+                if held[out] <= wanted.get(out, 0):
+                    common -= 1
+                held[out] -= 1
+                held[new] += 1
+                if held[new] <= wanted.get(new, 0):
+                    common += 1
+        at = begin
+        if common > best[0]:  # the similarity grows with what is common
+            best = (common, begin)
+    return best[0] / (total - best[0]), best[1]
+
+
 def _matches(index: ItemIndex, words: np.ndarray, radius: int, threshold: float) -> dict[int, tuple[float, int]]:
     """Best (similarity, first word) of each item found in one document."""
     best: dict[int, tuple[float, int]] = {}
@@ -124,24 +166,32 @@ def _matches(index: ItemIndex, words: np.ndarray, radius: int, threshold: float)
     # an item shorter than a shingle is one shingle of its own length
     for length in {SHINGLE, *(s for s in index.by_size if s < SHINGLE)}:
         own, _ = shingles_of(words, np.array([0, len(words)]), length)
+        row = own.tolist()
         place, item = index.shared(own)
         right = np.minimum(sizes[item], SHINGLE) == length
         place, item = place[right], item[right]
         for size in np.unique(sizes[item]).tolist():
             here = sizes[item] == size
             n = max(1, min(size, len(words)) - length + 1)
-            begins = np.unique(np.maximum(place[here][:, None] - np.arange(n), 0))
-            begins = begins[begins + n <= len(own)]
+            begins = _covering(np.unique(place[here]), n, len(own) - n + 1)
             if not len(begins):
                 continue
-            # only the stretch around the shared shingles is added up
-            low, high = begins[0], begins[-1] + n
-            prints = simhash_windows(own[low:high], begins - low, n)
-            for at, found in zip(*index.within(prints, np.unique(item[here]), radius)):
-                begin = int(begins[at])
-                value = similarity(Counter(own[begin : begin + n].tolist()), index.counts[found])
-                if value >= threshold and value > best.get(found, (0.0, 0))[0]:
-                    best[int(found)] = (value, begin)
+            items = np.unique(item[here])
+            weak = np.array([len(index.counts[j]) < WEAK for j in items])
+            near: dict[int, np.ndarray] = {int(j): _covering(np.unique(place[here & (item == j)]), n, len(own) - n + 1) for j in items[weak]}
+            if not weak.all():
+                # only the stretch around the shared shingles is added up
+                low, high = int(begins[0]), int(begins[-1]) + n
+                prints = simhash_windows(own[low:high], begins - low, n)
+                at, found = index.within(prints, items[~weak], radius)
+                order = np.argsort(found, kind="stable")
+                at, found = at[order], found[order]
+                edge = np.flatnonzero(np.append(True, found[1:] != found[:-1])) if len(found) else []
+                near |= {int(found[a]): np.sort(begins[at[a:b]]) for a, b in zip(edge, [*edge[1:], len(found)])}
+            for j, some in near.items():
+                value, begin = _best_window(row, some.tolist(), n, index.counts[j])
+                if value >= threshold and value > best.get(j, (0.0, 0))[0]:
+                    best[j] = (value, begin)
     return best
 
 

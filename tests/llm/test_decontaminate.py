@@ -1,11 +1,14 @@
 import re
+import time
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from strata.llm.decontaminate import ItemIndex, drop_contaminated, find_contamination, similarity
+from strata.llm.decontaminate import ItemIndex, _best_window, _covering, _matches, drop_contaminated, find_contamination, similarity
 from strata.llm.queries import op5_decontaminate
+from strata.llm.support import words_of
 from tests.llm.cases import documents, plain, rows_of
 
 SMALL = "/root/testdata/sf0.001"
@@ -87,3 +90,62 @@ def test_query_over_the_whole_table(spark):
         want += brute_force([doc], near)
     got = sorted(((r[0], r[1], round(r[2], 9)) for r in op5_decontaminate(spark, SMALL).collect()), key=repr)
     assert got == sorted(want, key=repr) and got
+
+
+def test_no_pair_of_texts_that_repeat_themselves_is_lost():
+    pick = np.random.default_rng(7)
+    lost, total = 0, 0
+    for _ in range(1500):
+        period, n = int(pick.integers(2, 5)), int(pick.integers(30, 61))
+        base = [f"w{k}" for k in range(period)]
+        item = [base[k % period] for k in range(n)]
+        text = list(item)
+        for _ in range(int(pick.integers(0, 3))):
+            text[int(pick.integers(0, n))] = f"x{pick.integers(0, 9)}"
+        index = ItemIndex.of([(1, " ".join(item))])
+        own, want = words(" ".join(text)), Counter(tuple(item[a : a + 5]) for a in range(n - 4))
+        true = similarity(Counter(tuple(own[a : a + 5]) for a in range(n - 4)), want)
+        got = _matches(index, words_of([" ".join(text)])[0], 23, 0.8)
+        total += true >= 0.8
+        lost += true >= 0.8 and not (0 in got and abs(got[0][0] - true) < 1e-9)
+    assert total > 700 and lost == 0
+
+
+def test_sliding_counts_are_the_windows_counts():
+    pick = np.random.default_rng(8)
+    for _ in range(300):
+        own, n = pick.integers(0, 6, 80).tolist(), int(pick.integers(1, 20))
+        wanted = Counter(pick.integers(0, 6, int(pick.integers(1, 25))).tolist())
+        begins = np.flatnonzero(pick.random(81 - n) < pick.choice([0.05, 0.5, 1.0])).tolist()
+        true = [similarity(Counter(own[b : b + n]), wanted) for b in begins]
+        value, begin = _best_window(own, begins, n, wanted)
+        assert abs(value - max(true, default=0)) < 1e-12
+        assert not value or begin == begins[true.index(max(true))]
+
+
+def test_windows_around_places():
+    pick = np.random.default_rng(9)
+    for _ in range(200):
+        n, count = int(pick.integers(1, 12)), int(pick.integers(1, 50))
+        places = np.unique(pick.integers(0, count + n - 1, int(pick.integers(0, 9))))
+        want = [b for b in range(count) if any(b <= p < b + n for p in places)]
+        assert _covering(places, n, count).tolist() == want
+
+
+def test_long_texts_and_many_items_that_share_a_phrase():
+    pick = np.random.default_rng(10)
+    word = lambda n: [f"v{k}" for k in pick.integers(0, 5000, n)]
+    phrase = word(12)
+    items = [(k, " ".join([*word(194), *phrase, *word(194)])) for k in range(200)]
+    index = ItemIndex.of(items)
+    text = word(20_000)
+    for at in range(0, 20_000, 400):
+        text[at : at + 12] = phrase
+    text[6000:6400] = items[17][1].split()
+    tracemalloc.start()
+    begin = time.monotonic()
+    got = _matches(index, words_of([" ".join(text)])[0], 23, 0.8)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert list(got) == [17] and got[17] == (1.0, 6000)
+    assert most < 1 << 29 and time.monotonic() - begin < 120
