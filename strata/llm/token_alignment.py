@@ -47,7 +47,7 @@ from strata.llm.support import in_slices, written
 BLOCK_LINKS = 1 << 21
 BLOCK_DOCS = 1 << 16
 SPACE = "▁"
-KEPT = 200_000
+KEPT = 150_000
 LONG = 256
 #: Stands for the comma between two tokens of B, so that both sides can be counted.
 NEXT_B = b"+"
