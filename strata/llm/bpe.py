@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from strata.llm.bpe_merge import byte_symbols, join_encodings
-from strata.llm.support import in_slices
+from strata.llm.support import give_back, in_slices
 
 KEPT = 150_000
 LEAF_CHARS = 1 << 16
@@ -101,6 +101,10 @@ class ByteBpe:
             self.known, self.older = {}, known
         return out
 
+    def forget(self) -> None:
+        """Drop the encoded stretches that are kept."""
+        self.known, self.older = {}, {}
+
     def decode(self, ids: bytes) -> str:
         """The text of ids; bytes that are no UTF-8 become replacement characters."""
         return b"".join(map(self.bytes.__getitem__, array("I", ids))).decode("utf-8", "replace")
@@ -212,6 +216,9 @@ def encode_documents(
             keys, texts = frame["id"].tolist(), frame["text"].tolist()
             for a, b in in_slices(texts):
                 yield finish(bpe, keys[a:b], bpe.encode(texts[a:b]))
+        # the worker goes on to other stages
+        bpe.forget()
+        give_back()
 
     def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = byte_bpe(tokenizer_path)

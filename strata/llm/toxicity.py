@@ -45,12 +45,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from strata.llm.support import in_slices, words_of, written
+from strata.llm.support import give_back, in_slices, words_of, written
 
 BLOCK = 64
 PLAIN = 0.15
 #: Texts times examples that are in hand at once.
-CELLS = 1 << 19
+CELLS = 1 << 18
 
 
 def _ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -324,6 +324,8 @@ def fit_toxicity(
     votes = np.zeros(n)
     for k, own in examples.select("n", "text").mapInPandas(vote, "k int, vote double").collect():
         votes[k] = own
+    shared.unpersist()
+    ready.unpersist()
     share = np.where(y == 1, shares[1] / n1, shares[0] / n0)
     model.curve = _fit_curve(votes, y, share * n / share.sum() / 1.0)
     return model
@@ -376,15 +378,18 @@ def score_toxicity(df: DataFrame, model: ToxicityModel, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            texts = batch[text_col].to_pylist()
-            found, near, _ = model.nearest_to_each(*model.vectors(texts), len(texts))
-            scores = model.score(model.votes(found, near))
-            why = [
-                [{"example": model.ids[f], "cosine": s, "toxic": int(model.labels[f])} for f, s in zip(row, cosines) if f >= 0]
-                for row, cosines in zip(found[:, :3].tolist(), near[:, :3].tolist())
-            ]
+            texts, scores, why = batch[text_col].to_pylist(), [], []
+            for a, b in in_slices(texts):
+                found, near, _ = model.nearest_to_each(*model.vectors(texts[a:b]), b - a)
+                scores.append(model.score(model.votes(found, near)))
+                why += [
+                    [{"example": model.ids[f], "cosine": s, "toxic": int(model.labels[f])} for f, s in zip(row, cosines) if f >= 0]
+                    for row, cosines in zip(found[:, :3].tolist(), near[:, :3].tolist())
+                ]
+            scores = np.concatenate([*scores, np.empty(0)])
             columns = [*batch.columns, pa.array(scores, pa.float64()), pa.array(why, arrow_why)]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "tox_score", "tox_evidence"])
+        give_back()
 
     return kept.mapInArrow(run, schema)
 
