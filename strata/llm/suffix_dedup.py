@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from strata.llm.loser_tree import common_prefix, merge_prefixed
-from strata.llm.support import mix, power_tables, written
+from strata.llm.support import give_back, mix, power_tables, written
 
 LENGTH = 50
 HOT = 2000
@@ -345,6 +345,7 @@ def remove_repeats(
                 found = [(p, _pack(_planes(keys[a:b] & _VALUE), np.minimum(docs[a:b], 65535).astype("<u2")))
                          for p, (a, b) in enumerate(zip(at, at[1:])) if a < b]
                 yield pd.DataFrame({"run": run, "part": [p for p, _ in found], "data": [d for _, d in found]})
+        give_back()
 
     def answer(frame: pd.DataFrame) -> pd.DataFrame:
         read = [_unpack(d) for d in frame["data"]]
@@ -367,6 +368,7 @@ def remove_repeats(
                     yield pd.DataFrame(
                         {"run": run, "part": [*own.parts, -1 - run % parts], "data": [*map(own.block, range(len(own.parts))), where]}
                     )
+        give_back()
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
         if frame["part"].iloc[0] < 0:
@@ -407,6 +409,7 @@ def remove_repeats(
                 for name, values, kind in zip(_RESULT, ([len(t) for t in texts], removed, spans, kept), (pa.int64(), pa.int64(), pa.int64(), pa.binary())):
                     table = table.append_column(name, pa.array(values, kind))
                 yield from table.to_batches()
+        give_back()
 
     runs = written(df.mapInArrow(pack, "run long, rows binary"), "dedup-runs")
     blocks = "run long, part int, data binary"
