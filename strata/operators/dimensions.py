@@ -51,13 +51,13 @@ def build_obt(
     ``sales`` gives ``sale_id`` and ``customer_id``. Every join keeps all
     events; the dimensions have one row per key. Spark broadcasts a dimension
     that is small and splits hot keys on the event side of the others.
+
+    Sales are many times fewer than events, so they meet their customers first:
+    events are shuffled by product and by sale, and never by customer.
     """
-    return (
-        events.join(sales.select("sale_id", "customer_id"), "sale_id", "left")
-        .join(customers, "customer_id", "left")
-        .join(
-            products.select("product_id", "product_name", "brand", "category", "list_price"),
-            "product_id",
-            "left",
-        )
-    )
+    described = ["product_name", "brand", "category", "list_price"]
+    buyers = sales.select("sale_id", "customer_id").join(customers, "customer_id", "left")
+    wide = events.join(products.select("product_id", *described), "product_id", "left").join(buyers, "sale_id", "left")
+    facts = [c for c in events.columns if c not in ("product_id", "sale_id")]
+    people = [c for c in customers.columns if c != "customer_id"]
+    return wide.select("product_id", "customer_id", "sale_id", *facts, *people, *described)

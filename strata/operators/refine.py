@@ -104,6 +104,14 @@ def normalise_events(events: DataFrame) -> DataFrame:
 EVENT_KEYS = ("sale_id", "line_no")
 
 
+#: The event's keys as one text.
+EVENT_ID = "sales_event_id"
+
+
+def event_id() -> Column:
+    return F.concat_ws("-", *[F.col(k).cast("string") for k in EVENT_KEYS])
+
+
 def latest_events(events: DataFrame) -> DataFrame:
     """The latest version of each normalised event; all other columns break ties."""
     others = [c for c in events.columns if c not in (*EVENT_KEYS, "event_date")]
@@ -117,5 +125,4 @@ def refine_events(events: DataFrame) -> DataFrame:
     The two parts of the event id stay numbers for the shuffle; the text id is
     made from them afterwards.
     """
-    event_id = F.concat_ws("-", *[F.col(k).cast("string") for k in EVENT_KEYS])
-    return latest_events(normalise_events(events)).withColumn("sales_event_id", event_id)
+    return latest_events(normalise_events(events)).withColumn(EVENT_ID, event_id())

@@ -366,7 +366,7 @@ def _sales_runs(spark: SparkSession, sf_dir: str) -> SalesLayers:
     root = scratch_path(spark, "sales")
     made = feeds.sales_event_feed(table(spark, sf_dir, "lineitem"))
     products = feeds.product_extracts(spark, sf_dir)
-    files.land_csv(_as_text(products, ingest.BATCH), f"{root}/extracts", partition_by=[ingest.BATCH])
+    files.land_csv(_as_text(products, ingest.BATCH), f"{root}/extracts", partition_by=[ingest.BATCH], compression="gzip")
     sales = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("sale_id"), F.col("o_custkey").alias("customer_id")
     )
@@ -375,7 +375,7 @@ def _sales_runs(spark: SparkSession, sf_dir: str) -> SalesLayers:
     for part in (~later, later, None):
         if part is not None:
             landed = _as_text(made.filter(part), ingest.BATCH)
-            files.land_csv(landed, f"{root}/feed", mode="append", partition_by=[ingest.BATCH])
+            files.land_csv(landed, f"{root}/feed", mode="append", partition_by=[ingest.BATCH], compression="gzip")
         layers = run_sales_pipeline(
             spark, f"{root}/feed", f"{root}/extracts", sales, dim_customer(spark, sf_dir), f"{root}/layers", SYSTEM
         )

@@ -78,6 +78,7 @@ def land_csv(
     rows_per_file: int | None = None,
     partition_by: Sequence[str] = (),
     marked_ends: bool = False,
+    compression: str | None = None,
 ) -> None:
     """Write headed CSV. Files are split by row count, never gathered into one task.
 
@@ -85,11 +86,14 @@ def land_csv(
     were, and line ends with its ``line_ends``; an empty text comes back as
     null, as it does with any CSV file Spark reads. With ``marked_ends``, line ends
     are written as marks that ``read_feed`` takes out again, so that files can be
-    split by line.
+    split by line. Readers know a ``compression`` by the files' endings; a file
+    of ``gzip`` is read by one task.
     """
     writer = (one_line(df) if marked_ends else df).write.mode(mode).options(
         header="true", escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
     )
+    if compression:
+        writer = writer.option("compression", compression)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     if partition_by:

@@ -36,6 +36,7 @@ def append_stream(stream: DataFrame, target: str, checkpoint: str, partition_by:
         stream.writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
+        .option("compression", "zstd")
         .trigger(availableNow=True)
     )
     if partition_by:
