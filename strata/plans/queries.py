@@ -416,10 +416,10 @@ def _sales_increments(spark: SparkSession, sf_dir: str) -> SalesLogs:
     for number, part in enumerate((~later & ~day, ~later & day, later, None)):
         if part is not None:
             landed = _as_text(made.filter(part), ingest.BATCH)
-            files.land_csv(landed, f"{root}/feed", mode="append", partition_by=[ingest.BATCH])
+            files.land_csv(landed, f"{root}/feed", mode="append", partition_by=[ingest.BATCH], compression="gzip")
         if number in (0, 2):
             extract = _as_text(products.filter(F.col(ingest.BATCH) == (1 if number == 0 else 2)), ingest.BATCH)
-            files.land_csv(extract, f"{root}/extracts", mode="append", partition_by=[ingest.BATCH])
+            files.land_csv(extract, f"{root}/extracts", mode="append", partition_by=[ingest.BATCH], compression="gzip")
         logs = run_sales_incremental(
             spark, f"{root}/feed", f"{root}/extracts", sales, dim_customer(spark, sf_dir), f"{root}/layers", SYSTEM, BUCKETS
         )

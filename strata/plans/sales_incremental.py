@@ -28,7 +28,7 @@ from strata.fixed import ADJUSTMENT, CANCEL, SALE
 from strata.functions import from_units
 from strata.operators.dimensions import build_obt, latest_batch
 from strata.operators.reconcile import reconcile_layers
-from strata.operators.refine import EVENT_KEYS, latest_events, normalise_events
+from strata.operators.refine import EVENT_ID, EVENT_KEYS, event_id, latest_events, normalise_events
 from strata.operators.rescue import drop_rescued, drop_unreadable, typed_parse
 from strata.plans.sales import PRODUCT_SCHEMA, PRODUCT_TYPES
 from strata.sources.files import read_feed
@@ -38,6 +38,8 @@ from strata.streaming.ingest import BATCH, stream_rescue
 from strata.streaming.ledger import CLEAN_EVENTS, EVENT_FEED_SCHEMA, EVENT_TYPES
 
 EVENT_KEY, DAY_KEY = "event_key", "day_key"
+#: Whether an event comes from the delivery and not from Silver.
+CAME = "_came"
 PRODUCTS = "product_id BIGINT, product_name STRING, brand STRING, category STRING, list_price DOUBLE"
 CUSTOMER = "customer_id BIGINT, customer_name STRING, segment STRING, nation STRING, region STRING"
 #: Whole numbers per batch and day.
@@ -126,8 +128,7 @@ def _events_of(rows: DataFrame) -> DataFrame:
 
 
 def _with_ids(events: DataFrame) -> DataFrame:
-    event_id = F.concat_ws("-", *[F.col(k).cast("string") for k in EVENT_KEYS])
-    return events.withColumns({EVENT_KEY: _key(*EVENT_KEYS), "sales_event_id": event_id})
+    return events.withColumns({EVENT_KEY: _key(*EVENT_KEYS), EVENT_ID: event_id()})
 
 
 def update_silver(logs: SalesLogs, bronze_step: int) -> int:
@@ -135,12 +136,13 @@ def update_silver(logs: SalesLogs, bronze_step: int) -> int:
     origin = f"bronze:{bronze_step}"
     if (done := logs.silver.step_of(origin)) is not None:
         return done
-    fresh = _with_ids(latest_events(_events_of(logs.bronze.rows_at(bronze_step)))).select(*logs.silver.columns)
-    held = logs.silver.current(fresh)
-    # the latest of what was and what came: the order is total, so earlier versions need not be read again
-    latest = _with_ids(latest_events(held.unionByName(fresh).drop(EVENT_KEY, "sales_event_id"))).select(*logs.silver.columns)
+    fresh = _events_of(logs.bronze.rows_at(bronze_step))
+    held = logs.silver.current(_with_ids(fresh)).select(*fresh.columns)
+    # the latest of what was and what came: the order is total, so earlier versions need not be read again. Of equal
+    # rows the held one wins, so the winners that came are the rows that differ
+    latest = latest_events(held.withColumn(CAME, F.lit(False)).unionByName(fresh.withColumn(CAME, F.lit(True))))
     step = logs.silver.next_step()
-    logs.silver.append(_differing(latest, held), step, origin)
+    logs.silver.append(_with_ids(latest.filter(CAME)).select(*logs.silver.columns), step, origin)
     return step
 
 
@@ -162,8 +164,10 @@ def rewiden(logs: SalesLogs, events: DataFrame, sales: DataFrame, customers: Dat
     """Append wide rows of these events, with their dimensions as they are now."""
     if logs.wide.has(origin):
         return
-    rows = build_obt(events.select(*logs.silver.columns), sales, customers, logs.products.current())
-    logs.wide.append(rows.select(*logs.wide.columns), logs.wide.next_step(), origin)
+    # the texts that the keys give are made anew behind the joins: their shuffles need not carry them
+    carried = [c for c in logs.silver.columns if c not in (EVENT_KEY, EVENT_ID)]
+    rows = build_obt(events.select(*carried), sales, customers, logs.products.current())
+    logs.wide.append(_with_ids(rows).select(*logs.wide.columns), logs.wide.next_step(), origin)
 
 
 def run_sales_incremental(
@@ -175,10 +179,13 @@ def run_sales_incremental(
     differing = update_products(logs, listed)
     if differing is not None:
         origin = f"products:{logs.products.next_step() - 1}"
-        # before the first delivery there is nothing to widen
-        if logs.silver.next_step() and not logs.wide.has(origin):
-            rewiden(logs, logs.silver.current().join(differing, "product_id", "left_semi"), sales, customers, origin)
-    stream_rescue(spark, events, EVENT_FEED_SCHEMA, logs.bronze, f"{root}/checkpoint", system)
+        if not logs.wide.has(origin):
+            if logs.silver.next_step():
+                rewiden(logs, logs.silver.current().join(differing, "product_id", "left_semi"), sales, customers, origin)
+            else:
+                # nothing to widen before the first delivery, which then meets these products: a step without rows says so
+                logs.wide.append(logs.wide.current(), logs.wide.next_step(), origin)
+    stream_rescue(spark, events, EVENT_FEED_SCHEMA, logs.bronze, f"{root}/checkpoint", system, pattern="*.{csv,csv.gz}")
     for step in logs.bronze.steps():
         origin = f"bronze:{step}"
         if logs.days.has(origin) and logs.wide.has(origin):

@@ -86,7 +86,7 @@ class SteppedTable:
 
     def stage(self, rows: DataFrame, step: int) -> None:
         """Write the rows of a step; they stay invisible until it is committed."""
-        writer = rows.write.mode("overwrite")
+        writer = rows.write.mode("overwrite").option("compression", "zstd")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(f"{self.root}/rows/{STEP}={step}")
@@ -148,8 +148,14 @@ class KeyedLog(SteppedTable):
 
         The buckets of the wanted keys, at most ``buckets`` numbers, pick the folders.
         """
-        rows = self._rows_of([s for s in self.steps() if before is None or s < before])
-        if of is None:
+        return self._of_keys(self._steps_before(before), of)
+
+    def _steps_before(self, before: int | None) -> list[int]:
+        return [s for s in self.steps() if before is None or s < before]
+
+    def _of_keys(self, steps: Sequence[int], of: DataFrame | None) -> DataFrame:
+        rows = self._rows_of(steps)
+        if of is None or not steps:
             return rows
         wanted = of.select(*self.keys).distinct()
         near = [r[0] for r in wanted.select(self.bucket_of().alias(BUCKET)).distinct().collect()]
@@ -157,8 +163,12 @@ class KeyedLog(SteppedTable):
 
     def current(self, of: DataFrame | None = None, before: int | None = None) -> DataFrame:
         """The rows as they are now, or as they were before a step, of all keys or of those in ``of``."""
+        steps = self._steps_before(before)
+        if len(steps) < 2:
+            # no later step replaces a row
+            return self._of_keys(steps, of).filter(~F.col(GONE)).select(*self.columns)
         newest = F.rank().over(Window.partitionBy(*self.keys).orderBy(F.desc(STEP)))
-        rows = self.history(of, before).withColumn("_rank", newest)
+        rows = self._of_keys(steps, of).withColumn("_rank", newest)
         # a null key is no key: its rows are never replaced
         null_key = F.lit(False)
         for k in self.keys:

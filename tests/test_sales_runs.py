@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from strata.operators.dimensions import build_obt
 from strata.operators.reconcile import content_mark
 from strata.plans.sales import PRODUCT_SCHEMA, run_sales_pipeline
+from strata.plans.sales_incremental import run_sales_incremental
 from strata.session import scratch_path
 from strata.sources.files import land_csv
 from strata.streaming.ingest import BATCH
@@ -76,3 +77,26 @@ def test_events_are_shuffled_by_product_and_sale_only(spark):
         assert wide.filter("customer_name = 'n' and product_name = 'p'").count() == 1000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_the_second_delivery_does_not_widen_the_first_again(spark):
+    root = scratch_path(spark, "increments")
+    sales = spark.createDataFrame([(n, 0) for n in range(6)], "sale_id BIGINT, customer_id BIGINT")
+    customers = spark.createDataFrame([(0, "Ann", "s", "n", "r")], "customer_id BIGINT, customer_name STRING, segment STRING, nation STRING, region STRING")
+
+    def run(batch, rows):
+        land_csv(spark.createDataFrame(rows, EVENT_FEED_SCHEMA), f"{root}/feed/{BATCH}={batch}", mode="append", compression="gzip")
+        return run_sales_incremental(spark, f"{root}/feed", f"{root}/extracts", sales, customers, f"{root}/logs", buckets=2)
+
+    def event(sale, day):
+        return (str(sale), "1", "sale", day, "7", "1", "2.0", "10.0")
+
+    land_csv(spark.createDataFrame([("7", "p", "b", "c", "1.5")], PRODUCT_SCHEMA), f"{root}/extracts/{BATCH}=1", compression="gzip")
+    logs = run(1, [event(s, "2024-01-02") for s in range(3)])
+    assert "Window" not in logs.silver.current()._jdf.queryExecution().executedPlan().toString(), "one step replaces nothing"
+    # the same event again and an older version change nothing, a newer one and a new event do
+    logs = run(1, [event(0, "2024-01-02"), event(1, "2024-01-01"), event(2, "2024-01-03"), event(5, "2024-01-01")])
+    assert [logs.silver.rows_at(s).count() for s in logs.silver.steps()] == [3, 2]
+    assert [logs.wide.rows_at(s).count() for s in logs.wide.steps()] == [0, 3, 2]
+    days = {r["sales_event_id"]: (r["event_date"].isoformat(), r["customer_name"], r["product_name"]) for r in logs.wide_rows().collect()}
+    assert days == {f"{s}-1": (d, "Ann", "p") for s, d in ((0, "2024-01-02"), (1, "2024-01-02"), (2, "2024-01-03"), (5, "2024-01-01"))}
