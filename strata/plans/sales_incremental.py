@@ -31,6 +31,7 @@ from strata.operators.reconcile import reconcile_layers
 from strata.operators.refine import EVENT_ID, EVENT_KEYS, event_id, latest_events, normalise_events
 from strata.operators.rescue import drop_rescued, drop_unreadable, typed_parse
 from strata.plans.sales import PRODUCT_SCHEMA, PRODUCT_TYPES
+from strata.session import shuffles_removed
 from strata.sources.files import read_feed
 from strata.sources.loads import load_target
 from strata.sources.versions import GONE, KeyedLog, SteppedTable
@@ -127,8 +128,12 @@ def _events_of(rows: DataFrame) -> DataFrame:
     return normalise_events(typed.select(*[c.split()[0] for c in EVENT_FEED_SCHEMA.split(", ")], BATCH))
 
 
+def _ids() -> dict[str, Column]:
+    return {EVENT_KEY: _key(*EVENT_KEYS), EVENT_ID: event_id()}
+
+
 def _with_ids(events: DataFrame) -> DataFrame:
-    return events.withColumns({EVENT_KEY: _key(*EVENT_KEYS), EVENT_ID: event_id()})
+    return events.withColumns(_ids())
 
 
 def update_silver(logs: SalesLogs, bronze_step: int) -> int:
@@ -142,7 +147,7 @@ def update_silver(logs: SalesLogs, bronze_step: int) -> int:
     # rows the held one wins, so the winners that came are the rows that differ
     latest = latest_events(held.withColumn(CAME, F.lit(False)).unionByName(fresh.withColumn(CAME, F.lit(True))))
     step = logs.silver.next_step()
-    logs.silver.append(_with_ids(latest.filter(CAME)).select(*logs.silver.columns), step, origin)
+    logs.silver.append(latest.filter(CAME).drop(CAME), step, origin, derived=_ids())
     return step
 
 
@@ -164,33 +169,34 @@ def rewiden(logs: SalesLogs, events: DataFrame, sales: DataFrame, customers: Dat
     """Append wide rows of these events, with their dimensions as they are now."""
     if logs.wide.has(origin):
         return
-    # the texts that the keys give are made anew behind the joins: their shuffles need not carry them
+    # the texts that the keys give are made anew behind the joins and in the log: their shuffles need not carry them
     carried = [c for c in logs.silver.columns if c not in (EVENT_KEY, EVENT_ID)]
     rows = build_obt(events.select(*carried), sales, customers, logs.products.current())
-    logs.wide.append(_with_ids(rows).select(*logs.wide.columns), logs.wide.next_step(), origin)
+    logs.wide.append(rows, logs.wide.next_step(), origin, derived=_ids())
 
 
 def run_sales_incremental(
     spark: SparkSession, events: str, extracts: str, sales: DataFrame, customers: DataFrame, root: str, system: str = "sales", buckets: int = 64
 ) -> SalesLogs:
     """Take in what is new below ``events`` and ``extracts`` and bring the layers up to date."""
-    logs = sales_logs(spark, root, buckets)
-    listed = read_feed(spark, extracts, f"{PRODUCT_SCHEMA}, {BATCH} INT")
-    differing = update_products(logs, listed)
-    if differing is not None:
-        origin = f"products:{logs.products.next_step() - 1}"
-        if not logs.wide.has(origin):
-            if logs.silver.next_step():
-                rewiden(logs, logs.silver.current().join(differing, "product_id", "left_semi"), sales, customers, origin)
-            else:
-                # nothing to widen before the first delivery, which then meets these products: a step without rows says so
-                logs.wide.append(logs.wide.current(), logs.wide.next_step(), origin)
-    stream_rescue(spark, events, EVENT_FEED_SCHEMA, logs.bronze, f"{root}/checkpoint", system, pattern="*.{csv,csv.gz}")
-    for step in logs.bronze.steps():
-        origin = f"bronze:{step}"
-        if logs.days.has(origin) and logs.wide.has(origin):
-            continue
-        silver_step = update_silver(logs, step)
-        update_days(logs, silver_step, origin)
-        rewiden(logs, logs.silver.rows_at(silver_step), sales, customers, origin)
+    with shuffles_removed(spark):
+        logs = sales_logs(spark, root, buckets)
+        listed = read_feed(spark, extracts, f"{PRODUCT_SCHEMA}, {BATCH} INT")
+        differing = update_products(logs, listed)
+        if differing is not None:
+            origin = f"products:{logs.products.next_step() - 1}"
+            if not logs.wide.has(origin):
+                if logs.silver.next_step():
+                    rewiden(logs, logs.silver.current().join(differing, "product_id", "left_semi"), sales, customers, origin)
+                else:
+                    # nothing to widen before the first delivery, which then meets these products: a step without rows says so
+                    logs.wide.append(logs.wide.current(), logs.wide.next_step(), origin)
+        stream_rescue(spark, events, EVENT_FEED_SCHEMA, logs.bronze, f"{root}/checkpoint", system, pattern="*.{csv,csv.gz}")
+        for step in logs.bronze.steps():
+            origin = f"bronze:{step}"
+            if logs.days.has(origin) and logs.wide.has(origin):
+                continue
+            silver_step = update_silver(logs, step)
+            update_days(logs, silver_step, origin)
+            rewiden(logs, logs.silver.rows_at(silver_step), sales, customers, origin)
     return logs

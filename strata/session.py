@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -54,3 +56,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="strata-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+#: Whether the shuffles of a query are removed as soon as it has ended.
+_REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries that end in here leave no shuffle files.
+
+    Otherwise Spark keeps them until the driver happens to collect its garbage,
+    and a flow of many steps holds the shuffles of all on disk.
+    """
+    before = spark.conf.get(_REMOVE_SHUFFLES, None)
+    spark.conf.set(_REMOVE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_REMOVE_SHUFFLES)
+        else:
+            spark.conf.set(_REMOVE_SHUFFLES, before)

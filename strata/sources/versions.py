@@ -11,7 +11,8 @@ would not do: every new stream counts from 0 again.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -22,6 +23,8 @@ STEP = "_step"
 ORIGIN = "_origin"
 BUCKET = "_bucket"
 GONE = "_gone"
+#: Where a row lies: its file, its number there from 1, and the block of that number.
+_FILE, _ROW, _BLOCK = "_file", "_row", "_block"
 
 
 class SteppedTable:
@@ -127,15 +130,21 @@ class KeyedLog(SteppedTable):
         if other:
             raise ValueError(f"{root} was made with {other[0]} buckets, not {buckets}")
 
-    def bucket_of(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+    def bucket_of(self, *keys: Column) -> Column:
+        return F.pmod(F.xxhash64(*(keys or self.keys)), F.lit(self.buckets)).cast("int")
 
-    def append(self, rows: DataFrame, step: int, origin: str, order: int | None = None) -> None:
-        """Write and commit a step. ``rows`` may mark rows as gone; ``order`` is the delivery they come from."""
+    def append(
+        self, rows: DataFrame, step: int, origin: str, order: int | None = None, derived: Mapping[str, Column] | None = None
+    ) -> None:
+        """Write and commit a step. ``rows`` may mark rows as gone; ``order`` is the delivery they come from.
+
+        ``derived`` columns are made from the others behind the shuffle, which need not carry them.
+        """
         if GONE not in rows.columns:
             rows = rows.withColumn(GONE, F.lit(False))
+        bucket = self.bucket_of(*[(derived or {}).get(k, F.col(k)) for k in self.keys])
         # rebalance gathers a bucket into few files and still splits a large one
-        placed = rows.withColumn(BUCKET, self.bucket_of()).hint("rebalance", BUCKET)
+        placed = rows.withColumn(BUCKET, bucket).hint("rebalance", BUCKET).withColumns(dict(derived or {}))
         self.stage(placed.select(*[c for c in self.schema.names if c != STEP]), step)
         facts = self.spark.range(1, numPartitions=1).select(F.lit(self.buckets).alias("buckets"), F.lit(order).cast("bigint").alias("last_order"))
         self.commit(facts, step, origin)
@@ -167,10 +176,31 @@ class KeyedLog(SteppedTable):
         if len(steps) < 2:
             # no later step replaces a row
             return self._of_keys(steps, of).filter(~F.col(GONE)).select(*self.columns)
-        newest = F.rank().over(Window.partitionBy(*self.keys).orderBy(F.desc(STEP)))
-        rows = self._of_keys(steps, of).withColumn("_rank", newest)
-        # a null key is no key: its rows are never replaced
-        null_key = F.lit(False)
-        for k in self.keys:
-            null_key = null_key | F.col(k).isNull()
-        return rows.filter(((F.col("_rank") == 1) | null_key) & ~F.col(GONE)).select(*self.columns)
+        if of is None:
+            return self._not_replaced(steps).filter(~F.col(GONE)).select(*self.columns)
+        rows = self._of_keys(steps, of).withColumn("_rank", self._newest())
+        return rows.filter(((F.col("_rank") == 1) | ~self._has_key()) & ~F.col(GONE)).select(*self.columns)
+
+    def _newest(self) -> Column:
+        """1 for the rows of a key's last step."""
+        return F.rank().over(Window.partitionBy(*self.keys).orderBy(F.desc(STEP)))
+
+    def _has_key(self) -> Column:
+        """A null key is no key: its rows are never replaced."""
+        return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in self.keys])
+
+    def _not_replaced(self, steps: Sequence[int]) -> DataFrame:
+        """Rows of these steps but those that a later one replaces; only their keys and places are shuffled.
+
+        What is replaced goes to the readers of the rows as one bit for each row
+        of the blocks that have any, an eighth of a byte for a row.
+        """
+        located = self._rows_of(steps).select("*", F.col("_metadata.file_name").alias(_FILE), (F.col("_metadata.row_index") + 1).alias(_ROW))
+        place = [STEP, BUCKET, _FILE, _BLOCK]
+        located = located.withColumn(_BLOCK, F.bitmap_bucket_number(_ROW))
+        bit = F.bitmap_bit_position(_ROW)
+        ranked = located.filter(self._has_key()).select(*self.keys, *place, bit.alias("_bit")).withColumn("_rank", self._newest())
+        replaced = ranked.filter(F.col("_rank") > 1).groupBy(*place).agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+        byte = F.conv(F.hex(F.substring("_bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        read = located.join(F.broadcast(replaced), place, "left")
+        return read.filter(F.col("_bits").isNull() | (F.getbit(byte, (bit % 8).cast("int")) == 0))

@@ -100,3 +100,18 @@ def test_the_second_delivery_does_not_widen_the_first_again(spark):
     assert [logs.wide.rows_at(s).count() for s in logs.wide.steps()] == [0, 3, 2]
     days = {r["sales_event_id"]: (r["event_date"].isoformat(), r["customer_name"], r["product_name"]) for r in logs.wide_rows().collect()}
     assert days == {f"{s}-1": (d, "Ann", "p") for s, d in ((0, "2024-01-02"), (1, "2024-01-02"), (2, "2024-01-03"), (5, "2024-01-01"))}
+
+
+def test_a_run_of_the_incremental_flow_leaves_no_shuffles(spark):
+    root = scratch_path(spark, "increments")
+    sales = spark.createDataFrame([(n, 0) for n in range(6)], "sale_id BIGINT, customer_id BIGINT")
+    customers = spark.createDataFrame([(0, "Ann", "s", "n", "r")], "customer_id BIGINT, customer_name STRING, segment STRING, nation STRING, region STRING")
+    land_csv(spark.createDataFrame([("7", "p", "b", "c", "1.5")], PRODUCT_SCHEMA), f"{root}/extracts/{BATCH}=1", compression="gzip")
+    held = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    for day in ("2024-01-02", "2024-01-03"):
+        events = spark.createDataFrame([(str(s), "1", "sale", day, "7", "1", "2.0", "10.0") for s in range(3)], EVENT_FEED_SCHEMA)
+        land_csv(events, f"{root}/feed/{BATCH}={day[-1]}", compression="gzip")
+        before = held.size()
+        logs = run_sales_incremental(spark, f"{root}/feed", f"{root}/extracts", sales, customers, f"{root}/logs", buckets=2)
+        assert held.size() <= before
+    assert {r["event_date"].day for r in logs.wide_rows().collect()} == {3}

@@ -5,7 +5,7 @@ import pytest
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
-from strata.session import scratch_path
+from strata.session import scratch_path, shuffles_removed
 from strata.sources import jdbc, loads, tables
 from strata.sources.files import land_csv
 from strata.sources.versions import GONE, STEP, KeyedLog, SteppedTable
@@ -154,6 +154,53 @@ def test_a_log_shows_the_last_rows_of_each_key(spark):
     assert _values(log.current(spark.createDataFrame([(7,), (8,)], "n INT"))) == [7]
 
 
+def test_a_log_is_read_without_shuffling_whole_rows(spark):
+    log = KeyedLog(spark, scratch_path(spark, "log"), "n BIGINT, v STRING", ["n"], buckets=2)
+    many = spark.range(90_000, numPartitions=1)
+    nulls = spark.createDataFrame([(None, "null 0"), (None, "null 0")], "n BIGINT, v STRING")
+    log.append(many.select(F.col("id").alias("n"), F.lit("old").alias("v")).unionByName(nulls), 0, "a")
+    # a key may have several rows in a step, and a null key is never replaced
+    third = many.filter("id % 3 = 0").select(F.col("id").alias("n"), F.explode(F.array(F.lit("x"), F.lit("y"))).alias("v"))
+    log.append(third.unionByName(nulls.limit(1)), 1, "b")
+    gone = many.filter("id % 5 = 0").select(F.col("id").alias("n"), F.lit(None).cast("string").alias("v"), F.lit(True).alias(GONE))
+    log.append(gone, 2, "c")
+    now = log.current()
+    lines = now._jdf.queryExecution().executedPlan().toString().splitlines()
+    shuffled = [below for line, below in zip(lines, lines[1:]) if "Exchange hashpartitioning" in line]
+    assert shuffled and not any("v#" in s for s in shuffled), "the keys and places tell what was replaced"
+    counts = {(r["v"], r["kind"]): r["count"] for r in now.groupBy("v", F.expr("n % 15").alias("kind")).count().collect()}
+    expected = {(v, k): 6_000 for k in range(15) if k % 5 for v in (("x", "y") if k % 3 == 0 else ("old",))}
+    assert counts == expected | {("null 0", None): 3}
+    before = log.current(before=1)
+    assert before.count() == 90_002 and before.filter("v = 'x'").isEmpty()
+
+
+def test_a_log_makes_derived_columns_behind_the_shuffle(spark):
+    log = KeyedLog(spark, scratch_path(spark, "derived"), "k STRING, n INT", ["k"], buckets=4)
+    log.append(spark.createDataFrame([(1,), (2,)], "n INT"), 0, "a", derived={"k": F.concat(F.lit("key "), F.col("n"))})
+    log.append(spark.createDataFrame([("key 1", 9)], "k STRING, n INT"), 1, "b")
+    assert {tuple(r) for r in log.current(spark.createDataFrame([("key 1",), ("key 2",)], "k STRING")).collect()} == {("key 1", 9), ("key 2", 2)}
+    assert {tuple(r) for r in log.current().collect()} == {("key 1", 9), ("key 2", 2)}
+
+
+def test_no_shuffle_is_left_of_queries_that_ended(spark):
+    held = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def run():
+        before = held.size()
+        spark.range(100).groupBy(F.expr("id % 7")).count().write.parquet(scratch_path(spark, "shuffled"))
+        return held.size() - before
+
+    assert spark.conf.get(key) == "false"
+    with shuffles_removed(spark):
+        assert run() <= 0
+        with pytest.raises(ValueError), shuffles_removed(spark):
+            raise ValueError
+        assert spark.conf.get(key) == "true"
+    assert spark.conf.get(key) == "false"
+
+
 def test_file_names_are_taken_literally(spark):
     root = scratch_path(spark, "globs")
     folder = root.removeprefix("file:")
