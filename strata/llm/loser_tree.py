@@ -75,12 +75,16 @@ def merge_prefixed(runs: Sequence[Sequence[bytes]], prefixes: Sequence[Sequence[
         if p < 0:
             return a, b
         x, y = item[a], item[b]
-        same = common_prefix(x, y, p)
-        if x[same:] < y[same:] or (len(x) == same == len(y) and a < b):
-            shared[b] = same
+        if x == y:
+            # copies are the usual case; the earlier run goes first
+            if a > b:
+                a, b = b, a
+            shared[b] = len(x)
             return a, b
-        shared[a] = same
-        return b, a
+        if y < x:
+            a, b = b, a
+        shared[b] = p if x[p : p + 1] != y[p : p + 1] else common_prefix(x, y, p + 1)
+        return a, b
 
     tree, winner = [0] * n, [0] * n + list(range(n))
     for node in range(n - 1, 0, -1):

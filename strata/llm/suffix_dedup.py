@@ -22,8 +22,9 @@ merge sort in two exchanges:
 
 Equal suffixes of one run are sent once, with their smallest id, so copies cost
 each run one entry. An anchor that over ``HOT`` documents share (a common line)
-is not sent as one group: its windows go one by one, dealt out by all their
-bytes.
+is not sent as one group if that takes more entries than its windows one by one,
+and never if over ``GROUP * HOT`` share it: then the windows are dealt out by all
+their bytes.
 
 Defined cases: null texts count as empty; texts shorter than ``length`` stay as
 they are; a null id counts as the largest; rows that repeat an id do not remove
@@ -52,9 +53,14 @@ from strata.llm.support import give_back, mix, power_tables, written
 
 LENGTH = 50
 HOT = 2000
+#: An anchor of so many times HOT documents is never sent as one group.
+GROUP = 10
 RUN_BYTES = 4 << 20
+#: Groups of up to so many different entries are compared by pairs, larger ones window by window.
+PAIRED = 8
 LAST_ID = (1 << 63) - 1
-_PIECE = 1 << 20
+#: Bytes whose windows are worked on at once: their arrays stay in the processor's cache.
+_PIECE = 1 << 17
 _PLACE = np.uint64((1 << 24) - 1)
 _VALUE = np.uint64((1 << 40) - 1)
 _RESULT = ["n_bytes", "n_removed", "n_spans", "kept"]
@@ -145,14 +151,27 @@ def _batch_anchors(batch: list[tuple[int, int, bytes]], length: int, anchor: int
     return key, place + shift, begin[edge] + shift, begin[last] + shift, doc
 
 
-def _distinct(found: Anchors) -> tuple[np.ndarray, np.ndarray]:
-    """The keys of a run in order, and in how many of its documents each occurs."""
-    order = np.lexsort((found.doc, found.key))
+def _distinct(found: Anchors) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The keys of a run in order, in how many of its documents each occurs, and which of the keys each anchor has."""
+    # documents stand in their order already
+    order = np.argsort(found.key, kind="stable")
     key, doc = found.key[order], found.doc[order]
     other_key = np.append(True, key[1:] != key[:-1]) if len(key) else np.empty(0, bool)
     other = other_key | np.append(True, doc[1:] != doc[:-1]) if len(key) else other_key
     docs = np.add.reduceat(other.astype(np.int64), np.flatnonzero(other_key)) if len(key) else np.empty(0, np.int64)
-    return key[other_key], docs
+    which = np.empty(len(key), np.int64)
+    which[order] = np.cumsum(other_key) - 1
+    return key[other_key], docs, which
+
+
+def _how_sent(docs: np.ndarray, runs: np.ndarray, span: int, hot: int) -> np.ndarray:
+    """0 for anchors that no other document has, 1 for those sent as a group, 2 for those sent window by window.
+
+    Window by window, an anchor takes up to ``span`` entries in each of its runs; as a group, at most one for each
+    document. What is less is sent, as long as the group is no large part of a task.
+    """
+    many = (docs > hot) & ((docs > span * runs) | (docs > GROUP * hot))
+    return np.where(many, 2, docs > 1).astype(np.uint8)
 
 
 @dataclass
@@ -169,8 +188,7 @@ class Entries:
     @classmethod
     def of(cls, texts: list[bytes], ids: list[int], answers: np.ndarray, found: Anchors, length: int, parts: int) -> Entries:
         """``answers``: 0 no other document has it, 1 some have, 2 many; one for each distinct key."""
-        keys, _ = _distinct(found)
-        answer = answers[np.searchsorted(keys, found.key)] if len(keys) else answers
+        answer = answers[_distinct(found)[2]]
         some, many = np.flatnonzero(answer == 1), np.flatnonzero(answer == 2)
         doc, place, low, high = (c[some].tolist() for c in (found.doc, found.place, found.low, found.high))
         part = (found.key[some] >> np.uint64(40)).tolist()
@@ -230,34 +248,86 @@ def _read_block(data: bytes) -> tuple[list[bytes], list[int], list[bytes], list[
     return suffixes, common, [left[a:b] for a, b in zip([0, *ends], ends)], np.frombuffer(ids, "<i8").tolist()
 
 
+def _common_end(a: bytes, b: bytes) -> int:
+    """Length of the common suffix."""
+    n = min(len(a), len(b))
+    x = int.from_bytes(a[len(a) - n :], "big") ^ int.from_bytes(b[len(b) - n :], "big")
+    return ((x & -x).bit_length() - 1) // 8 if x else n
+
+
 def _earlier_windows(group: list[tuple[int, int, int]], blocks: list, answers: list[list[int]], length: int) -> None:
     """For each suffix of a group, bit by bit, which of its windows a smaller id has."""
     least: dict[tuple[bytes, bytes], int] = {}
-    shared: dict[tuple[bytes, bytes], int] = {}
-    items = []
-    for n, (run, at, common) in enumerate(group):
-        suffixes, _, lefts, ids = blocks[run]
-        entry = (suffixes[at], lefts[at])
-        after = group[n + 1][2] if n + 1 < len(group) else 0
-        least[entry] = min(least.get(entry, LAST_ID), ids[at])
-        shared[entry] = max(shared.get(entry, 0), common if n else 0, after)
-        items.append((run, at, entry, ids[at]))
-    windows: dict[bytes, int] = {}
+    nearest: list[int] = []  # of each different entry, the common prefix with the one before
+    items, common = [], LAST_ID
+    for run, at, same in group:
+        block = blocks[run]
+        entry, own = (block[0][at], block[2][at]), block[3][at]
+        if same < common:
+            common = same
+        held = least.get(entry)
+        if held is None:
+            least[entry] = own
+            nearest.append(common)
+            common = LAST_ID
+        elif own < held:
+            least[entry] = own
+        items.append((run, at, entry, own))
+    bits = None
     if len(least) > 1:
-        for (suffix, left), smallest in least.items():
-            # a window can be equal to another's only if its right part is a common prefix
-            for back in range(max(length - len(suffix), length - shared[suffix, left]), len(left) + 1):
-                window = left[len(left) - back :] + suffix[: length - back]
-                windows[window] = min(windows.get(window, LAST_ID), smallest)
+        bits = (_by_pairs if len(least) <= PAIRED else _by_windows)(least, nearest, length)
     for run, at, entry, own in items:
-        suffix, left = entry
-        count = len(left) + len(suffix) - length + 1
-        bits = (1 << count) - 1 if least[entry] < own else 0
-        if not bits and windows:
-            for back in range(max(length - len(suffix), length - shared[entry]), len(left) + 1):
-                if windows[left[len(left) - back :] + suffix[: length - back]] < own:
-                    bits |= 1 << (len(left) - back)
-        answers[run][at] = bits
+        if least[entry] < own:
+            answers[run][at] = (1 << (len(entry[1]) + len(entry[0]) - length + 1)) - 1
+        elif bits:
+            answers[run][at] = bits[entry]
+
+
+def _by_pairs(least: dict[tuple[bytes, bytes], int], nearest: list[int], length: int) -> dict[tuple[bytes, bytes], int]:
+    """For each different entry of a small group, which of its windows another one with a smaller id has."""
+    entries, bits = list(least), dict.fromkeys(least, 0)
+    for n, one in enumerate(entries):
+        common = LAST_ID
+        for m in range(n + 1, len(entries)):
+            common = min(common, nearest[m])
+            other = entries[m]
+            # equal windows reach at least so far to the left of the anchor, and no farther than the texts there agree
+            low, a, b = max(0, length - common), one[1], other[1]
+            if low > len(a) or low > len(b) or a[len(a) - low :] != b[len(b) - low :]:
+                continue
+            high = _common_end(a, b)
+            windows = (1 << (high - low + 1)) - 1
+            if least[other] < least[one]:
+                bits[one] |= windows << (len(a) - high)
+            elif least[one] < least[other]:
+                bits[other] |= windows << (len(b) - high)
+    return bits
+
+
+def _by_windows(least: dict[tuple[bytes, bytes], int], nearest: list[int], length: int) -> dict[tuple[bytes, bytes], int]:
+    """What ``_by_pairs`` finds, for groups of any size.
+
+    Equal windows have the anchor at the same place, so one place comes after the other and only the windows of one are held.
+    """
+    bits, first = dict.fromkeys(least, 0), []
+    for n, entry in enumerate(least):
+        # a window can be equal to another's only if its right part is a common prefix
+        shared = max(nearest[n] if n else 0, nearest[n + 1] if n + 1 < len(nearest) else 0)
+        first.append(length - min(shared, len(entry[0])))
+    for back in range(max(0, min(first)), max(len(left) for _, left in least) + 1):
+        smallest: dict[bytes, int] = {}
+        placed = []
+        for begin, (entry, own) in zip(first, least.items()):
+            suffix, left = entry
+            if begin <= back <= len(left):
+                window = left[len(left) - back :] + suffix[: length - back]
+                placed.append((entry, window, own))
+                if own < smallest.get(window, LAST_ID):
+                    smallest[window] = own
+        for entry, window, own in placed:
+            if smallest.get(window, LAST_ID) < own:
+                bits[entry] |= 1 << (len(entry[1]) - back)
+    return bits
 
 
 def _merged(blocks: list, length: int, anchor: int) -> list[list[int]]:
@@ -339,7 +409,7 @@ def remove_repeats(
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for run, data in zip(frame["run"], frame["rows"]):
-                keys, docs = _distinct(Anchors.of(rows_of(unpack(data))[1], length, anchor, parts))
+                keys, docs, _ = _distinct(Anchors.of(rows_of(unpack(data))[1], length, anchor, parts))
                 part = (keys >> np.uint64(40)).astype(np.int64)
                 at = np.searchsorted(part, np.arange(parts + 1)).tolist()
                 found = [(p, _pack(_planes(keys[a:b] & _VALUE), np.minimum(docs[a:b], 65535).astype("<u2")))
@@ -353,7 +423,7 @@ def remove_repeats(
         sizes = np.cumsum([0, *map(len, values)])
         _, back = np.unique(np.concatenate(values), return_inverse=True)
         docs = np.bincount(back, np.concatenate([np.frombuffer(d, "<u2") for _, d in read]))
-        say = ((docs > 1).astype(np.uint8) + (docs > hot))[back].astype(np.uint8)
+        say = _how_sent(docs, np.bincount(back), length - anchor + 1, hot)[back]
         return frame[["run", "part"]].assign(data=[_pack(say[a:b]) for a, b in zip(sizes, sizes[1:])])
 
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

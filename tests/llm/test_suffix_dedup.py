@@ -1,12 +1,13 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from strata.llm.loser_tree import common_prefix, merge_prefixed, merge_runs
 from strata.llm.queries import op1_suffix_dedup
-from strata.llm.suffix_dedup import LAST_ID, remove_repeats
+from strata.llm.suffix_dedup import GROUP, HOT, LAST_ID, _by_pairs, _by_windows, _how_sent, remove_repeats
 from tests.llm.cases import documents, plain, rows_of
 
 SMALL = "/root/testdata/sf0.001"
@@ -81,3 +82,38 @@ def test_loser_trees():
         items = [runs[r][p] for r, p, _ in out]
         assert items == sorted(x for r in runs for x in r) == list(merge_runs(runs, lambda x: x))
         assert [n for *_, n in out[1:]] == [common_prefix(a, b) for a, b in zip(items, items[1:])]
+
+
+def test_common_anchors_are_sent_in_the_form_of_fewer_entries():
+    # documents of an anchor, runs that have it: rare; over HOT, but in so many runs that windows take more; in few runs; too common for a group
+    docs, runs = np.array([1, 2, HOT + 1, HOT + 1, GROUP * HOT + 1]), np.array([1, 2, 1500, 50, GROUP * HOT + 1])
+    assert _how_sent(docs, runs, 23, HOT).tolist() == [0, 1, 1, 2, 2]
+
+
+@pytest.mark.parametrize("hot", [0, 1])
+def test_window_by_window_like_brute_force(spark, hot):
+    pick = random.Random(9)
+    line = "".join(pick.choice("abc") for _ in range(70))
+    texts = ["".join(pick.choice("xyz") for _ in range(pick.randint(0, 40))) + line[pick.randint(0, 15) :] + "".join(pick.choice("xyz") for _ in range(20)) for _ in range(60)]
+    df = documents(spark, list(enumerate(texts)))
+    assert found(df, hot=hot, partitions=3, run_bytes=700) == brute_force(plain(df))
+
+
+def test_pairs_and_windows_say_the_same():
+    pick, length = random.Random(4), 12
+    for _ in range(300):
+        entries = sorted({("aaaaaaa" + "".join(pick.choice("ab") for _ in range(pick.randint(0, 5))), "".join(pick.choice("ab") for _ in range(5))) for _ in range(pick.randint(2, 8))})
+        entries = [(s.encode(), l.encode()) for s, l in entries]
+        if len(entries) < 2:
+            continue
+        least = {e: pick.choice([1, 2, 3, LAST_ID]) for e in entries}
+        nearest = [0, *(common_prefix(a[0], b[0]) for a, b in zip(entries, entries[1:]))]
+        windows = {}
+        for (suffix, left), own in least.items():
+            for p in range(len(left) + len(suffix) - length + 1):
+                windows.setdefault((left + suffix)[p : p + length], []).append((len(left) - p, own))
+        bits = {
+            (suffix, left): sum(1 << p for p in range(len(left) + len(suffix) - length + 1) if any(at == len(left) - p and i < own for at, i in windows[(left + suffix)[p : p + length]]))
+            for (suffix, left), own in least.items()
+        }
+        assert _by_pairs(least, nearest, length) == _by_windows(least, nearest, length) == bits
